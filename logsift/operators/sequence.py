@@ -6,7 +6,8 @@ few values, e.g. one run) puts all of its rows in one task.  Instead:
 
 1. ``repartitionByRange`` on (group, order) spreads the rows over many
    balanced partitions, each holding a contiguous slice of the order;
-2. a window over (partition id, group) numbers and sums rows locally;
+2. a window over (partition id, group) numbers and sums rows locally; the
+   result is checkpointed so every later use sees the same partitioning;
 3. per-(partition, group) totals -- at most partitions + groups rows -- are
    turned into offsets with a tiny window and joined back (AQE broadcasts
    them at run time because they are small).
@@ -23,6 +24,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def _checkpoint(df: DataFrame) -> DataFrame:
+    from logsift.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _partitions(df: DataFrame, partitions: int | None) -> int:
     if partitions:
         return partitions
@@ -52,9 +60,14 @@ def number_rows(
     local = ranged.withColumn("_lrn", F.row_number().over(w))
     for key, value in sums.items():
         local = local.withColumn(f"_ls_{key}", F.sum(value).over(upto))
+    # The partition id must be the same for the totals and for the rows they
+    # are joined back to; two independent range exchanges may sample
+    # different bounds, so materialise once (reliable checkpoint, also the
+    # recovery point if executors are lost).
+    local = _checkpoint(local)
 
     totals = local.groupBy("_pid", *group).agg(
-        F.max("_lrn").alias("_n"), *[F.max(f"_ls_{k}").alias(f"_t_{k}") for k in sums]
+        F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(f"_t_{k}") for k, v in sums.items()]
     )
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(

@@ -150,7 +150,61 @@ def _order(names: list[str]) -> list[str]:
     return seen
 
 
+RECURSIVE: set[str] = set()
+
+
 def with_ctes(body: str, *names: str) -> str:
-    """``WITH <needed ctes> <body>``."""
-    parts = [f"{n} AS ({CTES[n][1].strip()})" for n in _order(list(names))]
-    return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+    """``WITH [RECURSIVE] <needed ctes> <body>``."""
+    order = _order(list(names))
+    parts = [f"{n} AS ({CTES[n][1].strip()})" for n in order]
+    head = "WITH RECURSIVE " if RECURSIVE & set(order) else "WITH "
+    return head + ",\n".join(parts) + "\n" + body.strip()
+
+
+# --- alerts (time column ingested_at, flush batch 50) -----------------------
+
+cte("susp", ["log_events"], "SELECT event_id, ip, ingested_at AS t FROM log_events WHERE suspicious")
+
+cte("sliding", ["susp"], """
+SELECT event_id, ip, t, CAST(least(100, count(*) OVER (PARTITION BY ip ORDER BY t
+  RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW)) AS BIGINT) AS count
+FROM susp
+""")
+
+cte("cand", ["sliding"], "SELECT ip, t, max(count) AS count FROM sliding WHERE count >= 5 GROUP BY ip, t")
+
+
+def cooldown_ctes(prefix: str, cand: str) -> str:
+    """Greedy 5-minute cooldown over ``cand(ip, t, count)`` as a recursive CTE."""
+    cte(f"{prefix}_next", [cand], f"""
+SELECT a.ip, a.t, min(b.t) AS nt FROM {cand} a LEFT JOIN {cand} b
+  ON a.ip = b.ip AND b.t >= a.t + INTERVAL 5 MINUTE GROUP BY a.ip, a.t
+""")
+    cte(f"{prefix}_chain", [f"{prefix}_next"], f"""
+SELECT ip, min(t) AS t FROM {cand} GROUP BY ip
+UNION ALL
+SELECT n.ip, n.nt FROM {prefix}_chain f JOIN {prefix}_next n ON n.ip = f.ip AND n.t = f.t WHERE n.nt IS NOT NULL
+""")
+    RECURSIVE.add(f"{prefix}_chain")
+    cte(f"{prefix}_alerts", [f"{prefix}_chain"], f"""
+SELECT 'HIGH_ERROR_RATE' AS alert_type, f.ip, c.count, f.t - INTERVAL 60 SECOND AS window_start,
+  f.t AS window_end, f.t AS created_at
+FROM {prefix}_chain f JOIN {cand} c ON c.ip = f.ip AND c.t = f.t
+""")
+    return f"{prefix}_alerts"
+
+
+cooldown_ctes("ev", "cand")
+cte("alerts", ["ev_alerts"], "SELECT * FROM ev_alerts")
+
+cte("ordered", ["log_events"], """
+SELECT event_id, ip, suspicious, ingested_at AS t, row_number() OVER (ORDER BY ingested_at, event_id) AS rn
+FROM log_events
+""")
+cte("flushes", ["ordered"], "SELECT rn // 50 - 1 AS flush_id, t AS ft, rn AS end_rn FROM ordered WHERE rn % 50 = 0")
+cte("fcand", ["flushes"], """
+SELECT o.ip, f.flush_id, f.ft AS t, CAST(least(100, count(*)) AS BIGINT) AS count
+FROM flushes f JOIN ordered o ON o.suspicious AND o.rn <= f.end_rn AND o.t >= f.ft - INTERVAL 60 SECOND
+GROUP BY o.ip, f.flush_id, f.ft HAVING count(*) >= 5
+""")
+cooldown_ctes("fl", "fcand")
