@@ -131,3 +131,27 @@ def export_summary(events: DataFrame) -> DataFrame:
     )
     ips = top_counts(events, "ip", 50, "value").select(F.lit("Top IP").alias("section"), F.col("ip").alias("key"), "value")
     return total.unionByName(status).unionByName(ips)
+
+
+def grouped_quantiles(df: DataFrame, value: str, probs: dict[str, float], tie: str, group: list[str]) -> DataFrame:
+    """Exact linearly interpolated quantiles per group: rank within the group
+    (range-partitioned), then an equi-join on the two ranks around each
+    quantile position.  Output: group columns + one column per quantile."""
+    vals = df.select(*group, value, tie).filter(F.col(value).isNotNull())
+    ranked = number_rows(vals, order=[value, tie], group=group)
+    sizes = ranked.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
+    spec = F.array(*[F.struct(F.lit(k).alias("name"), F.lit(float(p)).alias("p")) for k, p in probs.items()])
+    pos = F.col("_q.p") * (F.col("_n") - 1)
+    specs = sizes.select(*group, "_n", F.explode(spec).alias("_q")).select(
+        *group,
+        F.col("_q.name").alias("name"),
+        (F.floor(pos) + 1).cast("bigint").alias("lo_rn"),
+        F.least(F.floor(pos) + 2, F.col("_n")).cast("bigint").alias("hi_rn"),
+        (pos - F.floor(pos)).alias("frac"),
+    )
+    lo = ranked.select(*group, F.col("rn").alias("lo_rn"), F.col(value).alias("lo_v"))
+    hi = ranked.select(*group, F.col("rn").alias("hi_rn"), F.col(value).alias("hi_v"))
+    q = specs.join(lo, [*group, "lo_rn"]).join(hi, [*group, "hi_rn"]).select(
+        *group, "name", (F.col("lo_v") + F.col("frac") * (F.col("hi_v") - F.col("lo_v"))).alias("q")
+    )
+    return q.groupBy(*group).pivot("name", list(probs)).agg(F.first("q"))

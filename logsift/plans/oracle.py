@@ -208,3 +208,47 @@ FROM flushes f JOIN ordered o ON o.suspicious AND o.rn <= f.end_rn AND o.t >= f.
 GROUP BY o.ip, f.flush_id, f.ft HAVING count(*) >= 5
 """)
 cooldown_ctes("fl", "fcand")
+
+
+# --- runs and metric samples --------------------------------------------------
+
+cte("runs_ev", [], """
+SELECT event_id, user_id, event_type, value, workers, rate, batch,
+  'w' || workers || '_r' || rate || '_b' || batch AS exp_id
+FROM (SELECT *, [2, 4, 6, 8][user_id % 4 + 1] AS workers, [300, 500, 1000][user_id % 3 + 1] AS rate,
+             [50, 100][(user_id // 12) % 2 + 1] AS batch FROM events)
+""")
+cte("samples", ["runs_ev"], """
+SELECT exp_id, TIMESTAMP '2024-01-01 00:00:00' + to_seconds(rn * 5) AS timestamp, CAST(rn * 5 AS DOUBLE) AS runtime_sec,
+  rn AS events_processed, event_id % 100 AS ingestion_queue_size, user_id % 50 AS parsed_queue_size,
+  value % 100 AS cpu_percent, 20.0 + value % 10 AS memory_mb, value AS throughput_eps, alerts_count, event_id AS sample_id
+FROM (SELECT *, row_number() OVER (PARTITION BY exp_id ORDER BY event_id) AS rn,
+        sum(CASE WHEN event_type = 'error' THEN 1 ELSE 0 END) OVER (PARTITION BY exp_id ORDER BY event_id) AS alerts_count
+      FROM runs_ev)
+""")
+cte("runs", ["runs_ev"], """
+SELECT exp_id, CAST(workers AS INTEGER) AS workers, CAST(rate AS INTEGER) AS rate, CAST(batch AS INTEGER) AS batch,
+  60 AS duration, max(event_id) % 2 = 0 AS success,
+  TIMESTAMP '2024-01-01 00:00:00' + to_seconds(min(event_id)) AS start_time,
+  TIMESTAMP '2024-01-01 00:00:00' + to_seconds(max(event_id)) AS end_time,
+  'results/events_' || exp_id || '.db' AS db_file, 'results/metrics_' || exp_id || '.csv' AS metrics_file
+FROM runs_ev GROUP BY exp_id, workers, rate, batch
+""")
+cte("steady", ["samples"], """
+SELECT exp_id, avg(throughput_eps) FILTER (WHERE rn > n // 2) AS avg_throughput, max(throughput_eps) AS max_throughput
+FROM (SELECT *, row_number() OVER (PARTITION BY exp_id ORDER BY runtime_sec, sample_id) AS rn,
+             count(*) OVER (PARTITION BY exp_id) AS n FROM samples)
+GROUP BY exp_id
+""")
+cte("steady_cfg", ["steady"], """
+SELECT *, CAST(regexp_extract(exp_id, 'w(\\d+)_r(\\d+)_b(\\d+)', 1) AS INTEGER) AS workers,
+  CAST(regexp_extract(exp_id, 'w(\\d+)_r(\\d+)_b(\\d+)', 2) AS INTEGER) AS rate,
+  CAST(regexp_extract(exp_id, 'w(\\d+)_r(\\d+)_b(\\d+)', 3) AS INTEGER) AS batch FROM steady
+""")
+cte("run_lat", ["runs_ev"], "SELECT exp_id, event_id, CAST(round(value * 1000) AS BIGINT) / 1000.0 AS latency_ms FROM runs_ev")
+cte("lat_by_run", ["run_lat"], """
+SELECT exp_id, count(*) AS count, round(avg(latency_ms), 6) AS mean,
+  round(quantile_cont(latency_ms, 0.5), 6) AS p50, round(quantile_cont(latency_ms, 0.95), 6) AS p95,
+  round(quantile_cont(latency_ms, 0.99), 6) AS p99
+FROM run_lat GROUP BY exp_id
+""")

@@ -168,3 +168,11 @@ def run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("results/events_"), F.col("exp_id"), F.lit(".db")).alias("db_file"),
         F.concat(F.lit("results/metrics_"), F.col("exp_id"), F.lit(".csv")).alias("metrics_file"),
     )
+
+
+def run_latency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-event indexing latency (ms) tagged with the run it belongs to --
+    the rows behind one latency JSON file per run."""
+    ev = read_table(spark, sf_dir, "events").select("event_id", "user_id", "value")
+    ev = ev.withColumns(_run_columns(F.col("user_id")))
+    return ev.select("exp_id", "event_id", (F.round(F.col("value") * 1000).cast("bigint") / 1000.0).alias("latency_ms"))
