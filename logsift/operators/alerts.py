@@ -34,6 +34,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from logsift.functions.rows import keep_where
 from logsift.operators.sequence import number_rows
 from logsift.schemas import ALERT_TYPE
 
@@ -54,7 +55,7 @@ def _slice_of(t_us: Column, slice_us: int) -> Column:
 
 def suspicious_points(events: DataFrame, time_col: str = "indexed_at", key: str = "ip") -> DataFrame:
     """Narrow projection of suspicious events: (event_id, key, t_us)."""
-    return events.filter(F.col("suspicious")).select(
+    return keep_where(events, F.col("suspicious")).select(
         "event_id", key, F.unix_micros(F.col(time_col)).alias("t_us")
     )
 
@@ -147,16 +148,66 @@ def _checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+FOLD_LIMIT = 1_000_000  # candidates per key handled by one in-memory fold (~16 MB)
+
+
+def _fold_key(cooldown_us: int, key: str):
+    """Whole-key greedy fold (used only for keys below the size limit)."""
+
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        d = pdf.groupby("t_us", as_index=False)["count"].max().sort_values("t_us")
+        t = d["t_us"].to_numpy(dtype=np.int64)
+        cnt = d["count"].to_numpy(dtype=np.int64)
+        picks, i = [], 0
+        while i < len(t):
+            picks.append(i)
+            i = int(np.searchsorted(t, t[i] + cooldown_us, side="left"))
+        return pd.DataFrame({key: pdf[key].iloc[0], "t_us": t[picks], "count": cnt[picks]})
+
+    return fn
+
+
 def cooldown(
     candidates: DataFrame,
     cooldown_sec: int = COOLDOWN_SEC,
     slice_sec: int = SLICE_SEC,
     key: str = "ip",
+    fold_limit: int = FOLD_LIMIT,
 ) -> DataFrame:
     """Greedy cooldown, exact: per key, walk candidates in time order; fire
     when nothing fired in the last ``cooldown``.  Input (key, t_us, count);
     output the firing rows (key, t_us, count).
 
+    Keys are split by a size check: a key with at most ``fold_limit``
+    candidates is folded in one pandas group (bounded memory); hot keys above
+    the limit go through :func:`cooldown_sliced`, which never puts one key's
+    candidates in one task.  The check is a per-key count (one row per key);
+    when no key is hot, the sliced path is not planned at all.
+    """
+    spark = candidates.sparkSession
+    key_type = candidates.schema[key].dataType
+    cand = _checkpoint(candidates.select(key, "t_us", F.col("count").cast("bigint").alias("count")))
+    sizes = cand.groupBy(key).agg(F.count(F.lit(1)).alias("_n"))
+    out_schema = StructType([StructField(key, key_type), StructField("t_us", LongType()),
+                             StructField("count", LongType())])
+    hot_keys = sizes.filter(F.col("_n") > fold_limit).select(key)
+    if hot_keys.limit(1).count() == 0:
+        return cand.groupBy(key).applyInPandas(_fold_key(cooldown_sec * _US, key), out_schema)
+    cold = cand.join(hot_keys, key, "left_anti")
+    hot = cand.join(hot_keys, key, "left_semi")
+    return cold.groupBy(key).applyInPandas(_fold_key(cooldown_sec * _US, key), out_schema).unionByName(
+        cooldown_sliced(hot, cooldown_sec, slice_sec, key)
+    )
+
+
+def cooldown_sliced(
+    candidates: DataFrame,
+    cooldown_sec: int = COOLDOWN_SEC,
+    slice_sec: int = SLICE_SEC,
+    key: str = "ip",
+) -> DataFrame:
+    """Greedy cooldown for hot keys, exact, without a per-key task.
+
     Firing times form a chain ``next(x) = first candidate >= x + cooldown``.
     Time is cut into slices (>= cooldown):
 
@@ -177,9 +228,11 @@ def cooldown(
         raise ValueError("slice must be at least as long as the cooldown")
     spark = candidates.sparkSession
     key_type = candidates.schema[key].dataType
-    cand = candidates.select(key, "t_us", F.col("count").cast("bigint").alias("count")).withColumn(
-        "slice", _slice_of(F.col("t_us"), s_us)
-    )
+    cand = _checkpoint(
+        candidates.select(key, "t_us", F.col("count").cast("bigint").alias("count")).withColumn(
+            "slice", _slice_of(F.col("t_us"), s_us)
+        )
+    )  # read by phases A and C: computed once
 
     head_schema = StructType([StructField(key, key_type), StructField("slice", LongType()),
                               StructField("t_us", LongType()), StructField("exit_us", LongType())])
@@ -297,25 +350,27 @@ def flush_candidates(
     sum over the change points -- no event x flush range join.
     """
     w_us = window_sec * _US
-    ev = events.select(
-        "event_id", "ip", "suspicious", F.unix_micros(F.col(time_col)).alias("t_us")
-    )
-    total = ev.count()
-    last_flush = total // batch - 1
     spark = events.sparkSession
-    if last_flush < 0:
-        return spark.createDataFrame([], "ip string, flush_id bigint, t_us bigint, count bigint")
-    rows = ev.select("event_id", "ip", "t_us", "suspicious", F.lit(0).alias("kind"))
-    probes = ev.filter("suspicious").select(
-        "event_id", "ip", (F.col("t_us") + w_us).alias("t_us"), F.lit(False).alias("suspicious"),
-        F.lit(1).alias("kind"),
+    t_us = F.unix_micros(F.col(time_col))
+    # one pass: every event is an event row (kind 0); a suspicious one also
+    # emits a probe row at t + window (kind 1) for the "last flush" lookup
+    rows = events.select(
+        "event_id", "ip", "suspicious", t_us.alias("t0"),
+        F.explode(F.when(F.col("suspicious"), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("kind"),
+    ).select(
+        "event_id", "ip", "kind",
+        (F.col("suspicious") & (F.col("kind") == 0)).alias("suspicious"),
+        (F.col("t0") + F.when(F.col("kind") == 1, F.lit(w_us)).otherwise(F.lit(0))).alias("t_us"),
     )
-    numbered = number_rows(
-        rows.unionByName(probes),
+    numbered = _checkpoint(number_rows(
+        rows,
         order=["t_us", "kind", "event_id"],
         sums={"n_events": (F.col("kind") == 0).cast("bigint")},
-    )
-    numbered = _checkpoint(numbered)
+    ))
+    total = numbered.agg(F.max("n_events")).collect()[0][0] or 0
+    last_flush = total // batch - 1
+    if last_flush < 0:
+        return spark.createDataFrame([], "ip string, flush_id bigint, t_us bigint, count bigint")
     first = numbered.filter((F.col("kind") == 0) & F.col("suspicious")).select(
         "event_id", "ip", F.floor((F.col("n_events") - 1) / batch).cast("bigint").alias("f_lo")
     )

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsift.functions.enrich import suspicious_line
+from logsift.functions.rows import keep_where
 from logsift.operators.sequence import number_rows
 
 SEED = "42"
@@ -44,8 +45,8 @@ def line_class_stats(flagged: DataFrame) -> DataFrame:
 def sample_normal_keep_suspicious(flagged: DataFrame, n: int, key: str = "line_id", seed: str = SEED) -> DataFrame:
     """All suspicious lines plus exactly ``n`` normal lines drawn uniformly
     without replacement -- only when ``0 < n < #normal``; otherwise all."""
-    normal = flagged.filter(~F.col("suspicious"))
-    susp = flagged.filter(F.col("suspicious"))
+    normal = keep_where(flagged, ~F.col("suspicious"))
+    susp = keep_where(flagged, F.col("suspicious"))
     if n <= 0:
         return susp.unionByName(normal)
     ranked = number_rows(normal.withColumn("_h", rand_key(key, seed)), order=["_h", key], name="_rn")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from logsift.functions import enrich as E
 from logsift.functions.parse import KIND_ACCESS, KIND_ERROR, KIND_REJECT
+from logsift.functions.rows import keep_where
 from logsift.plans.catalog import query
 from logsift.plans.oracle import with_ctes
 from logsift.session import prepare
@@ -33,34 +34,34 @@ def events(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("parse_logs", "2.2", with_ctes(f"SELECT {_FIELDS_SQL} FROM parsed_all WHERE kind <> 'X'", "parsed_all"))
 def parse_logs(spark, sf):
-    return parsed(spark, sf).filter(F.col("kind") != KIND_REJECT).select(*FIELDS)
+    return keep_where(parsed(spark, sf), F.col("kind") != KIND_REJECT).select(*FIELDS)
 
 
 @query("parse_error_log", "2.2", with_ctes(f"SELECT {_FIELDS_SQL} FROM parsed_all WHERE kind = 'E'", "parsed_all"))
 def parse_error_log(spark, sf):
-    return parsed(spark, sf).filter(F.col("kind") == KIND_ERROR).select(*FIELDS)
+    return keep_where(parsed(spark, sf), F.col("kind") == KIND_ERROR).select(*FIELDS)
 
 
 @query("parse_access_log", "2.2", with_ctes(f"SELECT {_FIELDS_SQL} FROM parsed_all WHERE kind = 'A'", "parsed_all"))
 def parse_access_log(spark, sf):
-    return parsed(spark, sf).filter(F.col("kind") == KIND_ACCESS).select(*FIELDS)
+    return keep_where(parsed(spark, sf), F.col("kind") == KIND_ACCESS).select(*FIELDS)
 
 
 @query("parse_rejects", "2.2", with_ctes("SELECT line_id, line FROM parsed_all WHERE kind = 'X'", "parsed_all"))
 def parse_rejects(spark, sf):
-    return parsed(spark, sf).filter(F.col("kind") == KIND_REJECT).select("line_id", "line")
+    return keep_where(parsed(spark, sf), F.col("kind") == KIND_REJECT).select("line_id", "line")
 
 
 @query("parse_timestamp_error", "2.2",
        with_ctes("SELECT line_id, timestamp, ingested_at FROM parsed_all WHERE kind = 'E'", "parsed_all"))
 def parse_timestamp_error(spark, sf):
-    return parsed(spark, sf).filter(F.col("kind") == KIND_ERROR).select("line_id", "timestamp", "ingested_at")
+    return keep_where(parsed(spark, sf), F.col("kind") == KIND_ERROR).select("line_id", "timestamp", "ingested_at")
 
 
 @query("parse_timestamp_access", "2.2",
        with_ctes("SELECT line_id, timestamp, ingested_at FROM parsed_all WHERE kind = 'A'", "parsed_all"))
 def parse_timestamp_access(spark, sf):
-    return parsed(spark, sf).filter(F.col("kind") == KIND_ACCESS).select("line_id", "timestamp", "ingested_at")
+    return keep_where(parsed(spark, sf), F.col("kind") == KIND_ACCESS).select("line_id", "timestamp", "ingested_at")
 
 
 @query("parse_bytes", "2.2", with_ctes("SELECT line_id, a6 AS bytes_text, bytes FROM parsed_all "
@@ -68,14 +69,14 @@ def parse_timestamp_access(spark, sf):
 def parse_bytes(spark, sf):
     from logsift.functions.parse import ACCESS_PATTERN, _JAVA
 
-    p = parsed(spark, sf).filter(F.col("kind") == KIND_ACCESS)
+    p = keep_where(parsed(spark, sf), F.col("kind") == KIND_ACCESS)
     return p.select("line_id", F.regexp_extract("line", _JAVA + ACCESS_PATTERN, 6).alias("bytes_text"), "bytes")
 
 
 @query("extract_client_ip", "2.2",
        with_ctes("SELECT line_id, referer AS context, ip FROM parsed_all WHERE kind = 'E'", "parsed_all"))
 def extract_client_ip(spark, sf):
-    return parsed(spark, sf).filter(F.col("kind") == KIND_ERROR).select(
+    return keep_where(parsed(spark, sf), F.col("kind") == KIND_ERROR).select(
         "line_id", F.col("referer").alias("context"), "ip"
     )
 
@@ -85,7 +86,7 @@ def extract_client_ip(spark, sf):
                  "GROUP BY ALL", "parsed_all"))
 def level_to_status(spark, sf):
     return (
-        parsed(spark, sf).filter(F.col("kind") == KIND_ERROR)
+        keep_where(parsed(spark, sf), F.col("kind") == KIND_ERROR)
         .groupBy(F.col("user_agent").alias("level"), "status").agg(F.count("*").alias("n"))
     )
 
@@ -94,7 +95,7 @@ def level_to_status(spark, sf):
        with_ctes("SELECT line_id, url AS message, length(url) AS message_chars FROM parsed_all WHERE kind = 'E'",
                  "parsed_all"))
 def truncate_message(spark, sf):
-    return parsed(spark, sf).filter(F.col("kind") == KIND_ERROR).select(
+    return keep_where(parsed(spark, sf), F.col("kind") == KIND_ERROR).select(
         "line_id", F.col("url").alias("message"), F.length("url").alias("message_chars")
     )
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from logsift.operators import prep as P
 from logsift.operators import reports as R
 from logsift.operators import timeseries as T
+from logsift.functions.rows import keep_where
 from logsift.plans.catalog import query
 from logsift.plans.oracle import cte, with_ctes
 from logsift.plans.q_alerts import event_alerts
@@ -28,7 +29,7 @@ def flagged_lines(spark, sf):
 
 @query("filter_suspicious", "2.4", with_ctes("SELECT * FROM log_events WHERE suspicious", "log_events"))
 def filter_suspicious(spark, sf):
-    return events(spark, sf).filter(F.col("suspicious"))
+    return keep_where(events(spark, sf), F.col("suspicious"))
 
 
 @query("filter_latency_known", "2.4", with_ctes(
@@ -70,7 +71,8 @@ def partition_lines(spark, sf):
     "SELECT line_id, line FROM line_flags WHERE NOT suspicious", "line_flags"))
 def union_all_lines(spark, sf):
     f = flagged_lines(spark, sf)
-    return f.filter("suspicious").select("line_id", "line").unionByName(f.filter("NOT suspicious").select("line_id", "line"))
+    return keep_where(f, F.col("suspicious")).select("line_id", "line").unionByName(
+        keep_where(f, ~F.col("suspicious")).select("line_id", "line"))
 
 
 _MD5 = "md5('42' || CAST(line_id AS VARCHAR))"

@@ -20,16 +20,23 @@ EVENT_COLS = ["event_id", "ip", "timestamp", "method", "url", "status", "bytes",
               "browser", "os", "ip_class", "suspicious", "ingested_at"]
 
 
+def files_per_chunk(spark) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def replay_files(spark, sf, chunks: int = REPLAY_CHUNKS) -> str:
     """Write ``(line_id, line, ingested_at)`` as ``chunks`` parquet folders in
-    arrival order, one write job each, so the file source sees them in order."""
+    arrival order, one write job each, every chunk as exactly
+    :func:`files_per_chunk` files.  The file source takes files oldest first,
+    so with that many files per trigger each micro-batch is one chunk."""
     lines = log_lines(prepare(spark), sf).select("line_id", "line", "ingested_at")
     base = scratch_path(spark, "replay")
     top = lines.agg(F.max("line_id")).collect()[0][0] or 0
     size = top // chunks + 1
+    k_files = files_per_chunk(spark)
     for k in range(chunks):
         part = lines.filter((F.col("line_id") >= k * size) & (F.col("line_id") < (k + 1) * size))
-        part.write.parquet(f"{base}/{k:04d}")
+        part.repartition(k_files).write.parquet(f"{base}/{k:04d}")
         time.sleep(1.1)  # distinct modification times: the source orders files by them
     return f"{base}/*"
 
@@ -44,7 +51,8 @@ def run_to_end(df, name: str, spark, partition_by: str | None = None):
 
 
 def _parsed_stream(spark, sf):
-    src = S.stream_log_source(spark, replay_files(spark, sf), fmt="parquet", max_files_per_trigger=1)
+    src = S.stream_log_source(spark, replay_files(spark, sf), fmt="parquet",
+                              max_files_per_trigger=files_per_chunk(spark))
     return S.stream_parse_enrich(src)
 
 

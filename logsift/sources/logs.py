@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from logsift.functions.enrich import enrich_events
 from logsift.functions.parse import KIND_REJECT, parse_lines, strip_line
+from logsift.functions.rows import keep_where
 from logsift.schemas import EVENT_COLUMNS
 
 
@@ -37,7 +38,7 @@ def scan_log_lines(spark: SparkSession, path: str, arrival: str | None = None) -
 def clean_lines(lines: DataFrame, line_col: str = "line") -> DataFrame:
     """Strip whitespace at both ends and drop lines that are then empty."""
     stripped = lines.withColumn(line_col, strip_line(F.col(line_col)))
-    return stripped.filter(F.length(F.col(line_col)) > 0)
+    return keep_where(stripped, F.length(F.col(line_col)) > 0)
 
 
 def parse_all(lines: DataFrame, fallback_time: str = "ingested_at") -> DataFrame:
@@ -47,13 +48,13 @@ def parse_all(lines: DataFrame, fallback_time: str = "ingested_at") -> DataFrame
 
 def parse_events(lines: DataFrame, fallback_time: str = "ingested_at") -> DataFrame:
     """Parsed and enriched events (rejects removed)."""
-    parsed = parse_all(lines, fallback_time).filter(F.col("kind") != KIND_REJECT)
+    parsed = keep_where(parse_all(lines, fallback_time), F.col("kind") != KIND_REJECT)
     return enrich_events(parsed)
 
 
 def parse_rejects(lines: DataFrame) -> DataFrame:
     """Lines that match neither format (the quarantine table)."""
-    return parse_all(lines).filter(F.col("kind") == KIND_REJECT)
+    return keep_where(parse_all(lines), F.col("kind") == KIND_REJECT)
 
 
 def index_events(events: DataFrame, id_col: str = "line_id") -> DataFrame:
