@@ -41,21 +41,18 @@ def _r(c: Column) -> Column:
     return F.round(c, ROUND)
 
 
-def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], tie: str) -> DataFrame:
-    """One row: linearly interpolated quantiles of ``value`` (numpy's default
-    method), from a global rank; ``tie`` makes the order unique."""
-    spark = df.sparkSession
-    vals = df.select(value, tie).filter(F.col(value).isNotNull())
-    n = vals.count()
-    if n == 0:
-        return spark.createDataFrame([tuple([None] * len(probs))], ", ".join(f"{k} double" for k in probs))
+def _quantile_spec(n: int, probs: dict[str, float]) -> list[tuple[str, int, int, float]]:
+    """(name, lower rank, upper rank, fraction) of numpy's linear method (1-based ranks)."""
     need = []
     for name, p in probs.items():
         pos = p * (n - 1)
         lo = math.floor(pos)
         need.append((name, lo + 1, min(lo + 2, n), pos - lo))
-    ranks = sorted({r for _, a, b, _ in need for r in (a, b)})
-    picked = number_rows(vals, order=[value, tie]).filter(F.col("rn").isin(ranks)).select("rn", value)
+    return need
+
+
+def _interpolate(spark, need, picked: DataFrame, value: str, probs: dict[str, float]) -> DataFrame:
+    """One row of quantiles from the values at the needed ranks (``rn``, value)."""
     lo = picked.select(F.col("rn").alias("lo_rn"), F.col(value).alias("lo_v"))
     hi = picked.select(F.col("rn").alias("hi_rn"), F.col(value).alias("hi_v"))
     spec = spark.createDataFrame(need, "name string, lo_rn long, hi_rn long, frac double")
@@ -65,6 +62,75 @@ def exact_quantiles(df: DataFrame, value: str, probs: dict[str, float], tie: str
     return joined.groupBy().pivot("name", list(probs)).agg(F.first("q"))
 
 
+APPROX_ACCURACY = 10_000  # bracket width ~ a few n / accuracy rows per quantile
+SORT_LIMIT = 10_000_000  # up to this many rows, ranking the whole (narrow) column is cheapest
+
+
+def exact_quantiles(
+    df: DataFrame,
+    value: str,
+    probs: dict[str, float],
+    tie: str,
+    accuracy: int = APPROX_ACCURACY,
+    sort_limit: int = SORT_LIMIT,
+) -> DataFrame:
+    """One row: linearly interpolated quantiles of ``value`` (numpy's default
+    method), exact.
+
+    Up to ``sort_limit`` rows the column is ranked by a range-partitioned
+    numbering.  Above it the whole column is never sorted:
+
+    1. one aggregate pass: ``percentile_approx`` values just below and above
+       every needed rank (mergeable sketches, bounded memory);
+    2. one counting pass: rows strictly below / inside each bracket;
+    3. only the rows inside the brackets are ranked (range-partitioned
+       numbering per bracket); global rank = rows below + rank in bracket.
+
+    The counts of step 2 prove that each needed rank lies inside its
+    bracket; if one does not (the sketch guarantee makes that unexpected),
+    the whole column is ranked instead.  ``tie`` makes the order unique.
+    """
+    spark = df.sparkSession
+    vals = df.select(value, tie).filter(F.col(value).isNotNull())
+    x = F.col(value)
+    n = vals.count()
+    if n == 0:
+        return spark.createDataFrame([tuple([None] * len(probs))], ", ".join(f"{k} double" for k in probs))
+    need = _quantile_spec(n, probs)
+    ranks = sorted({r for _, a, b, _ in need for r in (a, b)})
+    if n <= max(sort_limit, accuracy):
+        picked = number_rows(vals, order=[value, tie])
+        return _interpolate(spark, need, picked.filter(F.col("rn").isin(ranks)).select("rn", value), value, probs)
+    eps = 3.0 / accuracy
+    probe_p = sorted({min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-eps, eps)})
+    first = vals.agg(F.percentile_approx(x, probe_p, accuracy).alias("b")).collect()[0]
+    at = dict(zip(probe_p, first["b"]))
+    brackets = []  # (lower value, upper value, lowest rank, highest rank) per quantile
+    for (_, r_lo, r_hi, _), p in zip(need, probs.values()):
+        brackets.append((at[min(1.0, max(0.0, p - eps))], at[min(1.0, max(0.0, p + eps))], r_lo, r_hi))
+    counts = vals.agg(
+        *[F.count_if(x < F.lit(lo)).alias(f"b{i}") for i, (lo, _, _, _) in enumerate(brackets)],
+        *[F.count_if(x.between(F.lit(lo), F.lit(hi))).alias(f"i{i}") for i, (lo, hi, _, _) in enumerate(brackets)],
+    ).collect()[0]
+    below = [counts[f"b{i}"] for i in range(len(brackets))]
+    ok = all(below[i] < r_lo and r_hi <= below[i] + counts[f"i{i}"]
+             for i, (_, _, r_lo, r_hi) in enumerate(brackets))
+    if not ok:
+        picked = number_rows(vals, order=[value, tie])
+    else:
+        tags = F.array(*[F.when(x.between(F.lit(lo), F.lit(hi)), F.lit(i)) for i, (lo, hi, _, _) in enumerate(brackets)])
+        offsets = F.element_at(F.array(*[F.lit(below[i]) for i in range(len(brackets))]).cast("array<bigint>"),
+                               F.col("_b") + 1)
+        in_brackets = vals.select(value, tie, F.explode(F.array_compact(tags)).alias("_b"))
+        picked = (
+            number_rows(in_brackets, order=[value, tie], group=["_b"])
+            .select((F.col("rn") + offsets).alias("rn"), value)
+            .filter(F.col("rn").isin(ranks))
+            .distinct()  # overlapping brackets give the same (rank, value) twice
+        )
+    return _interpolate(spark, need, picked.filter(F.col("rn").isin(ranks)).select("rn", value), value, probs)
+
+
 def latency_stats(events: DataFrame) -> DataFrame:
     """count, mean, median, std (population), min, max, p50/p90/p95/p99."""
     lat = known_latency(events)
