@@ -46,6 +46,7 @@ COOLDOWN_SEC = 300
 BATCH = 100
 # ---------------------------------------------------------------------------
 SLICE_SEC = 3600  # partitioning unit for hot keys; any value >= window and cooldown
+SLICE_ROWS = 4_000_000  # rows of one (key, slice) group one task should hold (~100 MB)
 _US = 1_000_000
 
 
@@ -53,6 +54,24 @@ def _slice_of(t_us: Column, slice_us: int) -> Column:
     return ((t_us - F.pmod(t_us, F.lit(slice_us))) / F.lit(slice_us)).cast("bigint")
 
 
+def fit_slice_sec(points: DataFrame, key: str, slice_sec: int, min_sec: int, max_rows: int = SLICE_ROWS) -> int:
+    """Slice width for (key, slice) partitioning: ``slice_sec`` unless its
+    densest (key, slice) group holds more than ``max_rows`` rows, then
+    narrowed in proportion, but never below ``min_sec`` (the window or the
+    cooldown, which a slice must cover).  One partial aggregate, one number
+    back to the driver."""
+    densest = (
+        points.groupBy(key, _slice_of(F.col("t_us"), slice_sec * _US).alias("_s"))
+        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.max("_n"))
+        .collect()[0][0]
+        or 0
+    )
+    if densest <= max_rows:
+        return slice_sec
+    return max(min_sec, slice_sec * max_rows // densest)
+
+
 def suspicious_points(events: DataFrame, time_col: str = "indexed_at", key: str = "ip") -> DataFrame:
     """Narrow projection of suspicious events: (event_id, key, t_us)."""
     return keep_where(events, F.col("suspicious")).select(
@@ -67,16 +86,24 @@ def sliding_count(
     cap: int = CAP,
     slice_sec: int = SLICE_SEC,
     key: str = "ip",
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Per suspicious event: ``count`` = suspicious events of the same key in
     ``[t - window, t]`` (inclusive, ties included), at most ``cap``.
 
+    ``slice_sec`` is narrowed (down to the window) when one key is so dense
+    that a (key, slice) group would exceed ``slice_rows``.
+
     Output: (event_id, key, t_us, count).
     """
-    w_us, s_us = window_sec * _US, slice_sec * _US
-    if s_us < w_us:
+    if slice_sec < window_sec:
         raise ValueError("slice must be at least as long as the window")
-    pts = suspicious_points(events, time_col, key).withColumn("slice", _slice_of(F.col("t_us"), s_us))
+    # narrow suspicious points, materialised once: read by the density check
+    # and by the window (the upstream parse is not run twice)
+    pts = _checkpoint(suspicious_points(events, time_col, key))
+    slice_sec = fit_slice_sec(pts, key, slice_sec, window_sec, slice_rows)
+    w_us, s_us = window_sec * _US, slice_sec * _US
+    pts = pts.withColumn("slice", _slice_of(F.col("t_us"), s_us))
     # an event in the last `window` of its slice is also a context row of the
     # next slice; one explode keeps the upstream scan single-pass
     to_next = F.col("t_us") >= (F.col("slice") + 1) * F.lit(s_us) - F.lit(w_us)
@@ -173,6 +200,7 @@ def cooldown(
     slice_sec: int = SLICE_SEC,
     key: str = "ip",
     fold_limit: int = FOLD_LIMIT,
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Greedy cooldown, exact: per key, walk candidates in time order; fire
     when nothing fired in the last ``cooldown``.  Input (key, t_us, count);
@@ -196,7 +224,7 @@ def cooldown(
     cold = cand.join(hot_keys, key, "left_anti")
     hot = cand.join(hot_keys, key, "left_semi")
     return cold.groupBy(key).applyInPandas(_fold_key(cooldown_sec * _US, key), out_schema).unionByName(
-        cooldown_sliced(hot, cooldown_sec, slice_sec, key)
+        cooldown_sliced(hot, cooldown_sec, slice_sec, key, slice_rows)
     )
 
 
@@ -205,6 +233,7 @@ def cooldown_sliced(
     cooldown_sec: int = COOLDOWN_SEC,
     slice_sec: int = SLICE_SEC,
     key: str = "ip",
+    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Greedy cooldown for hot keys, exact, without a per-key task.
 
@@ -221,13 +250,16 @@ def cooldown_sliced(
     C. per (key, slice), in pandas: the firings from the resolved entry.
 
     Every Python group is one (key, slice); no key's candidates meet in one
-    task, and no state is collected on the driver.
+    task, and no state is collected on the driver.  ``slice_sec`` is
+    narrowed (down to the cooldown) when a (key, slice) group would exceed
+    ``slice_rows`` candidates.
     """
-    c_us, s_us = cooldown_sec * _US, slice_sec * _US
-    if s_us < c_us:
+    if slice_sec < cooldown_sec:
         raise ValueError("slice must be at least as long as the cooldown")
     spark = candidates.sparkSession
     key_type = candidates.schema[key].dataType
+    slice_sec = fit_slice_sec(candidates, key, slice_sec, cooldown_sec, slice_rows)
+    c_us, s_us = cooldown_sec * _US, slice_sec * _US
     cand = _checkpoint(
         candidates.select(key, "t_us", F.col("count").cast("bigint").alias("count")).withColumn(
             "slice", _slice_of(F.col("t_us"), s_us)

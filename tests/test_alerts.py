@@ -103,6 +103,22 @@ def test_hot_key_spread_over_slices(spark):
     assert spark_alerts(spark, pts, fold_limit=0, slice_sec=900) == brute_alerts(pts)
 
 
+def test_dense_hot_key_narrows_slices(spark):
+    """A key far denser than the per-slice row limit: both the sliding count
+    and the sliced cooldown narrow their slices (down to the window and the
+    cooldown) and stay exact."""
+    rnd = random.Random(11)
+    pts = [("", 3 * 3600 * S + i * 700_000 + rnd.randrange(0, 500_000)) for i in range(4000)]  # ~47 min
+    pts += [("b", 3 * 3600 * S + i * 9 * S) for i in range(300)]
+    ev = to_events(spark, pts)
+    assert A.fit_slice_sec(A.suspicious_points(ev, "ts"), "ip", 3600, 60, max_rows=500) < 3600
+    counts = A.sliding_count(ev, time_col="ts", slice_rows=500)
+    cands = A.alert_candidates(counts).select("ip", "t_us", "count")
+    fires = A.cooldown(cands, fold_limit=0, slice_rows=50)
+    got = sorted((r["ip"], r["t_us"], r["count"]) for r in fires.collect())
+    assert got == brute_alerts(pts)
+
+
 def brute_flush(points_all, batch, window=60 * S, cap=100, threshold=5, cooldown=300 * S):
     """points_all: (event_id, ip, t, suspicious) in arrival order."""
     rows = sorted(points_all, key=lambda r: (r[2], r[0]))
