@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from logsift.functions.enrich import suspicious_line
 from logsift.functions.rows import keep_where
-from logsift.operators.sequence import number_rows
+from logsift.operators.sequence import number_rows, smallest_rows
 
 SEED = "42"
 
@@ -42,18 +42,36 @@ def line_class_stats(flagged: DataFrame) -> DataFrame:
     )
 
 
-def sample_normal_keep_suspicious(flagged: DataFrame, n: int, key: str = "line_id", seed: str = SEED) -> DataFrame:
+TOPK_ROWS = 100_000  # up to this n, a top-k (per-partition heaps, one small merge) is cheapest
+
+
+def _hash_prefix(h: Column) -> Column:
+    """First 15 hex digits of an md5 as a number: never decreases along the hex order."""
+    return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
+
+
+def sample_normal_keep_suspicious(
+    flagged: DataFrame, n: int, key: str = "line_id", seed: str = SEED, topk_rows: int = TOPK_ROWS,
+    accuracy: int = 10_000,
+) -> DataFrame:
     """All suspicious lines plus exactly ``n`` normal lines drawn uniformly
-    without replacement -- only when ``0 < n < #normal``; otherwise all."""
+    without replacement -- only when ``0 < n < #normal``; otherwise all.
+
+    The sample is the ``n`` smallest ``md5(seed || key)``.  Up to
+    ``topk_rows`` it is a top-k; above, an exact bracketed selection
+    (:func:`logsift.operators.sequence.smallest_rows`) so that a large
+    sample never passes through one task and the normals are never sorted
+    as a whole."""
     normal = keep_where(flagged, ~F.col("suspicious"))
     susp = keep_where(flagged, F.col("suspicious"))
     if n <= 0:
         return susp.unionByName(normal)
-    ranked = number_rows(normal.withColumn("_h", rand_key(key, seed)), order=["_h", key], name="_rn")
-    total = ranked.agg(F.max("_rn")).collect()[0][0] or 0
-    if n >= total:
-        return susp.unionByName(normal)
-    return susp.unionByName(ranked.filter(F.col("_rn") <= n).drop("_h", "_rn"))
+    hashed = normal.withColumn("_h", rand_key(key, seed))
+    if n <= topk_rows:
+        picked = hashed.orderBy("_h", key).limit(n)
+    else:
+        picked = smallest_rows(hashed, _hash_prefix(F.col("_h")), ["_h", key], n, accuracy)
+    return susp.unionByName(picked.drop("_h"))
 
 
 def shuffle_lines(lines: DataFrame, key: str = "line_id", seed: str = SEED) -> DataFrame:

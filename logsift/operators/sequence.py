@@ -81,3 +81,43 @@ def number_rows(
         out = out.withColumn(key, F.col(f"_o_{key}") + F.col(f"_ls_{key}"))
     drop = ["_pid", "_lrn", "_off"] + [f"_ls_{k}" for k in sums] + [f"_o_{k}" for k in sums]
     return out.drop(*drop)
+
+
+def smallest_rows(
+    df: DataFrame,
+    num: Column,
+    order: Sequence[str],
+    n: int,
+    accuracy: int = 10_000,
+) -> DataFrame:
+    """The first ``n`` rows of ``df`` in ``order`` (unique), exactly, without
+    sorting all of ``df`` and without a single-task merge.
+
+    ``num`` is a numeric column that never decreases along ``order`` (e.g. a
+    hash prefix).  ``percentile_approx`` brackets the ``n``-th value; a count
+    proves the bracket holds it; the result is every row strictly below the
+    bracket plus the ranked head of the bracket rows (about 6 / accuracy of
+    the input).  A failed check falls back to ranking everything.
+    """
+    x = df.withColumn("_x", num)
+    total = x.count()
+    if n >= total:
+        return df
+    if n <= 0:
+        return df.limit(0)
+    eps = 3.0 / accuracy
+    p = n / total
+    lo, hi = x.agg(F.percentile_approx("_x", [max(0.0, p - eps), min(1.0, p + eps)], accuracy)).collect()[0][0]
+    c = x.agg(
+        F.count_if(F.col("_x") < F.lit(lo)).alias("below"),
+        F.count_if(F.col("_x").between(F.lit(lo), F.lit(hi))).alias("inside"),
+    ).collect()[0]
+    if not c["below"] <= n <= c["below"] + c["inside"]:
+        return number_rows(df, order=order, name="_rn").filter(F.col("_rn") <= n).drop("_rn")
+    below = x.filter(F.col("_x") < F.lit(lo)).drop("_x")
+    head = (
+        number_rows(x.filter(F.col("_x").between(F.lit(lo), F.lit(hi))), order=order, name="_rn")
+        .filter(F.col("_rn") <= n - c["below"])
+        .drop("_rn", "_x")
+    )
+    return below.unionByName(head)
