@@ -199,13 +199,105 @@ def export_summary(events: DataFrame) -> DataFrame:
     return total.unionByName(status).unionByName(ips)
 
 
-def grouped_quantiles(df: DataFrame, value: str, probs: dict[str, float], tie: str, group: list[str]) -> DataFrame:
-    """Exact linearly interpolated quantiles per group: rank within the group
-    (range-partitioned), then an equi-join on the two ranks around each
-    quantile position.  Output: group columns + one column per quantile."""
+BROADCAST_GROUPS = 100_000  # bracket rows per group are tiny; broadcast up to this many groups
+
+
+def grouped_quantiles(
+    df: DataFrame,
+    value: str,
+    probs: dict[str, float],
+    tie: str,
+    group: list[str],
+    accuracy: int = APPROX_ACCURACY,
+    sort_limit: int = SORT_LIMIT,
+) -> DataFrame:
+    """Exact linearly interpolated quantiles per group.  Output: group
+    columns + one column per quantile.
+
+    Up to ``sort_limit`` rows in total every group is ranked (range
+    partitioned, so a huge group is spread over many tasks).  Above it, the
+    per-group analogue of :func:`exact_quantiles`: ``percentile_approx``
+    brackets per group, one counting pass that proves every needed rank lies
+    in its bracket, and only the bracket rows are ranked.  The bracket table
+    (groups x quantiles) is broadcast when the number of groups is below
+    ``BROADCAST_GROUPS``, else joined by a shuffle.
+    """
     vals = df.select(*group, value, tie).filter(F.col(value).isNotNull())
+    names = list(probs)
+    eps = 3.0 / accuracy
+    probe_p = sorted({min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-eps, eps)})
+    idx = {p: i for i, p in enumerate(probe_p)}
+    sizes = _checkpoint(vals.groupBy(*group).agg(F.count(F.lit(1)).alias("_n")))  # one row per group
+    total, n_groups = sizes.agg(F.sum("_n"), F.count(F.lit(1))).collect()[0]
+    if not total or total <= sort_limit:
+        return _grouped_by_sort(vals, value, probs, tie, group, sizes)
+    first = _checkpoint(vals.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("_n"), F.percentile_approx(value, probe_p, accuracy).alias("_pb"),
+        F.min(value).alias("_min"), F.max(value).alias("_max"),
+    ))
+    small = F.col("_n") <= accuracy  # a small group's bracket is all of it (<= accuracy rows)
+
+    def br_lo(p: float) -> Column:
+        return F.when(small, F.col("_min")).otherwise(F.col("_pb")[idx[min(1.0, max(0.0, p - eps))]])
+
+    def br_hi(p: float) -> Column:
+        return F.when(small, F.col("_max")).otherwise(F.col("_pb")[idx[min(1.0, max(0.0, p + eps))]])
+    # per (group, quantile): needed ranks, fraction, bracket values
+    spec = F.array(*[
+        F.struct(
+            F.lit(i).alias("k"), F.lit(float(p)).alias("p"), br_lo(p).alias("lo"), br_hi(p).alias("hi"),
+        )
+        for i, p in enumerate(probs.values())
+    ])
+    pos = F.col("_q.p") * (F.col("_n") - 1)
+    specs = first.select(*group, "_n", F.explode(spec).alias("_q")).select(
+        *group, F.col("_q.k").alias("_k"), F.col("_q.lo").alias("_lo"), F.col("_q.hi").alias("_hi"),
+        (F.floor(pos) + 1).cast("bigint").alias("lo_rn"),
+        F.least(F.floor(pos) + 2, F.col("_n")).cast("bigint").alias("hi_rn"),
+        (pos - F.floor(pos)).alias("frac"),
+    )
+    brackets = first.select(*group, F.array(*[
+        F.struct(br_lo(p).alias("lo"), br_hi(p).alias("hi")) for p in probs.values()
+    ]).alias("_br"))
+    if n_groups <= BROADCAST_GROUPS:
+        brackets = F.broadcast(brackets)
+    tagged = vals.join(brackets, group).select(*group, value, tie, F.posexplode("_br").alias("_k", "_b"))
+    x = F.col(value)
+    counts = tagged.groupBy(*group, "_k").agg(
+        F.count_if(x < F.col("_b.lo")).alias("_below"),
+        F.count_if(x.between(F.col("_b.lo"), F.col("_b.hi"))).alias("_inside"),
+    )
+    checked = specs.join(counts, [*group, "_k"], "left").fillna(0, ["_below", "_inside"])
+    checked = _checkpoint(checked)
+    bad = checked.filter(
+        ~((F.col("_below") < F.col("lo_rn")) & (F.col("hi_rn") <= F.col("_below") + F.col("_inside")))
+    ).limit(1).count()
+    if bad:
+        return _grouped_by_sort(vals, value, probs, tie, group, first.select(*group, "_n"))
+    inside = tagged.filter(x.between(F.col("_b.lo"), F.col("_b.hi"))).select(*group, "_k", value, tie)
+    ranked = number_rows(inside, order=[value, tie], group=[*group, "_k"]).join(
+        checked.select(*group, "_k", "_below", "lo_rn", "hi_rn", "frac"), [*group, "_k"]
+    ).withColumn("rn", F.col("rn") + F.col("_below"))
+    lo = ranked.filter(F.col("rn") == F.col("lo_rn")).select(*group, "_k", "frac", F.col(value).alias("lo_v"))
+    hi = ranked.filter(F.col("rn") == F.col("hi_rn")).select(*group, "_k", F.col(value).alias("hi_v"))
+    q = lo.join(hi, [*group, "_k"]).select(
+        *group, "_k", (F.col("lo_v") + F.col("frac") * (F.col("hi_v") - F.col("lo_v"))).alias("q")
+    )
+    name_of = F.element_at(F.array(*[F.lit(nm) for nm in names]), F.col("_k") + 1)
+    return q.withColumn("name", name_of).groupBy(*group).pivot("name", names).agg(F.first("q"))
+
+
+def _checkpoint(df: DataFrame) -> DataFrame:
+    from logsift.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _grouped_by_sort(vals: DataFrame, value: str, probs: dict[str, float], tie: str, group: list[str],
+                     sizes: DataFrame) -> DataFrame:
+    """Rank within every group (range partitioned) and pick the needed ranks."""
     ranked = number_rows(vals, order=[value, tie], group=group)
-    sizes = ranked.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"))
     spec = F.array(*[F.struct(F.lit(k).alias("name"), F.lit(float(p)).alias("p")) for k, p in probs.items()])
     pos = F.col("_q.p") * (F.col("_n") - 1)
     specs = sizes.select(*group, "_n", F.explode(spec).alias("_q")).select(

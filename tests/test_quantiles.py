@@ -43,15 +43,25 @@ def test_exact_quantiles_all_equal_and_empty(spark):
     assert all(got[k] is None for k in PROBS)
 
 
-def test_grouped_quantiles_match_numpy(spark):
+def test_grouped_quantiles_match_numpy(spark, monkeypatch):
+    sorts = []
+    real = reports._grouped_by_sort
+
+    def spy(*a, **kw):
+        sorts.append(1)
+        return real(*a, **kw)
+
+    monkeypatch.setattr(reports, "_grouped_by_sort", spy)
     rng = np.random.default_rng(7)
     rows = []
     for g, size in (("hot", 2000), ("a", 5), ("b", 1)):
         for x in rng.exponential(10.0, size).round(2):
             rows.append((len(rows), g, float(x)))
     df = spark.createDataFrame(rows, "id long, g string, v double")
-    got = {r["g"]: r for r in grouped_quantiles(df, "v", PROBS, "id", ["g"]).collect()}
-    for g in ("hot", "a", "b"):
-        xs = np.array([x for _, gg, x in rows if gg == g])
-        for name, p in PROBS.items():
-            assert got[g][name] == pytest.approx(float(np.quantile(xs, p)), rel=1e-12, abs=1e-12)
+    for kw in ({}, {"sort_limit": 0, "accuracy": 50}, {"sort_limit": 0, "accuracy": 10_000}):
+        got = {r["g"]: r for r in grouped_quantiles(df, "v", PROBS, "id", ["g"], **kw).collect()}
+        for g in ("hot", "a", "b"):
+            xs = np.array([x for _, gg, x in rows if gg == g])
+            for name, p in PROBS.items():
+                assert got[g][name] == pytest.approx(float(np.quantile(xs, p)), rel=1e-12, abs=1e-12), (kw, g, name)
+    assert len(sorts) == 1  # only the default (small input) call ranked everything
