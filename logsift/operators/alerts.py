@@ -46,6 +46,7 @@ COOLDOWN_SEC = 300
 BATCH = 100
 # ---------------------------------------------------------------------------
 SLICE_SEC = 3600  # partitioning unit for hot keys; any value >= window and cooldown
+FLUSH_CHUNK = 10_000  # flushes generated per task-sized piece of an active interval
 SLICE_ROWS = 4_000_000  # rows of one (key, slice) group one task should hold (~100 MB)
 _US = 1_000_000
 
@@ -371,6 +372,7 @@ def flush_candidates(
     window_sec: int = WINDOW_SEC,
     threshold: int = THRESHOLD,
     cap: int = CAP,
+    flush_chunk: int = FLUSH_CHUNK,
 ) -> DataFrame:
     """(ip, flush_id, t_us = flush time, count) for every full flush at which
     an address has at least ``threshold`` suspicious events in the window.
@@ -417,15 +419,26 @@ def flush_candidates(
     )
     steps = number_rows(deltas, order=["f"], group=["ip"], sums={"cnt": F.col("d")})
     nxt = steps.select("ip", (F.col("rn") - 1).alias("rn"), F.col("f").alias("f_next"))
-    active = (
+    # an interval of flushes where the address stays at or above the
+    # threshold can span a whole run: expand it in two levels (chunk starts,
+    # spread by hash, then <= flush_chunk flushes per chunk) so no single
+    # task generates a long interval alone
+    spans = (
         steps.join(nxt, ["ip", "rn"], "left")
         .filter(F.col("cnt") >= threshold)
         .select(
-            "ip",
-            F.explode(F.sequence(F.col("f"), F.coalesce(F.col("f_next"), F.lit(last_flush + 1)) - 1)).alias("flush_id"),
+            "ip", "f",
+            (F.coalesce(F.col("f_next"), F.lit(last_flush + 1)) - 1).alias("f_end"),
             F.least(F.col("cnt"), F.lit(cap)).cast("bigint").alias("count"),
         )
     )
+    chunks = spans.select(
+        "ip", "f_end", "count", F.explode(F.sequence(F.col("f"), F.col("f_end"), F.lit(flush_chunk).cast("bigint"))).alias("c0")
+    ).repartition("ip", "c0")
+    active = chunks.select(
+        "ip", "count",
+        F.explode(F.sequence(F.col("c0"), F.least(F.col("c0") + (flush_chunk - 1), F.col("f_end")))).alias("flush_id"),
+    )
     flushes = numbered.filter(
         (F.col("kind") == 0) & (F.pmod(F.col("n_events"), F.lit(batch)) == 0)
     ).select((F.col("n_events") / batch - 1).cast("bigint").alias("flush_id"), F.col("t_us"))
@@ -441,10 +454,11 @@ def alerts_flush_aligned(
     cap: int = CAP,
     cooldown_sec: int = COOLDOWN_SEC,
     slice_sec: int = SLICE_SEC,
+    flush_chunk: int = FLUSH_CHUNK,
 ) -> DataFrame:
     """Alerts as the batching indexer raises them: evaluated for every
     address at each full flush of ``batch`` events (the final partial flush
     is not evaluated), with the same window, cap, threshold and cooldown."""
-    cands = flush_candidates(events, time_col, batch, window_sec, threshold, cap)
+    cands = flush_candidates(events, time_col, batch, window_sec, threshold, cap, flush_chunk)
     fires = cooldown(cands.select("ip", "t_us", "count"), cooldown_sec, slice_sec)
     return alert_records(fires, window_sec)

@@ -89,6 +89,20 @@ ALERT_STATE = "win array<bigint>, last bigint"
 FIRE_SCHEMA = "ip string, t_us bigint, count bigint"
 
 
+def _ring_counts(seq: np.ndarray, ends: np.ndarray, now: np.ndarray, window_us: int, cap: int,
+                 block: int = 65_536) -> np.ndarray:
+    """For each check ``k``: how many of the last ``cap`` entries of
+    ``seq[: ends[k] + 1]`` (the ring at that moment) satisfy
+    ``now[k] - x <= window``.  Vectorised in blocks of checks."""
+    pad = np.full(cap - 1, np.iinfo(np.int64).min // 2, dtype=np.int64)  # never inside a window
+    rings = np.lib.stride_tricks.sliding_window_view(np.concatenate([pad, seq]), cap)
+    out = np.empty(len(ends), dtype=np.int64)
+    for lo in range(0, len(ends), block):
+        hi = min(lo + block, len(ends))
+        out[lo:hi] = ((now[lo:hi, None] - rings[ends[lo:hi]]) <= window_us).sum(axis=1)
+    return out
+
+
 def _alert_fold(window_us: int, threshold: int, cap: int, cooldown_us: int):
     """Per address: ring of the last ``cap`` suspicious times + last firing."""
 
@@ -106,17 +120,26 @@ def _alert_fold(window_us: int, threshold: int, cap: int, cooldown_us: int):
             win = list(stored_win or [])
             last = stored_last
         times = np.sort(np.concatenate([p["t_us"].to_numpy(dtype=np.int64) for p in pdfs]))
+        ring = np.asarray(win, dtype=np.int64)
+        seq = np.concatenate([ring, times])  # processing order: stored ring, then this batch by time
+        values, first_idx = np.unique(times, return_index=True)
+        # index in seq of the last event of each distinct time (all peers are
+        # appended before the check, like a RANGE frame)
+        ends = len(ring) + np.append(first_idx[1:], len(times)) - 1
+        counts = _ring_counts(seq, ends, values, window_us, cap) if len(times) else np.zeros(0, np.int64)
         fired_t, fired_c = [], []
-        values, counts = np.unique(times, return_counts=True)
-        for t, m in zip(values.tolist(), counts.tolist()):
-            win.extend([t] * m)  # all events with this time, then one check (RANGE peers)
-            if len(win) > cap:
-                win = win[-cap:]
-            n = sum(1 for x in win if t - x <= window_us)
-            if n >= threshold and (last is None or t - last >= cooldown_us):
+        cand = np.flatnonzero(counts >= threshold)
+        i = 0
+        while i < len(cand):  # greedy cooldown: jump to the first candidate past it
+            t = int(values[cand[i]])
+            if last is None or t - last >= cooldown_us:
                 fired_t.append(t)
-                fired_c.append(n)
+                fired_c.append(int(counts[cand[i]]))
                 last = t
+                i = int(np.searchsorted(values[cand], t + cooldown_us, side="left"))
+            else:
+                i = int(np.searchsorted(values[cand], last + cooldown_us, side="left"))
+        win = seq[-cap:].tolist()
         state.update((win, last))
         newest = max(win) if win else (last or 0)
         state.setTimeoutTimestamp(int((newest + max(window_us, cooldown_us)) // 1000) + 1)

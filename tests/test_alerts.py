@@ -157,3 +157,8 @@ def test_flush_aligned_against_brute_force(spark):
     assert sorted(tuple(r) for r in got.collect()) == brute_flush(pts, 20)
     sliced = A.alerts_flush_aligned(df, time_col="ts", batch=20, slice_sec=600)
     assert sliced.count() == len(brute_flush(pts, 20))
+    # long active intervals expanded in small chunks give the same candidates
+    whole = A.flush_candidates(df, time_col="ts", batch=20)
+    chunked = A.flush_candidates(df, time_col="ts", batch=20, flush_chunk=3)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, chunked.collect()))
+    assert whole.count() > 20
