@@ -35,9 +35,19 @@ def write_events(events: DataFrame, path: str, mode: str = "append") -> None:
     events.withColumn("date", F.to_date("indexed_at")).write.mode(mode).partitionBy("date").parquet(path)
 
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """The events table (partition column ``date`` is discovered, then dropped)."""
-    return spark.read.parquet(path).select(*[F.col(f.name).cast(f.dataType) for f in EVENTS.fields])
+def read_events(spark: SparkSession, path: str, start: str | None = None, end: str | None = None) -> DataFrame:
+    """The events table (partition column ``date`` is discovered, then dropped).
+
+    ``start`` / ``end`` (timestamps, end exclusive) restrict ``indexed_at``;
+    the same range on ``date`` prunes whole partitions before any file is
+    opened, and the ``indexed_at`` bounds are pushed into the parquet scan.
+    """
+    df = spark.read.parquet(path)
+    if start is not None:
+        df = df.filter((F.col("date") >= F.to_date(F.lit(start))) & (F.col("indexed_at") >= F.lit(start).cast("timestamp")))
+    if end is not None:
+        df = df.filter((F.col("date") <= F.to_date(F.lit(end))) & (F.col("indexed_at") < F.lit(end).cast("timestamp")))
+    return df.select(*[F.col(f.name).cast(f.dataType) for f in EVENTS.fields])
 
 
 def write_alerts(alerts: DataFrame, path: str, mode: str = "append") -> None:
