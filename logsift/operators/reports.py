@@ -52,14 +52,11 @@ def _quantile_spec(n: int, probs: dict[str, float]) -> list[tuple[str, int, int,
 
 
 def _interpolate(spark, need, picked: DataFrame, value: str, probs: dict[str, float]) -> DataFrame:
-    """One row of quantiles from the values at the needed ranks (``rn``, value)."""
-    lo = picked.select(F.col("rn").alias("lo_rn"), F.col(value).alias("lo_v"))
-    hi = picked.select(F.col("rn").alias("hi_rn"), F.col(value).alias("hi_v"))
-    spec = spark.createDataFrame(need, "name string, lo_rn long, hi_rn long, frac double")
-    joined = spec.join(lo, "lo_rn").join(hi, "hi_rn").select(
-        "name", (F.col("lo_v") + F.col("frac") * (F.col("hi_v") - F.col("lo_v"))).alias("q")
-    )
-    return joined.groupBy().pivot("name", list(probs)).agg(F.first("q"))
+    """One row of quantiles from the values at the needed ranks (``rn``,
+    value): at most two rows per quantile reach the driver."""
+    at = {r["rn"]: r[value] for r in picked.collect()}
+    row = tuple(at[lo] + frac * (at[hi] - at[lo]) for _, lo, hi, frac in need)
+    return spark.createDataFrame([row], ", ".join(f"{k} double" for k in probs))
 
 
 APPROX_ACCURACY = 10_000  # bracket width ~ a few n / accuracy rows per quantile
@@ -73,9 +70,11 @@ def exact_quantiles(
     tie: str,
     accuracy: int = APPROX_ACCURACY,
     sort_limit: int = SORT_LIMIT,
+    materialise: bool = True,
 ) -> DataFrame:
     """One row: linearly interpolated quantiles of ``value`` (numpy's default
-    method), exact.
+    method), exact.  The narrow (value, tie) projection is checkpointed
+    first unless ``materialise`` is False (input already materialised).
 
     Up to ``sort_limit`` rows the column is ranked by a range-partitioned
     numbering.  Above it the whole column is never sorted:
@@ -92,6 +91,8 @@ def exact_quantiles(
     """
     spark = df.sparkSession
     vals = df.select(value, tie).filter(F.col(value).isNotNull())
+    if materialise:  # every later pass reads 16 bytes per row, not the upstream plan
+        vals = _checkpoint(vals)
     x = F.col(value)
     n = vals.count()
     if n == 0:
@@ -133,17 +134,21 @@ def exact_quantiles(
 
 def latency_stats(events: DataFrame) -> DataFrame:
     """count, mean, median, std (population), min, max, p50/p90/p95/p99."""
-    lat = known_latency(events)
-    basic = lat.agg(
+    spark = events.sparkSession
+    lat = _checkpoint(known_latency(events).select("latency_ms", "event_id"))  # narrow, read by every pass
+    b = lat.agg(
         F.count(F.lit(1)).alias("count"),
-        _r(F.avg("latency_ms")).alias("mean"),
-        _r(F.stddev_pop("latency_ms")).alias("std"),
-        _r(F.min("latency_ms")).alias("min"),
-        _r(F.max("latency_ms")).alias("max"),
-    ).withColumn("_k", F.lit(1))
-    q = exact_quantiles(lat, "latency_ms", {"median": 0.5, **PERCENTILES}, "event_id")
-    q = q.select(*[_r(F.col(c)).alias(c) for c in q.columns]).withColumn("_k", F.lit(1))
-    return basic.join(q, "_k").select("count", "mean", "median", "std", "min", "max", "p50", "p90", "p95", "p99")
+        F.avg("latency_ms").alias("mean"),
+        F.stddev_pop("latency_ms").alias("std"),
+        F.min("latency_ms").alias("min"),
+        F.max("latency_ms").alias("max"),
+    ).collect()[0]
+    probs = {"median": 0.5, **PERCENTILES}
+    q = exact_quantiles(lat, "latency_ms", probs, "event_id", materialise=False).collect()[0]
+    stats = ["mean", "std", "min", "max"]
+    row = (b["count"], *[b[c] for c in stats], *[q[c] for c in probs])
+    one = spark.createDataFrame([row], "count bigint, " + ", ".join(f"{c} double" for c in [*stats, *probs]))
+    return one.select("count", *[_r(F.col(c)).alias(c) for c in ["mean", "median", "std", "min", "max", *PERCENTILES]])
 
 
 def latency_stats_approx(events: DataFrame, accuracy: int = 10000) -> DataFrame:
@@ -222,7 +227,7 @@ def grouped_quantiles(
     (groups x quantiles) is broadcast when the number of groups is below
     ``BROADCAST_GROUPS``, else joined by a shuffle.
     """
-    vals = df.select(*group, value, tie).filter(F.col(value).isNotNull())
+    vals = _checkpoint(df.select(*group, value, tie).filter(F.col(value).isNotNull()))  # read by every pass
     names = list(probs)
     eps = 3.0 / accuracy
     probe_p = sorted({min(1.0, max(0.0, p + d)) for p in probs.values() for d in (-eps, eps)})
