@@ -18,17 +18,24 @@ from logsift.functions.rows import keep_where
 from logsift.schemas import EVENT_COLUMNS
 
 
-def scan_log_lines(spark: SparkSession, path: str, arrival: str | None = None) -> DataFrame:
+# Spark decodes invalid UTF-8 bytes as this character.
+REPLACEMENT_CHAR = "\ufffd"
+
+
+def scan_log_lines(spark: SparkSession, path: str, arrival: str | None = None, lenient: bool = False) -> DataFrame:
     """Read text log files; ``line`` is stripped, blank lines dropped.
 
     ``ingested_at`` is the file's modification time when ``arrival`` is
     None (a batch read has no per-line arrival clock), else the given column
-    expression (e.g. ``"current_timestamp()"``).
+    expression (e.g. ``"current_timestamp()"``).  ``lenient`` drops bytes
+    that are not valid UTF-8 (decoded as U+FFFD), as the log sampler's
+    reader ignores decoding errors.
     """
     raw = spark.read.text(path)
     ing = F.expr(arrival) if arrival else F.col("_metadata.file_modification_time")
+    value = F.regexp_replace(F.col("value"), REPLACEMENT_CHAR, "") if lenient else F.col("value")
     df = raw.select(
-        F.col("value").alias("line"),
+        value.alias("line"),
         ing.alias("ingested_at"),
         F.col("_metadata.file_name").alias("source_file"),
     )

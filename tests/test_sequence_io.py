@@ -30,3 +30,19 @@ def test_csv_round_trip_keeps_empty_null_and_quotes(spark):
     io.export_csv(df, path)
     back = io.read_csv(spark, path, "a string, b string, c string, d int")
     assert sorted(tuple(r) for r in back.collect()) == [("", None, 'say "hi", ok', 1), ("x", "y", "z", 0)]
+
+
+def test_lenient_scan_drops_undecodable_bytes(spark):
+    import os
+
+    from logsift.session import scratch_path
+    from logsift.sources.logs import scan_log_lines
+
+    folder = scratch_path(spark, "bad-bytes")
+    os.makedirs(folder)
+    with open(os.path.join(folder, "a.log"), "wb") as fh:
+        fh.write(b"  GET /a\xff\xfeb HTTP \n\t\n\xc3(ok\r\nlast")
+    strict = [r["line"] for r in scan_log_lines(spark, folder).collect()]
+    lenient = [r["line"] for r in scan_log_lines(spark, folder, lenient=True).collect()]
+    assert lenient == ["GET /ab HTTP", "(ok", "last"]
+    assert len(strict) == 3 and "�" in strict[0]
