@@ -61,7 +61,7 @@ def sink_clean_log(spark, sf):
     "SELECT * EXCLUDE (suspicious), CAST(suspicious AS INTEGER) AS suspicious FROM log_events", "log_events"))
 def export_events_csv(spark, sf):
     path = scratch_path(spark, "events-csv")
-    io.export_csv(events(spark, sf), path)
+    io.export_events_csv(events(spark, sf), path)  # whole table (limit 0)
     schema = StructType([StructField(f.name, IntegerType() if f.name == "suspicious" else f.dataType)
                          for f in EVENTS.fields])
     return io.read_csv(spark, path, schema)

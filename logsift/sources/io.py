@@ -72,6 +72,15 @@ def export_csv(df: DataFrame, path: str, round_trip: bool = True, mode: str = "o
     w.csv(path)
 
 
+def export_events_csv(events: DataFrame, path: str, limit: int = 0) -> None:
+    """The events export: all columns with a header; ``limit > 0`` keeps the
+    first ``limit`` events by (indexed_at, event_id), a deterministic order
+    for the export's optional row limit."""
+    if limit > 0:
+        events = events.orderBy("indexed_at", "event_id").limit(limit)
+    export_csv(events, path)
+
+
 def read_csv(spark: SparkSession, path: str, schema: StructType, round_trip: bool = True) -> DataFrame:
     r = spark.read.schema(schema).option("header", True)
     if round_trip:

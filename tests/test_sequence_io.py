@@ -46,3 +46,21 @@ def test_lenient_scan_drops_undecodable_bytes(spark):
     lenient = [r["line"] for r in scan_log_lines(spark, folder, lenient=True).collect()]
     assert lenient == ["GET /ab HTTP", "(ok", "last"]
     assert len(strict) == 3 and "�" in strict[0]
+
+
+def test_events_export_limit_is_first_rows(spark):
+    from conftest import SMALL
+    from logsift.plans.q_parse import events
+    from logsift.schemas import EVENTS
+    from logsift.session import scratch_path
+    from logsift.sources import io
+    from pyspark.sql.types import IntegerType, StructField, StructType
+
+    ev = events(spark, SMALL)
+    path = scratch_path(spark, "events-csv-limit")
+    io.export_events_csv(ev, path, limit=25)
+    schema = StructType([StructField(f.name, IntegerType() if f.name == "suspicious" else f.dataType)
+                         for f in EVENTS.fields])
+    got = [r["event_id"] for r in io.read_csv(spark, path, schema).orderBy("indexed_at", "event_id").collect()]
+    expect = [r["event_id"] for r in ev.orderBy("indexed_at", "event_id").limit(25).collect()]
+    assert got == expect and len(got) == 25
