@@ -1,4 +1,5 @@
-"""Row-selection helper that keeps expensive columns single-evaluated."""
+"""Row helpers: selection that keeps expensive columns single-evaluated, and
+spreading a small input over all cores."""
 
 from __future__ import annotations
 
@@ -19,3 +20,16 @@ def keep_where(df: DataFrame, cond: Column) -> DataFrame:
     """
     gate = F.when(cond, F.array(F.lit(True))).otherwise(F.array().cast("array<boolean>"))
     return df.withColumn("_keep", F.explode(gate)).drop("_keep")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core even when the input is a single split.
+
+    A scan yields one task per file split / row group; a small table stored
+    as one row group would run the whole per-row pipeline (parse, enrich) in
+    one task.  Only then, the narrow projected rows are dealt round-robin to
+    ``defaultParallelism`` partitions; a large input (many splits) is left
+    alone, so at scale this adds no shuffle.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(want) if df.rdd.getNumPartitions() < want else df

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logsift.functions.rows import spread
 from logsift.operators.sequence import number_rows
 
 # --- fixed values: derivation rules shared with the SQL oracle --------------
@@ -45,19 +46,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use every core even when the input is a single split.
-
-    A scan yields one task per file split / row group; a small table stored
-    as one row group would run the whole per-row pipeline (parse, enrich) in
-    one task.  Only then, the narrow projected rows are dealt round-robin to
-    ``defaultParallelism`` partitions; a large input (many splits) is left
-    alone, so at scale this adds no shuffle.
-    """
-    want = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(want) if df.rdd.getNumPartitions() < want else df
-
-
 def _mod(c: Column, m: int) -> Column:
     return F.pmod(c, F.lit(m))
 

@@ -32,6 +32,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
 from logsift.operators.alerts import CAP, COOLDOWN_SEC, THRESHOLD, WINDOW_SEC, alert_records
+from logsift.functions.rows import spread
 from logsift.sources.logs import clean_lines, index_events, parse_events
 
 REPLAY_SCHEMA = StructType([
@@ -74,49 +75,41 @@ def stream_index(events: DataFrame, id_col: str = "line_id") -> DataFrame:
     return index_events(events.drop("indexed_at") if "indexed_at" in events.columns else events, id_col)
 
 
-BATCH_ROWS_BITS = 31  # rows one micro-batch may hold: 2^31 (admission control keeps batches far smaller)
+# Event ids of the live indexer: batch id | partition | row, in 63 bits.
+BATCH_BITS, PARTITION_BITS, ROW_BITS = 24, 16, 23
 
 
 def number_batch(df: DataFrame, batch_id: int, name: str = "event_id") -> DataFrame:
-    """Dense ids for one micro-batch: ``batch_id * 2^31 + position``.
-
-    ``monotonically_increasing_id`` encodes (partition, row in partition);
-    per-partition counts -- one row per partition -- give each partition's
-    offset.  ``df`` must be persisted by the caller so both uses see the same
-    partitions.
-    """
+    """Unique, retry-stable ids for one micro-batch in a single pass:
+    ``batch_id << 39 | partition << 23 | row in partition`` (the partition
+    and row come from ``monotonically_increasing_id``).  A batch beyond the
+    layout (2^16 partitions, 2^23 rows per partition -- far above what
+    admission control lets in) fails loudly instead of reusing ids."""
+    if batch_id >= 1 << BATCH_BITS:
+        raise ValueError("batch id beyond the id layout")
     mid = F.monotonically_increasing_id()
-    tagged = df.withColumn("_pid", F.spark_partition_id()).withColumn("_row", mid.bitwiseAND(F.lit((1 << 33) - 1)))
-    counts = sorted((r[0], r[1]) for r in tagged.groupBy("_pid").count().collect())  # <= partitions rows
-    offsets, run = [], 0
-    for pid, n in counts:
-        offsets.append((pid, run))
-        run += n
-    if run >= 1 << BATCH_ROWS_BITS:
-        raise ValueError("micro-batch too large for dense ids; lower maxFilesPerTrigger / maxBytesPerTrigger")
-    spark = df.sparkSession
-    off = F.broadcast(spark.createDataFrame(offsets or [(0, 0)], "_pid int, _off long"))
-    return tagged.join(off, "_pid").withColumn(
-        name, F.lit(batch_id << BATCH_ROWS_BITS) + F.col("_off") + F.col("_row")
-    ).drop("_pid", "_row", "_off")
+    pid = F.shiftright(mid, 33)
+    row = mid.bitwiseAND(F.lit((1 << 33) - 1))
+    ok = (pid < F.lit(1 << PARTITION_BITS)) & (row < F.lit(1 << ROW_BITS))
+    value = F.lit(batch_id << (PARTITION_BITS + ROW_BITS)) + F.shiftleft(pid, ROW_BITS) + row
+    return df.withColumn(
+        name, F.when(ok, value).otherwise(F.raise_error(F.lit("micro-batch too large for the event id layout")))
+    )
 
 
 def start_indexer(lines: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Index raw lines (no id column): per micro-batch, parse/enrich, stamp
-    ``indexed_at``, number the events densely and write them to
+    ``indexed_at``, give the events ids (:func:`number_batch`) and write them to
     ``<path>/batch=<id>/date=<day>/`` with overwrite -- a retried batch
     replaces its own output, so the sink is idempotent."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        parsed = stream_index(parse_events(batch.withColumn("line_id", F.lit(0).cast("bigint")))).persist()
-        try:
-            numbered = number_batch(parsed.drop("event_id"), batch_id)
-            events = numbered.select(*[F.col(c) for c in parsed.columns])
-            events.withColumn("date", F.to_date("indexed_at")).write.mode("overwrite").partitionBy("date").parquet(
-                f"{path}/batch={batch_id}"
-            )
-        finally:
-            parsed.unpersist()
+        raw = spread(batch.withColumn("line_id", F.lit(0).cast("bigint")))  # few small files: use every core
+        parsed = stream_index(parse_events(raw))
+        events = number_batch(parsed.drop("event_id"), batch_id).select(*parsed.columns)
+        events.withColumn("date", F.to_date("indexed_at")).write.mode("overwrite").partitionBy("date").parquet(
+            f"{path}/batch={batch_id}"
+        )
 
     w = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")

@@ -70,3 +70,13 @@ def test_ring_counts_match_direct_fold():
             win = (win + [t] * times.count(t))[-cap:]
             expect.append(sum(1 for x in win if t - x <= w))
         assert got.tolist() == expect
+
+
+def test_batch_ids_unique_stable_and_carry_the_batch(spark):
+    df = spark.range(0, 5000, numPartitions=5).select(F.col("id").alias("x"))
+    a = S.number_batch(df, 7).collect()
+    b = S.number_batch(df, 7).collect()
+    ids = [r["event_id"] for r in a]
+    assert len(set(ids)) == 5000
+    assert {i >> (S.PARTITION_BITS + S.ROW_BITS) for i in ids} == {7}
+    assert sorted((r["x"], r["event_id"]) for r in a) == sorted((r["x"], r["event_id"]) for r in b)
