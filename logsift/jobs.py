@@ -45,8 +45,8 @@ def ingest(
 
     Two chained streaming queries: lines -> parse/enrich -> events table
     (parquet under ``batch=<id>/date=<day>``, ``indexed_at`` stamped per
-    micro-batch, dense ids ``batch_id * 2^31 + position``, idempotent per
-    batch); then the events table, read back as a stream, -> stateful alerts
+    micro-batch, ids ``batch id | partition | row`` stable under retries,
+    idempotent per batch); then the events table, read back as a stream, -> stateful alerts
     on ``indexed_at`` -> alerts table (exactly once through its checkpoint).
     With ``available_now`` the input present now is processed and both
     queries stop (the second starts when the first ends).
