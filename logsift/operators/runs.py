@@ -31,13 +31,40 @@ def parse_run_id(col: Column) -> dict[str, Column]:
     }
 
 
-def steady_throughput(samples: DataFrame, run: str = "exp_id") -> DataFrame:
+SORT_LIMIT = 10_000_000  # up to this many samples, ranking all of them is cheapest
+APPROX_ACCURACY = 10_000
+BROADCAST_RUNS = 100_000  # per-run thresholds are one row per run; broadcast up to this many
+
+
+def steady_throughput(
+    samples: DataFrame, run: str = "exp_id", sort_limit: int = SORT_LIMIT, accuracy: int = APPROX_ACCURACY
+) -> DataFrame:
     """Per run: mean throughput over the last half of its samples (rows from
-    index n // 2 in runtime order) and the maximum throughput."""
+    index n // 2 in (runtime, sample) order) and the maximum throughput.
+
+    Up to ``sort_limit`` samples every run is ranked (range partitioned).
+    Above it, only the row at rank n // 2 of each run is located -- it lies
+    next to the run's median runtime, so a checked ``percentile_approx``
+    bracket around 0.5 contains it and only the bracket rows are ranked --
+    and the mean is taken over the rows after it.
+    """
+    sizes = samples.groupBy(run).agg(F.count(F.lit(1)).alias("_n"), F.max("throughput_eps").alias("max_throughput"))
+    sizes = _checkpoint(sizes)  # one row per run
+    total, runs = sizes.agg(F.sum("_n"), F.count(F.lit(1))).collect()[0]
+    if total and total > sort_limit:
+        thresholds = _half_thresholds(samples, run, sizes, accuracy)
+        if thresholds is not None:
+            th = F.broadcast(thresholds) if runs <= BROADCAST_RUNS else thresholds
+            key = F.struct("runtime_sec", "sample_id")
+            after = samples.join(th, run, "left").filter(
+                F.col("_k_rt").isNull() | (key > F.struct(F.col("_k_rt").alias("runtime_sec"),
+                                                          F.col("_k_sid").alias("sample_id")))
+            )
+            avg = after.groupBy(run).agg(F.avg("throughput_eps").alias("avg_throughput"))
+            return sizes.join(avg, run, "left").select(run, "avg_throughput", "max_throughput")
     ranked = number_rows(samples, order=["runtime_sec", "sample_id"], group=[run], name="_rn")
-    sizes = ranked.groupBy(run).agg(F.count(F.lit(1)).alias("_n"))
     return (
-        ranked.join(sizes, run)
+        ranked.join(sizes.select(run, "_n"), run)
         .groupBy(run)
         .agg(
             F.avg(F.when(F.col("_rn") > F.floor(F.col("_n") / 2), F.col("throughput_eps"))).alias("avg_throughput"),
@@ -46,6 +73,46 @@ def steady_throughput(samples: DataFrame, run: str = "exp_id") -> DataFrame:
     )
 
 
+def _checkpoint(df: DataFrame) -> DataFrame:
+    from logsift.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def _half_thresholds(samples: DataFrame, run: str, sizes: DataFrame, accuracy: int) -> DataFrame | None:
+    """Per run with n >= 2: the (runtime_sec, sample_id) of the row at rank
+    n // 2, or None when a bracket check fails (caller ranks everything)."""
+    eps = 3.0 / accuracy
+    rt = F.col("runtime_sec")
+    br = samples.groupBy(run).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx(rt, [max(0.0, 0.5 - eps), min(1.0, 0.5 + eps)], accuracy).alias("_b"),
+        F.min(rt).alias("_min"), F.max(rt).alias("_max"),
+    )
+    small = F.col("_n") <= accuracy  # a small run's bracket is all of it
+    br = br.select(
+        run, (F.floor(F.col("_n") / 2)).cast("bigint").alias("_k"),
+        F.when(small, F.col("_min")).otherwise(F.col("_b")[0]).alias("_lo"),
+        F.when(small, F.col("_max")).otherwise(F.col("_b")[1]).alias("_hi"),
+    ).filter(F.col("_k") >= 1)
+    br = _checkpoint(br)
+    tagged = samples.join(F.broadcast(br) if br.count() <= BROADCAST_RUNS else br, run)
+    counts = tagged.groupBy(run).agg(
+        F.count_if(rt < F.col("_lo")).alias("_below"),
+        F.count_if(rt.between(F.col("_lo"), F.col("_hi"))).alias("_inside"),
+    )
+    checked = _checkpoint(br.join(counts, run))
+    bad = checked.filter(~((F.col("_below") < F.col("_k")) & (F.col("_k") <= F.col("_below") + F.col("_inside"))))
+    if bad.limit(1).count():
+        return None
+    inside = tagged.filter(rt.between(F.col("_lo"), F.col("_hi"))).select(run, "runtime_sec", "sample_id")
+    ranked = number_rows(inside, order=["runtime_sec", "sample_id"], group=[run], name="_rn")
+    return ranked.join(checked.select(run, "_k", "_below"), run).filter(
+        F.col("_rn") == F.col("_k") - F.col("_below")
+    ).select(run, F.col("runtime_sec").alias("_k_rt"), F.col("sample_id").alias("_k_sid"))
+
+
 def run_report(samples: DataFrame, run: str = "exp_id") -> DataFrame:
     """Per run: steady and max throughput, mean CPU, max memory, and the
     alerts and events counters of the last sample."""
