@@ -33,3 +33,23 @@ def spread(df: DataFrame) -> DataFrame:
     """
     want = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
+
+
+def side_by_side(*frames: DataFrame) -> DataFrame:
+    """The columns of several one-row aggregates as one row.
+
+    Each frame is a global aggregate (exactly one row), computed by Spark and
+    collected as a scalar row; the result keeps every column's type.  This
+    avoids planning a join of single-row sides, which Spark can only do as a
+    nested-loop (cross) join.
+    """
+    from pyspark.sql.types import StructType
+
+    fields, values = [], []
+    for f in frames:
+        rows = f.collect()
+        if len(rows) != 1:
+            raise ValueError("side_by_side expects one-row aggregates")
+        fields += f.schema.fields
+        values += list(rows[0])
+    return frames[0].sparkSession.createDataFrame([tuple(values)], StructType(fields))

@@ -14,6 +14,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logsift.functions.rows import side_by_side
 from logsift.operators.sequence import number_rows
 
 PERCENTILES = {"p50": 0.50, "p90": 0.90, "p95": 0.95, "p99": 0.99}
@@ -180,9 +181,9 @@ def run_summary(events: DataFrame, alerts: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total_events"),
         F.count_if(F.col("suspicious")).alias("suspicious_events"),
         ((F.unix_micros(F.max("indexed_at")) - F.unix_micros(F.min("ingested_at"))) / F.lit(1e6)).alias("runtime_sec"),
-    ).withColumn("_k", F.lit(1))
-    al = alerts.agg(F.count(F.lit(1)).alias("total_alerts")).withColumn("_k", F.lit(1))
-    return ev.join(al, "_k").select(
+    )
+    al = alerts.agg(F.count(F.lit(1)).alias("total_alerts"))
+    return side_by_side(ev, al).select(
         "total_events",
         "suspicious_events",
         _r(F.try_divide(F.col("suspicious_events") * 100.0, F.col("total_events"))).alias("suspicious_pct"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from logsift.operators import prep as P
 from logsift.operators import reports as R
 from logsift.operators import timeseries as T
-from logsift.functions.rows import keep_where
+from logsift.functions.rows import keep_where, side_by_side
 from logsift.plans.catalog import query
 from logsift.plans.oracle import cte, with_ctes
 from logsift.plans.q_alerts import event_alerts
@@ -103,9 +103,9 @@ def status_counts(spark, sf):
     "SELECT (SELECT count(*) FROM log_events) AS total_events, (SELECT count(*) FROM alerts) AS total_alerts",
     "log_events", "alerts"))
 def total_counts(spark, sf):
-    e = events(spark, sf).agg(F.count(F.lit(1)).alias("total_events")).withColumn("_k", F.lit(1))
-    a = event_alerts(spark, sf).agg(F.count(F.lit(1)).alias("total_alerts")).withColumn("_k", F.lit(1))
-    return e.join(a, "_k").drop("_k")
+    e = events(spark, sf).agg(F.count(F.lit(1)).alias("total_events"))
+    a = event_alerts(spark, sf).agg(F.count(F.lit(1)).alias("total_alerts"))
+    return side_by_side(e, a)
 
 
 _RUNTIME = "((epoch_us(max(indexed_at)) - epoch_us(min(ingested_at))) / 1e6)"

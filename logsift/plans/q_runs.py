@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from logsift.operators import reports as R
 from logsift.operators import runs as U
+from logsift.functions.rows import side_by_side
 from logsift.plans.catalog import query
 from logsift.plans.oracle import cte, with_ctes
 from logsift.sources.fixtures import metric_samples, run_latency, run_records
@@ -127,14 +128,13 @@ def speedup_efficiency(spark, sf):
       (SELECT round(avg(p95), 6) FROM lat_by_run) AS p95_latency_ms""", "steady", "samples", "lat_by_run"))
 def peak_summary(spark, sf):
     st = steady(spark, sf)
-    one = F.lit(1).alias("_k")
     a = st.agg(F.count(F.lit(1)).alias("experiment_count"), _r(F.max("avg_throughput")).alias("peak_throughput"),
-               F.min_by("exp_id", F.struct(-F.col("avg_throughput"), F.col("exp_id"))).alias("best_config")).select("*", one)
+               F.min_by("exp_id", F.struct(-F.col("avg_throughput"), F.col("exp_id"))).alias("best_config"))
     b = metric_samples(spark, sf).agg(_r(F.avg("cpu_percent")).alias("avg_cpu"),
-                                      _r(F.avg("memory_mb")).alias("avg_memory_mb")).select("*", one)
+                                      _r(F.avg("memory_mb")).alias("avg_memory_mb"))
     c = lat_by_run(spark, sf).agg(_r(F.avg("mean")).alias("avg_latency_ms"),
-                                  _r(F.avg("p95")).alias("p95_latency_ms")).select("*", one)
-    return a.join(b, "_k").join(c, "_k").drop("_k")
+                                  _r(F.avg("p95")).alias("p95_latency_ms"))
+    return side_by_side(a, b, c)
 
 
 @query("series_throughput", "2.7", with_ctes("SELECT exp_id, runtime_sec, throughput_eps FROM samples", "samples"))

@@ -23,8 +23,11 @@ def test_query_matches_oracle(spark, con, key):
         assert q.build(spark, SMALL).count() >= 0
         return
     df = q.build(spark, SMALL)
-    # no row-at-a-time Python anywhere (pandas folds are Arrow-batched)
-    assert "BatchEvalPython" not in df._jdf.queryExecution().executedPlan().toString()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    # no row-at-a-time Python anywhere (pandas folds are Arrow-batched), no
+    # cross products
+    assert "BatchEvalPython" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan and "CartesianProduct" not in plan
     r = compare(spark, con, lambda *_: df, q.sql, SMALL)
     assert r["cols_match"], r
     assert r["rows_spark"] == r["rows_oracle"], r
