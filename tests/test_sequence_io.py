@@ -23,6 +23,25 @@ def test_number_rows_matches_window(spark):
     assert j.filter("rn <> rn2 OR s <> s2").count() == 0
 
 
+def test_number_rows_splits_a_hot_group(spark):
+    """One group holds a third of the rows: its numbering is still exact and
+    its rows are spread over several range partitions, not one task."""
+    rnd = random.Random(9)
+    rows = [(i, "hot" if i % 3 == 0 else f"g{rnd.randrange(0, 200)}", rnd.randrange(0, 10_000)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "id long, g string, t long")
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")  # keep the numbering stage's partitions visible at this tiny size
+    try:
+        got = number_rows(df, order=["t", "id"], group=["g"], partitions=8).withColumn("_p", F.spark_partition_id())
+        spread_over = got.filter(F.col("g") == "hot").select("_p").distinct().count()
+    finally:
+        spark.conf.set(key, before)
+    assert spread_over >= 3
+    ref = df.select("id", F.row_number().over(Window.partitionBy("g").orderBy("t", "id")).alias("rn2"))
+    assert got.join(ref, "id").filter("rn <> rn2").count() == 0
+
+
 def test_csv_round_trip_keeps_empty_null_and_quotes(spark):
     df = spark.createDataFrame([("", None, 'say "hi", ok', True), ("x", "y", "z", False)],
                                "a string, b string, c string, d boolean")
