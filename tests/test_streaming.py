@@ -80,3 +80,20 @@ def test_batch_ids_unique_stable_and_carry_the_batch(spark):
     assert len(set(ids)) == 5000
     assert {i >> (S.PARTITION_BITS + S.ROW_BITS) for i in ids} == {7}
     assert sorted((r["x"], r["event_id"]) for r in a) == sorted((r["x"], r["event_id"]) for r in b)
+
+
+def test_package_functions_ship_by_value():
+    """Python workers may not have the package on their path (another
+    working directory, a cluster without it installed): functions of the
+    package used inside pandas folds must unpickle without importing it."""
+    import os
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    blob = cloudpickle.dumps(S._alert_fold(60, 5, 100, 300))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    code = "import pickle, sys; f = pickle.loads(sys.stdin.buffer.read()); print(f.__name__)"
+    out = subprocess.run([sys.executable, "-c", code], input=blob, capture_output=True, cwd="/", env=env, timeout=120)
+    assert out.returncode == 0, out.stderr.decode()[-500:]
