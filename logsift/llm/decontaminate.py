@@ -67,14 +67,19 @@ class Wavelet:
 
 
 def suffix_array(seq: np.ndarray) -> np.ndarray:
-    """Suffix array by prefix doubling; ``seq`` ends with its only smallest."""
-    rank = np.unique(seq, return_inverse=True)[1].astype(np.int64)
+    """Suffix array by prefix doubling; ``seq`` ends with its only 0.
+
+    Separators (1) sort by their place, so that no comparison goes beyond the
+    end of a run, however often whole runs recur.  They stay below all words
+    and are never searched for, so one symbol stands for them in the index."""
+    split = seq == 1
+    rank = np.unique(np.where(split, np.cumsum(split), seq + np.where(seq > 1, int(split.sum()), 0)), return_inverse=True)[1].astype(np.int64)
     n, step = len(seq), 1
     while True:
         nxt = np.zeros(n, np.int64)
         nxt[:-step or None] = rank[step:] + 1 if step < n else 0
         key = rank * (n + 1) + nxt
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         ranked = key[order]
         fresh = np.concatenate([[0], np.cumsum(ranked[1:] != ranked[:-1])])
         rank = np.empty(n, np.int64)
