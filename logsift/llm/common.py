@@ -12,6 +12,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> SparkSession:
+    """Arrow batches of at most ``rows`` rows, as the texts in them are long."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+    return spark
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder; survives lost executors."""
     checkpoint_dir(df.sparkSession)

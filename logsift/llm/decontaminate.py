@@ -18,10 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from logsift.llm.common import small_batches
 from logsift.llm.words import ALNUM, U64, cut_rows, text_bytes, word_hashes, word_spans
 
 #: Words of phrases in one broadcast block; a larger benchmark takes more blocks.
 BLOCK_WORDS = 1_000_000
+#: Bytes of text in one shard (or one longer document).
+SHARD_BYTES = 6 << 20
 
 
 class Wavelet:
@@ -227,7 +230,8 @@ def _phrase_blocks(benchmark: DataFrame, id_col: str, text_col: str, block_words
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, id_col: str = "doc_id", text_col: str = "text",
-                  item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+                  item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS,
+                  shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """Per document row: ``doc_id``, ``n_words``, ``n_hit``, ``spans`` (merged
     ``[start, end)`` word spans to remove) and ``items`` (ids of the items of
     which a window occurs, as strings in order).
@@ -238,14 +242,14 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, width: int = 13, id_col
     once; a null item id is the empty string.  Repeated rows each give a row;
     an empty table gives no rows; other columns are ignored.
     """
-    sc = docs.sparkSession.sparkContext
+    sc = small_batches(docs.sparkSession).sparkContext
     blocks = [sc.broadcast(p) for p in _phrase_blocks(benchmark, item_id, item_text, block_words)]
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         alone = Phrases(blocks[0].value, width) if len(blocks) == 1 else None  # else one block in memory at a time
-        for batch in cut_rows(batches, "text"):
+        for batch in cut_rows(batches, "text", shard_bytes):
             data, offsets = text_bytes(batch.column("text"), lower=True)
             starts, ends, bounds = word_spans(data, offsets, ALNUM)
             hashes = word_hashes(data, starts, ends)

@@ -25,11 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import checkpoint, partitions
+from logsift.llm.common import checkpoint, partitions, small_batches
 from logsift.llm.words import NON_SPACE, U64, cut_rows, gram_hashes, mix, text_bytes, word_hashes, word_spans
 
-#: Bits of the shared map of shingles that occur twice or more (32 MB).
-FILTER_BITS = 28
+#: Bits of the shared map of shingles that occur twice or more (16 MB).
+FILTER_BITS = 27
 #: A shingle of more documents is heavy; so many heavy ones are shared at most.
 HEAVY = 100
 MAX_HEAVY = 1_000_000
@@ -81,7 +81,7 @@ def _nodes(src: DataFrame, k: int) -> DataFrame:
     return src.mapInArrow(run, f"doc_id {kind}, n_shingles long, node long")
 
 
-def _frequencies(src: DataFrame, k: int, bits: int, heavy: int, buckets: int, flush: int = 3_000_000) -> DataFrame:
+def _frequencies(src: DataFrame, k: int, bits: int, heavy: int, buckets: int, flush: int = 1_500_000) -> DataFrame:
     """Count every shingle of every document.  Tasks send sorted hashes as
     byte planes of their differences, dealt by leading bits; each bucket gives
     its slice of the map of repeated shingles, and its heavy ones."""
@@ -302,7 +302,7 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     takes part but never names a component.  Sets are compared by 64-bit
     hashes.  Empty tables give no rows; other columns are ignored.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     src = _source(docs, id_col, text_col)
     n = partitions(spark)
     buckets = max(256, 1 << (2 * n - 1).bit_length())

@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logsift.llm.common import checkpoint
+from logsift.llm.common import checkpoint, small_batches
 
 #: Pretoken cache of a worker process: entries, then it starts anew.
 CACHE_ENTRIES = 1_000_000
@@ -212,7 +212,7 @@ def pack(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2, id_
     often as they occur; an empty table gives no rows.  ``sequence_id`` is
     dense from 0.  Columns of ``docs`` other than the two named are ignored.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs.sparkSession)
     made = checkpoint(pieces(docs, tokenizer, size, end_id, id_col, text_col))  # tokenised once; ranks fixed
     by_task = made.groupBy("_task", "length").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)

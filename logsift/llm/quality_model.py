@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logsift.llm.common import small_batches
 from logsift.llm.sample import labelled
 from logsift.llm.words import cut_rows
 
@@ -165,7 +166,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     """``doc_id`` and ``score`` (0 to 1) per row.  Null text scores as empty
     text does; repeated rows each give a row; empty tables give no rows; other
     columns are ignored."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)  # a few tables of fixed size
+    shared = small_batches(docs.sparkSession).sparkContext.broadcast(model)  # a few tables of fixed size
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
 

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import checkpoint
+from logsift.llm.common import checkpoint, small_batches
 from logsift.llm.words import cut_rows
 
 #: Hosts whose removed branches may be broadcast.
@@ -233,6 +233,7 @@ def extract(pages: DataFrame, threshold: float = 0.25, min_pages: int = 5, id_co
     url is a host of its own name.  Repeated rows each give a row; empty tables
     give no rows; other columns are ignored.
     """
+    small_batches(pages.sparkSession)
     src = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.coalesce(F.col(html_col), F.lit("")).alias("html"))
     nodes = importance(src.select("url", "html"))
     low = nodes.filter((F.col("imp") < threshold) & (F.col("pages") >= min_pages) & (F.col("path") != ""))

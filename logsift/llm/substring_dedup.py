@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import partitions
+from logsift.llm.common import partitions, small_batches
 from logsift.llm.words import NON_SPACE, cut_rows, gram_hashes, text_bytes, word_hashes, word_spans
 
 SEED_WORDS = 8
@@ -215,7 +215,7 @@ def dedup(docs: DataFrame, window: int = 35, seed: int = SEED_WORDS, hot_seed: i
     text and texts shorter than a window lose nothing.  Repeated rows are
     copies of each other; empty tables give no rows; other columns are ignored.
     """
-    n = partitions(docs.sparkSession)
+    n = partitions(small_batches(docs.sparkSession))
     src = _docs(docs, id_col, text_col)
     kind = src.schema["doc_id"].dataType.simpleString()
 

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logsift.llm.common import small_batches
 from logsift.llm.sample import labelled
 from logsift.llm.words import U64, cut_rows, text_bytes, word_hashes, word_spans
 
@@ -173,7 +174,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     Repeated rows each give a row; empty tables give no rows; other columns
     are ignored.
     """
-    sc = docs.sparkSession.sparkContext
+    sc = small_batches(docs.sparkSession).sparkContext
     shared = sc.broadcast(model)  # at most max_words weights
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()

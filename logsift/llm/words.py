@@ -85,7 +85,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _BYTE = mix(np.arange(1, 257, dtype=U64) * _MUL)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chunk: int = 1 << 20) -> np.ndarray:
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, chunk: int = 1 << 18) -> np.ndarray:
     """A 64-bit hash of each word's bytes, the same in every process.  Works
     through the bytes ``chunk`` at a time to bound its memory."""
     out = np.empty(len(starts), U64)
@@ -121,7 +121,7 @@ def gram_hashes(h: np.ndarray, k: int) -> np.ndarray:
         return mix(acc)
 
 
-def cut_rows(batches: Iterator[pa.RecordBatch], text: str, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def cut_rows(batches: Iterator[pa.RecordBatch], text: str, limit: int = 3 << 20) -> Iterator[pa.RecordBatch]:
     """Slice batches so that each holds at most ``limit`` bytes of ``text``, or
     one row.  Bounds the memory of what follows; no row is cut or lost."""
     for batch in batches:
