@@ -9,7 +9,7 @@ binary search, and pairs that reach the overlap ``T`` are links.
 
 The result is the components of all links.  To find them without listing every
 pair of a large group, the search runs twice: first each node against the
-least node of the lists they share (one link per node joins most groups), then
+head of the lists it is in (one link per node joins most groups), then
 every pair of a list that the first round has left in different components.
 """
 
@@ -154,10 +154,12 @@ def _postings(src: DataFrame, k: int, percent: int, shared, bits: int) -> DataFr
             rank = np.arange(len(values)) - bounds[:-1][row]  # rows keep their places in the order
             picked = order[(rank < need[row]) & (level[order] > 0)]
             node = _signatures(values, bounds)
-            yield pa.RecordBatch.from_arrays([pa.array(values[picked].view(np.int64)), pa.array(node[row[picked]]), pa.array(sizes[row[picked]])],
-                                             names=["token", "node", "n"])
+            once = np.bincount(row[level == 0], minlength=len(sizes)).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(values[picked].view(np.int64)), pa.array(node[row[picked]]), pa.array(sizes[row[picked]]), pa.array(once[row[picked]])],
+                names=["token", "node", "n", "once"])
 
-    return src.select("text").mapInArrow(run, "token long, node long, n long").distinct()
+    return src.select("text").mapInArrow(run, "token long, node long, n long, once long").distinct()
 
 
 def _lists(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[list[np.ndarray]]:
@@ -320,17 +322,19 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     shared = spark.sparkContext.broadcast((bytes(marks), tokens[:, 0].astype(U64), np.ascontiguousarray(tokens[:, 1])))
 
     def shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = [x for x in _lists(batches, ["token", "node", "n"]) if len(x[0]) > 1]
+        out = [x for x in _lists(batches, ["token", "node", "n", "once"]) if len(x[0]) > 1]
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["token", "node", "n"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["token", "node", "n", "once"])
 
-    dealt = _postings(src, k, percent, shared, bits).repartition(n, "token").sortWithinPartitions("token", "n", "node")
-    lists = checkpoint(dealt.mapInArrow(shared_lists, "token long, node long, n long"))
+    # the node with the fewest shingles of its own heads a list: among altered
+    # copies that is the text they were made from, which links with most
+    order = lambda df: df.repartition(n, "token").sortWithinPartitions("token", "once", "n", "node")
+    lists = checkpoint(order(_postings(src, k, percent, shared, bits)).mapInArrow(shared_lists, "token long, node long, n long, once long"))
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
         for _, node, size in _lists(batches, ["token", "node", "n"]):
-            near = 100 * size[0] >= percent * size[1:]
+            near = (100 * size[0] >= percent * size[1:]) & (100 * size[1:] >= percent * size[0])
             a.append(np.full(int(near.sum()), node[0]))
             b.append(node[1:][near])
             if len(a) >= 5000:
@@ -338,7 +342,6 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
                 a, b = [], []
         yield _pairs_schema(a, b)
 
-    order = lambda df: df.repartition(n, "token").sortWithinPartitions("token", "n", "node")
     met = order(lists).mapInArrow(heads, "a long, b long").groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"))
     first = checkpoint(met.groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("a")).select("a", "b"))
     links = checkpoint(_verify(first, src, rep, k, percent))
@@ -349,7 +352,9 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
         for _, node, size, label in _lists(batches, ["token", "node", "n", "label"]):
             if (label == label[0]).all():
                 continue
-            for i in range(len(node) - 1):  # sorted by size: partners end where sizes differ too much
+            by_size = np.argsort(size, kind="stable")
+            node, size, label = node[by_size], size[by_size], label[by_size]
+            for i in range(len(node) - 1):   # partners end where sizes differ too much
                 stop = int(np.searchsorted(size, 100 * size[i] // percent, side="right"))
                 other = np.flatnonzero(label[i + 1 : stop] != label[i]) + i + 1
                 if len(other):
@@ -362,7 +367,7 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
                 a, b, held = [], [], 0
         yield _pairs_schema(a, b)
 
-    named = lists.join(labels, "node", "left").select("token", "node", "n", F.coalesce("label", "node").alias("label"))
+    named = lists.join(labels, "node", "left").select("token", "node", "n", "once", F.coalesce("label", "node").alias("label"))
     rest = order(named).mapInArrow(across, "a long, b long").distinct()
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = checkpoint(rest.join(tested, ["a", "b"], "left_anti"))

@@ -120,18 +120,24 @@ def _cut(flagged: DataFrame, window: int) -> DataFrame:
 
 
 def _windows(regions: DataFrame, window: int) -> DataFrame:
-    """One row per window of the runs of hot seeds."""
+    """Windows of the runs of hot seeds with their counts, added up in each
+    task before they are shuffled."""
+    def rows(counts: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([s for s, _ in counts], pa.int64()), pa.array([w for _, w in counts], pa.binary()),
+                                           pa.array(list(counts.values()), pa.int64())], names=["seed", "words", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
         for batch in batches:
-            seeds, out = [], []
             for seed, packed, words in zip(batch.column("seed").to_pylist(), batch.column("run").to_pylist(), batch.column("words").to_pylist()):
                 w = words.split()
-                for k in range(packed >> 8 & 255):
-                    seeds.append(seed)
-                    out.append(b" ".join(w[k : k + window]))
-            yield pa.RecordBatch.from_arrays([pa.array(seeds, pa.int64()), pa.array(out, pa.binary())], names=["seed", "words"])
+                counts.update([(seed, b" ".join(w[k : k + window])) for k in range(packed >> 8 & 255)])
+            if len(counts) > 50_000:
+                yield rows(counts)
+                counts = Counter()
+        yield rows(counts)
 
-    return regions.select("seed", "run", "words").mapInArrow(run, "seed long, words binary")
+    return regions.select("seed", "run", "words").mapInArrow(run, "seed long, words binary, n long")
 
 
 def occurrences(phrases: set[str], texts: list[str], window: int) -> Iterator[tuple[int, list[int]]]:
@@ -226,7 +232,7 @@ def dedup(docs: DataFrame, window: int = 35, seed: int = SEED_WORDS, hot_seed: i
     s = src.alias("s")
     mine = s.join(flagged, F.col("s.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("s.th") == F.col("f.th"))).select("s.doc_id", "s.th", "s.text", "f.runs")
     regions = _cut(mine, window)
-    hot_windows = _windows(regions.filter("hot > 0"), window).groupBy("seed", "words").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    hot_windows = _windows(regions.filter("hot > 0"), window).groupBy("seed", "words").agg(F.sum("n").alias("n")).filter("n > 1")
     salts = regions.filter("hot > 0").groupBy("seed").agg(F.max("hot").alias("hot"))
     known = hot_windows.join(salts, "seed").select(
         F.lit(None).cast(kind).alias("doc_id"), F.lit(0).cast("long").alias("th"), "seed", F.explode(F.sequence(F.lit(1).cast("long"), "hot")).alias("salt"),
