@@ -72,8 +72,7 @@ def preprocess(spark: SparkSession, logs_path: str, out_path: str, sample: int =
     flagged = P.flag_lines(keyed)
     stats = P.line_class_stats(flagged).collect()[0].asDict()
     kept = P.sample_normal_keep_suspicious(flagged, sample, seed=seed)
-    shuffled = P.shuffle_lines(kept.select("line_id", "line"), seed=seed)
-    io.write_lines(shuffled.orderBy("position"), out_path)
+    io.write_lines(P.random_order(kept.select("line_id", "line"), seed=seed), out_path)
     return stats
 
 

@@ -16,9 +16,8 @@ Hot keys.  One address (e.g. the empty address of error lines without a
 client) may hold a large share of all rows, so nothing here partitions by
 address alone:
 
-* the sliding count is a RANGE window partitioned by (address, time slice);
-  every slice also receives copies of the previous slice's last ``window`` of
-  events as context rows, so the count is exact and each task holds one slice;
+* the sliding count is a running sum of +1 / -1 steps over (address, time),
+  range-partitioned, so a dense address is split over many tasks;
 * the cooldown is sequential by nature (each firing depends on the previous
   one).  It is computed exactly in three distributed phases, see
   :func:`cooldown`.
@@ -85,39 +84,29 @@ def sliding_count(
     time_col: str = "indexed_at",
     window_sec: int = WINDOW_SEC,
     cap: int = CAP,
-    slice_sec: int = SLICE_SEC,
     key: str = "ip",
-    slice_rows: int = SLICE_ROWS,
 ) -> DataFrame:
     """Per suspicious event: ``count`` = suspicious events of the same key in
     ``[t - window, t]`` (inclusive, ties included), at most ``cap``.
 
-    ``slice_sec`` is narrowed (down to the window) when one key is so dense
-    that a (key, slice) group would exceed ``slice_rows``.
+    Each time adds its events at ``t`` and takes them off just after
+    ``t + window``; the count is the running sum of these steps.  That is
+    linear in the events, and :func:`number_rows` splits one dense key over
+    many tasks.
 
     Output: (event_id, key, t_us, count).
     """
-    if slice_sec < window_sec:
-        raise ValueError("slice must be at least as long as the window")
-    # narrow suspicious points, materialised once: read by the density check
-    # and by the window (the upstream parse is not run twice)
+    # narrow suspicious points, materialised once: read twice below
     pts = _checkpoint(suspicious_points(events, time_col, key))
-    slice_sec = fit_slice_sec(pts, key, slice_sec, window_sec, slice_rows)
-    w_us, s_us = window_sec * _US, slice_sec * _US
-    pts = pts.withColumn("slice", _slice_of(F.col("t_us"), s_us))
-    # an event in the last `window` of its slice is also a context row of the
-    # next slice; one explode keeps the upstream scan single-pass
-    to_next = F.col("t_us") >= (F.col("slice") + 1) * F.lit(s_us) - F.lit(w_us)
-    home = F.col("slice")
-    rows = pts.select(
-        "event_id", key, "t_us", home.alias("home"),
-        F.explode(F.when(to_next, F.array(home, home + 1)).otherwise(F.array(home))).alias("slice"),
-    ).withColumn("own", F.col("slice") == F.col("home"))
-    frame = Window.partitionBy(key, "slice").orderBy("t_us").rangeBetween(-w_us, 0)
-    counted = rows.withColumn("count", F.count(F.lit(1)).over(frame))
-    return counted.filter("own").select(
-        "event_id", key, "t_us", F.least(F.col("count"), F.lit(cap)).cast("bigint").alias("count")
-    )
+    per = pts.groupBy(key, "t_us").agg(F.count(F.lit(1)).alias("n"))
+    step = F.explode(F.array(
+        F.struct(F.col("t_us"), F.col("n").alias("d"), F.lit(True).alias("own")),
+        F.struct((F.col("t_us") + window_sec * _US + 1).alias("t_us"), (-F.col("n")).alias("d"), F.lit(False).alias("own")),
+    ))
+    steps = per.select(key, step.alias("s")).select(key, "s.*").groupBy(key, "t_us").agg(F.sum("d").alias("d"), F.max("own").alias("own"))
+    running = number_rows(steps, order=["t_us"], group=[key], sums={"count": F.col("d")})
+    counts = running.filter("own").select(key, "t_us", F.least(F.col("count"), F.lit(cap)).cast("bigint").alias("count"))
+    return pts.join(counts, [key, "t_us"]).select("event_id", key, "t_us", "count")
 
 
 def alert_candidates(counts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:
@@ -358,7 +347,7 @@ def alerts_event_time(
     """Alerts evaluated at every suspicious event (the live rule without
     batching artefacts); ``time_col`` is the clock (``indexed_at`` for the
     reference's processing-time behaviour, ``timestamp`` for log time)."""
-    counts = sliding_count(events, time_col, window_sec, cap, slice_sec)
+    counts = sliding_count(events, time_col, window_sec, cap)
     cands = alert_candidates(counts, threshold).select("ip", "t_us", "count")
     return alert_records(cooldown(cands, cooldown_sec, slice_sec), window_sec)
 

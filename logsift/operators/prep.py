@@ -74,6 +74,13 @@ def sample_normal_keep_suspicious(
     return susp.unionByName(picked.drop("_h"))
 
 
+def random_order(lines: DataFrame, key: str = "line_id", seed: str = SEED) -> DataFrame:
+    """Lines sorted in a reproducible random order (one range shuffle).  The
+    order has a seed of its own: with the sampler's it would put the sampled
+    lines, which have the smallest hashes, first."""
+    return lines.orderBy(rand_key(key, f"{seed}-order"), key)
+
+
 def shuffle_lines(lines: DataFrame, key: str = "line_id", seed: str = SEED) -> DataFrame:
     """Lines in a reproducible random order, with their 1-based ``position``."""
     ranked = number_rows(lines.withColumn("_h", rand_key(key, seed)), order=["_h", key], name="position")

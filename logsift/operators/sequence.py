@@ -24,6 +24,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Offset rows that may be broadcast (about 10 MB).
+BROADCAST_OFFSETS = 200_000
+
+
 def _checkpoint(df: DataFrame) -> DataFrame:
     from logsift.session import checkpoint_dir
 
@@ -76,7 +80,9 @@ def number_rows(
         F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"),
         *[F.coalesce(F.sum(f"_t_{k}").over(before), F.lit(0)).alias(f"_o_{k}") for k in sums],
     )
-    out = local.join(offsets, ["_pid", *group]).withColumn(name, F.col("_off") + F.col("_lrn"))
+    # at most partitions + groups rows; broadcast behind a count of them
+    small = totals.limit(BROADCAST_OFFSETS + 1).count() <= BROADCAST_OFFSETS
+    out = local.join(F.broadcast(offsets) if small else offsets, ["_pid", *group]).withColumn(name, F.col("_off") + F.col("_lrn"))
     for key in sums:
         out = out.withColumn(key, F.col(f"_o_{key}") + F.col(f"_ls_{key}"))
     drop = ["_pid", "_lrn", "_off"] + [f"_ls_{k}" for k in sums] + [f"_o_{k}" for k in sums]

@@ -59,6 +59,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current.rstrip("/")
+    if not sc.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if _LOCAL_CKPT is None:
         _LOCAL_CKPT = tempfile.mkdtemp(prefix="logsift-ckpt-", dir="/tmp")
     sc.setCheckpointDir(_LOCAL_CKPT)

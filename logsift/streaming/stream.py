@@ -135,13 +135,14 @@ def _ring_counts(seq: np.ndarray, ends: np.ndarray, now: np.ndarray, window_us:
                  block: int = 65_536) -> np.ndarray:
     """For each check ``k``: how many of the last ``cap`` entries of
     ``seq[: ends[k] + 1]`` (the ring at that moment) satisfy
-    ``now[k] - x <= window``.  Vectorised in blocks of checks."""
+    ``0 <= now[k] - x <= window``.  Vectorised in blocks of checks."""
     pad = np.full(cap - 1, np.iinfo(np.int64).min // 2, dtype=np.int64)  # never inside a window
     rings = np.lib.stride_tricks.sliding_window_view(np.concatenate([pad, seq]), cap)
     out = np.empty(len(ends), dtype=np.int64)
     for lo in range(0, len(ends), block):
         hi = min(lo + block, len(ends))
-        out[lo:hi] = ((now[lo:hi, None] - rings[ends[lo:hi]]) <= window_us).sum(axis=1)
+        age = now[lo:hi, None] - rings[ends[lo:hi]]
+        out[lo:hi] = ((age >= 0) & (age <= window_us)).sum(axis=1)  # a late event does not see later ones
     return out
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL
 from logsift import jobs
 from logsift.operators.alerts import alerts_event_time
+from logsift.operators import prep
 from logsift.operators.prep import flag_lines, line_class_stats
 from logsift.session import prepare, scratch_path
 from logsift.sources import io
@@ -56,6 +57,17 @@ def test_preprocess_sample(spark):
     assert kept == stats["suspicious_lines"] + min(100, stats["normal_lines"])
 
 
+def test_sampled_lines_are_mixed_throughout(spark):
+    """Every tenth of the output holds its share of the sampled lines."""
+    flagged = spark.range(20_000).select(F.col("id").alias("line_id"), F.lit("x").alias("line"), (F.col("id") % 4 == 0).alias("suspicious"))
+    kept = prep.sample_normal_keep_suspicious(flagged, 5000)
+    rows = prep.random_order(kept).collect()
+    assert len(rows) == 10_000
+    for k in range(10):
+        share = sum(not r["suspicious"] for r in rows[k * 1000 : (k + 1) * 1000])
+        assert 420 < share < 580
+
+
 def test_analyze_runs_from_csv(spark):
     path = scratch_path(spark, "metrics")
     io.write_metrics_by_run(metric_samples(spark, SMALL), path)

@@ -68,7 +68,7 @@ def test_ring_counts_match_direct_fold():
         win, expect = list(ring), []
         for t in values.tolist():
             win = (win + [t] * times.count(t))[-cap:]
-            expect.append(sum(1 for x in win if t - x <= w))
+            expect.append(sum(1 for x in win if 0 <= t - x <= w))
         assert got.tolist() == expect
 
 
@@ -97,3 +97,10 @@ def test_package_functions_ship_by_value():
     code = "import pickle, sys; f = pickle.loads(sys.stdin.buffer.read()); print(f.__name__)"
     out = subprocess.run([sys.executable, "-c", code], input=blob, capture_output=True, cwd="/", env=env, timeout=120)
     assert out.returncode == 0, out.stderr.decode()[-500:]
+
+
+def test_late_check_does_not_count_later_events():
+    import numpy as np
+
+    seq = np.array([100, 100, 100, 100, 50], dtype=np.int64)
+    assert S._ring_counts(seq, np.array([4]), np.array([50]), 60, 100).tolist() == [1]
