@@ -29,10 +29,11 @@ class Grams:
     in a bounded cache; an id is a position in ``names``."""
 
     def __init__(self, longest: int, entries: int = 200_000) -> None:
-        self.longest, self.entries = longest, entries
+        self.longest, self.entries, self.cleared = longest, entries, 0
         self.clear()
 
     def clear(self) -> None:
+        self.cleared += 1
         self.names: list[str] = []
         self.index: dict[str, int] = {}
         self.words: dict[str, np.ndarray] = {}
@@ -53,8 +54,9 @@ class Grams:
             got = self.words[word] = np.array(out, np.int64)
         return got
 
-    def profile(self, text: str | None, size: int) -> list[str]:
-        """The text's most frequent n-grams, ties in the order of the n-gram."""
+    def profile(self, text: str | None, size: int) -> list[int]:
+        """Ids of the text's most frequent n-grams, ties in the order of the
+        n-gram."""
         if len(self.words) > self.entries:
             self.clear()
         words = Counter(_LETTERS.findall((text or "").lower()))
@@ -68,8 +70,9 @@ class Grams:
         if len(own) > size:
             least = np.partition(counts, len(counts) - size)[len(counts) - size]
             own, counts = own[counts >= least], counts[counts >= least]
-        ranked = sorted(zip((-counts).tolist(), [self.names[k] for k in own.tolist()]))
-        return [g for _, g in ranked[:size]]
+        ids = own.tolist()
+        ranked = sorted(zip((-counts).tolist(), [self.names[k] for k in ids], ids))
+        return [k for _, _, k in ranked[:size]]
 
 
 def train(docs: DataFrame, when: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", longest: int = 3,
@@ -136,6 +139,7 @@ def predict(docs: DataFrame, profiles: dict[str, list[str]], id_col: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams, missing = Grams(longest), np.full(len(langs), -1, np.int64)
+        where, made = np.zeros((0, len(langs)), np.int64), 0  # places of the n-grams met so far, by id
         for b in batches:
             best, scores = [], []
             for text in b.column("text"):
@@ -144,7 +148,11 @@ def predict(docs: DataFrame, profiles: dict[str, list[str]], id_col: str = "doc_
                     best.append("und")
                     scores.append(0.0)
                     continue
-                at = np.array([places.get(g, missing) for g in own])
+                if made != grams.cleared:  # the cache was emptied: ids start anew
+                    where, made = where[:0], grams.cleared
+                if len(grams.names) > len(where):
+                    where = np.concatenate([where, np.array([places.get(g, missing) for g in grams.names[len(where) :]])])
+                at = where[own]
                 far = np.where(at < 0, size, np.abs(at - np.arange(len(own))[:, None])).sum(0)
                 k = int(far.argmin())
                 best.append(langs[k])
