@@ -134,8 +134,9 @@ def _frequencies(src: DataFrame, k: int, bits: int, heavy: int, buckets: int, fl
 
 def _postings(src: DataFrame, k: int, percent: int, shared, bits: int) -> DataFrame:
     """Short lists: the first ``n - T + 1`` shingles of each node in the global
-    order (once-only ones, then by hash, then heavy ones by count).  Once-only
-    shingles take their places but need no list."""
+    order (once-only ones, then by hash, then heavy ones by count), with the
+    place ``pos`` in that order.  Once-only shingles take their places but need
+    no list."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         marks, tokens, counts = shared.value
         marks = np.frombuffer(marks, np.uint8)
@@ -152,14 +153,16 @@ def _postings(src: DataFrame, k: int, percent: int, shared, bits: int) -> DataFr
             order = np.lexsort((values, level, row))
             need = sizes - (percent * sizes + 99) // 100 + 1
             rank = np.arange(len(values)) - bounds[:-1][row]  # rows keep their places in the order
-            picked = order[(rank < need[row]) & (level[order] > 0)]
+            on = (rank < need[row]) & (level[order] > 0)
+            picked = order[on]
             node = _signatures(values, bounds)
             once = np.bincount(row[level == 0], minlength=len(sizes)).astype(np.int64)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(values[picked].view(np.int64)), pa.array(node[row[picked]]), pa.array(sizes[row[picked]]), pa.array(once[row[picked]])],
-                names=["token", "node", "n", "once"])
+                [pa.array(values[picked].view(np.int64)), pa.array(node[row[picked]]), pa.array(sizes[row[picked]]), pa.array(once[row[picked]]),
+                 pa.array(rank[on])],
+                names=["token", "node", "n", "once", "pos"])
 
-    return src.select("text").mapInArrow(run, "token long, node long, n long, once long").distinct()
+    return src.select("text").mapInArrow(run, "token long, node long, n long, once long, pos long").distinct()
 
 
 def _lists(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[list[np.ndarray]]:
@@ -212,6 +215,22 @@ def divide_skip(query: np.ndarray, sets: list[np.ndarray], need: list[int], weig
     return out
 
 
+def partners(size: np.ndarray, pos: np.ndarray, label: np.ndarray, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Pairs of one list, each from its smaller set, that differ in ``label``
+    and can still link by way of this list.  Sets that share ``T`` shingles have
+    their first common one at most ``n - T`` places into each of them, so a
+    linked pair passes in that shingle's list."""
+    by_size = np.argsort(size, kind="stable")
+    n, p, own = size[by_size], pos[by_size], label[by_size]
+    for i in np.flatnonzero(p <= n - (2 * percent * n + 99 + percent) // (100 + percent)).tolist():
+        stop = int(np.searchsorted(n, 100 * n[i] // percent, side="right"))  # partners end where sizes differ too much
+        m = n[i + 1 : stop]
+        need = (percent * (n[i] + m) + 99 + percent) // (100 + percent)
+        other = np.flatnonzero((own[i + 1 : stop] != own[i]) & (p[i] <= n[i] - need) & (p[i + 1 : stop] <= m - need)) + i + 1
+        if len(other):
+            yield int(by_size[i]), by_size[other]
+
+
 def _verify(pairs: DataFrame, src: DataFrame, rep: DataFrame, k: int, percent: int, bits: int = 25) -> DataFrame:
     """The links among candidate pairs ``(a, b)``: both texts are joined on and
     searched.  A bit map of fixed size spares the shuffle most other texts."""
@@ -322,14 +341,14 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     shared = spark.sparkContext.broadcast((bytes(marks), tokens[:, 0].astype(U64), np.ascontiguousarray(tokens[:, 1])))
 
     def shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = [x for x in _lists(batches, ["token", "node", "n", "once"]) if len(x[0]) > 1]
+        out = [x for x in _lists(batches, ["token", "node", "n", "once", "pos"]) if len(x[0]) > 1]
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["token", "node", "n", "once"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["token", "node", "n", "once", "pos"])
 
     # the node with the fewest shingles of its own heads a list: among altered
     # copies that is the text they were made from, which links with most
     order = lambda df: df.repartition(n, "token").sortWithinPartitions("token", "once", "n", "node")
-    lists = checkpoint(order(_postings(src, k, percent, shared, bits)).mapInArrow(shared_lists, "token long, node long, n long, once long"))
+    lists = checkpoint(order(_postings(src, k, percent, shared, bits)).mapInArrow(shared_lists, "token long, node long, n long, once long, pos long"))
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
@@ -349,25 +368,20 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b, held = [], [], 0
-        for _, node, size, label in _lists(batches, ["token", "node", "n", "label"]):
+        for _, node, size, pos, label in _lists(batches, ["token", "node", "n", "pos", "label"]):
             if (label == label[0]).all():
                 continue
-            by_size = np.argsort(size, kind="stable")
-            node, size, label = node[by_size], size[by_size], label[by_size]
-            for i in range(len(node) - 1):   # partners end where sizes differ too much
-                stop = int(np.searchsorted(size, 100 * size[i] // percent, side="right"))
-                other = np.flatnonzero(label[i + 1 : stop] != label[i]) + i + 1
-                if len(other):
-                    a.append(np.minimum(node[i], node[other]))
-                    b.append(np.maximum(node[i], node[other]))
-                    held += len(other)
-            if held >= 50_000:
-                both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
-                yield _pairs_schema([both[:, 0]], [both[:, 1]])
-                a, b, held = [], [], 0
+            for i, other in partners(size, pos, label, percent):
+                a.append(np.minimum(node[i], node[other]))
+                b.append(np.maximum(node[i], node[other]))
+                held += len(other)
+                if held >= 50_000:
+                    both = np.unique(np.stack([np.concatenate(a), np.concatenate(b)], 1), axis=0)
+                    yield _pairs_schema([both[:, 0]], [both[:, 1]])
+                    a, b, held = [], [], 0
         yield _pairs_schema(a, b)
 
-    named = lists.join(labels, "node", "left").select("token", "node", "n", "once", F.coalesce("label", "node").alias("label"))
+    named = lists.join(labels, "node", "left").select("token", "node", "n", "once", "pos", F.coalesce("label", "node").alias("label"))
     rest = order(named).mapInArrow(across, "a long, b long").distinct()
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = checkpoint(rest.join(tested, ["a", "b"], "left_anti"))

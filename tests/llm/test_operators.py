@@ -86,6 +86,25 @@ def test_jaccard_join(spark, odd):
             assert key(got) == key(brute(rows))
 
 
+def test_every_linked_pair_passes_in_some_list():
+    rnd = random.Random(11)
+    base = rnd.sample(range(400), 60)
+    sets = [sorted(set(base) - set(rnd.sample(base, rnd.randint(0, 12))) | set(rnd.sample(range(400), rnd.randint(0, 9)))) for _ in range(60)]
+    lists = defaultdict(list)
+    for k, own in enumerate(sets):
+        for pos, x in enumerate(own):
+            lists[x].append((k, pos))
+    found = set()
+    for own in lists.values():
+        ids, pos = np.array(own).T
+        size = np.array([len(sets[k]) for k in ids])
+        for i, others in jaccard_join.partners(size, pos, ids, 80):
+            found |= {tuple(sorted((int(ids[i]), int(ids[j])))) for j in others}
+    linked = {(a, b) for a in range(60) for b in range(a + 1, 60)
+              if 100 * len(set(sets[a]) & set(sets[b])) >= 80 * len(set(sets[a]) | set(sets[b]))}
+    assert linked and linked <= found
+
+
 def test_divide_skip_equals_counting():
     rnd = random.Random(5)
     for _ in range(200):
