@@ -7,72 +7,73 @@ to its own.
 
 from __future__ import annotations
 
-import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import checkpoint
+from logsift.llm.common import checkpoint, small_batches
+from logsift.llm.words import cut_rows
 
 #: Bound of the training sample: so many rows of each language, by a hash of the id.
 MAX_TRAIN = 4000
 PROFILE = 400
-_LETTERS = re.compile(r"[^\W\d_]+")
-
-
-class Grams:
-    """Ids of the n-grams of a word (with ``_`` at both ends), kept per word
-    in a bounded cache; an id is a position in ``names``."""
-
-    def __init__(self, longest: int, entries: int = 200_000) -> None:
-        self.longest, self.entries, self.cleared = longest, entries, 0
-        self.clear()
-
-    def clear(self) -> None:
-        self.cleared += 1
-        self.names: list[str] = []
-        self.index: dict[str, int] = {}
-        self.words: dict[str, np.ndarray] = {}
-
-    def of(self, word: str) -> np.ndarray:
-        got = self.words.get(word)
-        if got is None:
-            w = f"_{word}_"
-            out = []
-            for n in range(1, self.longest + 1):
-                for a in range(len(w) - n + 1):
-                    g = w[a : a + n]
-                    if g != "_":
-                        k = self.index.setdefault(g, len(self.names))
-                        if k == len(self.names):
-                            self.names.append(g)
-                        out.append(k)
-            got = self.words[word] = np.array(out, np.int64)
-        return got
-
-    def profile(self, text: str | None, size: int) -> list[int]:
-        """Ids of the text's most frequent n-grams, ties in the order of the
-        n-gram."""
-        if len(self.words) > self.entries:
-            self.clear()
-        words = Counter(_LETTERS.findall((text or "").lower()))
-        if not words:
-            return []
-        parts = [self.of(w) for w in words]
-        ids = np.concatenate(parts)
-        weight = np.repeat(np.fromiter(words.values(), np.int64, len(words)), [len(p) for p in parts])
-        own, back = np.unique(ids, return_inverse=True)
-        counts = np.bincount(back, weights=weight).astype(np.int64)
-        if len(own) > size:
-            least = np.partition(counts, len(counts) - size)[len(counts) - size]
-            own, counts = own[counts >= least], counts[counts >= least]
-        ids = own.tolist()
-        ranked = sorted(zip((-counts).tolist(), [self.names[k] for k in ids], ids))
-        return [k for _, _, k in ranked[:size]]
+_BITS = 21  # of one code point; an n-gram of up to three fits in 63 bits
+_EDGE = ord("_")
+
+
+class Letters:
+    """Which code points are letters (word characters but for decimal digits
+    and ``_``); looked up once each."""
+
+    def __init__(self) -> None:
+        self.kind = np.zeros(0x110000, np.int8)  # 0 unknown, 1 letter, 2 other
+
+    def mask(self, points: np.ndarray) -> np.ndarray:
+        new = np.unique(points[self.kind[points] == 0])
+        for p in new.tolist():
+            c = chr(p)
+            self.kind[p] = 1 if c.isalnum() and not c.isdecimal() else 2
+        return self.kind[points] == 1
+
+
+def grams(letters: Letters, text: str | None, longest: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct n-grams of the text's lower-cased words (with ``_`` at
+    both ends) as numbers in the order of the n-grams, and their counts."""
+    points = np.frombuffer((text or "").lower().encode("utf-32-le"), np.uint32).astype(np.int64)
+    on = letters.mask(points)
+    after = np.zeros(len(on), bool)
+    after[1:] = on[:-1]
+    s = np.concatenate([[_EDGE], np.where(on, points, _EDGE)[on | after], [_EDGE]])  # one edge between words
+    inner = s != _EDGE
+    parts = [s[inner] << 2 * _BITS]
+    if longest > 1:
+        pair = inner[:-1] | inner[1:]
+        parts.append((s[:-1] << 2 * _BITS | s[1:] << _BITS)[pair])
+    if longest > 2:  # no word goes on beyond an edge
+        parts.append((s[:-2] << 2 * _BITS | s[1:-1] << _BITS | s[2:])[inner[1:-1]])
+    return np.unique(np.concatenate(parts), return_counts=True)
+
+
+def profile(letters: Letters, text: str | None, longest: int, size: int) -> np.ndarray:
+    """The text's most frequent n-grams, ties in the order of the n-gram."""
+    own, counts = grams(letters, text, longest)
+    if len(own) > size:
+        least = np.partition(counts, len(counts) - size)[len(counts) - size]
+        own, counts = own[counts >= least], counts[counts >= least]
+    return own[np.argsort(-counts, kind="stable")][:size]
+
+
+def name(gram: int) -> str:
+    points = [gram >> k * _BITS & (1 << _BITS) - 1 for k in (2, 1, 0)]
+    return "".join(chr(p) for p in points if p)
+
+
+def number(gram: str) -> int:
+    return sum(ord(c) << (2 - k) * _BITS for k, c in enumerate(gram))
 
 
 def train(docs: DataFrame, when: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", longest: int = 3,
@@ -80,7 +81,11 @@ def train(docs: DataFrame, when: Column, id_col: str = "doc_id", text_col: str =
     """Profiles from at most ``max_train`` rows of each language among those
     that satisfy ``when``, chosen by a hash of the id (repeatable).
 
-    Spark counts the n-grams; only each language's ``size`` best come back."""
+    N-grams have one to ``longest`` characters, three at most.  Spark counts
+    them; only each language's ``size`` best come back."""
+    if not 1 <= longest <= 3:
+        raise ValueError("n-grams have one to three characters")
+    small_batches(docs.sparkSession)
     src = docs.filter(when & F.col(lang_col).isNotNull()).select(
         F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
     totals = src.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
@@ -92,22 +97,15 @@ def train(docs: DataFrame, when: Column, id_col: str = "doc_id", text_col: str =
     few = few.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).filter(F.col("r") <= max_train)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams = Grams(longest, entries=1 << 60)
-        sums: dict[str, np.ndarray] = {}
-        for b in batches:
-            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
-                words = Counter(_LETTERS.findall((text or "").lower()))
-                acc = sums.get(lang, np.zeros(0, np.int64))
-                for w, n in words.items():
-                    ids = grams.of(w)
-                    if len(grams.names) > len(acc):
-                        acc = np.concatenate([acc, np.zeros(len(grams.names), np.int64)])
-                    np.add.at(acc, ids, n)
-                sums[lang] = acc
-        for lang, acc in sums.items():
-            k = np.flatnonzero(acc)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(k)), pa.array([grams.names[i] for i in k]), pa.array(acc[k])],
-                                             names=["lang", "gram", "n"])
+        letters = Letters()
+        for b in cut_rows(batches, "text"):
+            for lang in sorted(set(b.column("lang").to_pylist())):
+                texts = b.filter(pc.equal(b.column("lang"), lang)).column("text").to_pylist()
+                parts = [grams(letters, t, longest) for t in texts]
+                own, back = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+                n = np.bincount(back, weights=np.concatenate([c for _, c in parts]), minlength=len(own)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array([lang] * len(own), pa.string()), pa.array([name(g) for g in own.tolist()], pa.string()), pa.array(n)],
+                                                 names=["lang", "gram", "n"])
 
     counted = few.select("lang", "text").mapInArrow(count, "lang string, gram string, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     w = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
@@ -129,30 +127,27 @@ def predict(docs: DataFrame, profiles: dict[str, list[str]], id_col: str = "doc_
     get ``und`` with score 0.  Equal distances go to the first language by
     name.  Repeated rows each give a row; other columns are ignored.
     """
+    small_batches(docs.sparkSession)
     langs = sorted(profiles)
-    places: dict[str, np.ndarray] = {}
+    keys = np.array(sorted({number(g) for best in profiles.values() for g in best}), np.int64)
+    places = np.full((len(keys), len(langs)), -1, np.int64)
     for k, lang in enumerate(langs):
-        for r, g in enumerate(profiles[lang]):
-            places.setdefault(g, np.full(len(langs), -1, np.int64))[k] = r
+        places[np.searchsorted(keys, [number(g) for g in profiles[lang]]), k] = np.arange(len(profiles[lang]))
     src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     kind = src.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, missing = Grams(longest), np.full(len(langs), -1, np.int64)
-        where, made = np.zeros((0, len(langs)), np.int64), 0  # places of the n-grams met so far, by id
+        letters = Letters()
         for b in batches:
             best, scores = [], []
             for text in b.column("text"):
-                own = grams.profile(text.as_py(), size) if langs else []
-                if not own:
+                own = profile(letters, text.as_py(), longest, size) if len(keys) else keys
+                if not len(own):
                     best.append("und")
                     scores.append(0.0)
                     continue
-                if made != grams.cleared:  # the cache was emptied: ids start anew
-                    where, made = where[:0], grams.cleared
-                if len(grams.names) > len(where):
-                    where = np.concatenate([where, np.array([places.get(g, missing) for g in grams.names[len(where) :]])])
-                at = where[own]
+                near = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+                at = np.where((keys[near] == own)[:, None], places[near], -1)
                 far = np.where(at < 0, size, np.abs(at - np.arange(len(own))[:, None])).sum(0)
                 k = int(far.argmin())
                 best.append(langs[k])
