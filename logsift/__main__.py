@@ -25,6 +25,7 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("checkpoint")
     p.add_argument("--continuous", action="store_true", help="keep running (default: process what is there)")
     p.add_argument("--max-files-per-trigger", type=int)
+    p.add_argument("--max-bytes-per-trigger", default=jobs.MAX_BYTES_PER_TRIGGER)
 
     p = sub.add_parser("preprocess", help="keep suspicious lines, sample normal ones, shuffle")
     p.add_argument("logs")
@@ -50,7 +51,7 @@ def main(argv: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName(f"logsift-{a.job}").getOrCreate()
     if a.job == "ingest":
         qs = jobs.ingest(spark, a.logs, a.events, a.alerts, a.checkpoint, available_now=not a.continuous,
-                         max_files_per_trigger=a.max_files_per_trigger)
+                         max_files_per_trigger=a.max_files_per_trigger, max_bytes_per_trigger=a.max_bytes_per_trigger)
         for q in qs:
             q.awaitTermination()
     elif a.job == "preprocess":

@@ -31,6 +31,10 @@ from logsift.sources.logs import scan_log_lines
 from logsift.streaming import stream as S
 
 
+#: Input of one micro-batch of the live pipeline, unless files are limited instead.
+MAX_BYTES_PER_TRIGGER = "64g"
+
+
 def ingest(
     spark: SparkSession,
     logs_path: str,
@@ -39,20 +43,23 @@ def ingest(
     checkpoint: str,
     available_now: bool = True,
     max_files_per_trigger: int | None = None,
+    max_bytes_per_trigger: str = MAX_BYTES_PER_TRIGGER,
     lateness: str = "10 minutes",
 ) -> tuple[StreamingQuery, StreamingQuery]:
     """The live pipeline on a folder of text log files.
 
     Two chained streaming queries: lines -> parse/enrich -> events table
     (parquet under ``batch=<id>/date=<day>``, ``indexed_at`` stamped per
-    micro-batch, ids ``batch id | partition | row`` stable under retries,
-    idempotent per batch); then the events table, read back as a stream, -> stateful alerts
+    micro-batch, unique ids stable under retries, idempotent per batch); then the events table, read back as a stream, -> stateful alerts
     on ``indexed_at`` -> alerts table (exactly once through its checkpoint).
     With ``available_now`` the input present now is processed and both
-    queries stop (the second starts when the first ends).
+    queries stop (the second starts when the first ends).  A micro-batch takes
+    ``max_bytes_per_trigger`` of input, or ``max_files_per_trigger`` files if
+    that is given (the file source takes one limit).
     """
     prepare(spark)
-    lines = S.stream_log_source(spark, logs_path, fmt="text", max_files_per_trigger=max_files_per_trigger)
+    lines = S.stream_log_source(spark, logs_path, fmt="text", max_files_per_trigger=max_files_per_trigger,
+                                max_bytes_per_trigger=None if max_files_per_trigger else max_bytes_per_trigger)
     q_events = S.start_indexer(lines, events_path, f"{checkpoint}/events", available_now=available_now)
     if available_now:
         q_events.awaitTermination()

@@ -75,41 +75,42 @@ def stream_index(events: DataFrame, id_col: str = "line_id") -> DataFrame:
     return index_events(events.drop("indexed_at") if "indexed_at" in events.columns else events, id_col)
 
 
-# Event ids of the live indexer: batch id | partition | row, in 63 bits.
-BATCH_BITS, PARTITION_BITS, ROW_BITS = 24, 16, 23
-
-
-def number_batch(df: DataFrame, batch_id: int, name: str = "event_id") -> DataFrame:
-    """Unique, retry-stable ids for one micro-batch in a single pass:
-    ``batch_id << 39 | partition << 23 | row in partition`` (the partition
-    and row come from ``monotonically_increasing_id``).  A batch beyond the
-    layout (2^16 partitions, 2^23 rows per partition -- far above what
-    admission control lets in) fails loudly instead of reusing ids."""
-    if batch_id >= 1 << BATCH_BITS:
-        raise ValueError("batch id beyond the id layout")
-    mid = F.monotonically_increasing_id()
-    pid = F.shiftright(mid, 33)
+def number_batch(df: DataFrame, base: int, name: str = "event_id") -> DataFrame:
+    """Unique, retry-stable ids for one micro-batch in a single pass, from
+    ``base`` on: partitions take turns (``base + row * partitions +
+    partition``), so ids stay close to the number of rows, whatever the
+    number of partitions or of rows in one."""
+    mid = F.monotonically_increasing_id()  # partition << 33 | row
+    width = max(1, df.rdd.getNumPartitions())
     row = mid.bitwiseAND(F.lit((1 << 33) - 1))
-    ok = (pid < F.lit(1 << PARTITION_BITS)) & (row < F.lit(1 << ROW_BITS))
-    value = F.lit(batch_id << (PARTITION_BITS + ROW_BITS)) + F.shiftleft(pid, ROW_BITS) + row
-    return df.withColumn(
-        name, F.when(ok, value).otherwise(F.raise_error(F.lit("micro-batch too large for the event id layout")))
-    )
+    return df.withColumn(name, F.lit(base).cast("bigint") + row * F.lit(width) + F.shiftright(mid, 33))
+
+
+def _first_id(spark: SparkSession, path: str, batch_id: int) -> int:
+    """First free id of a batch: the one that its predecessor noted."""
+    if batch_id == 0:
+        return 0
+    return spark.read.schema("next bigint").json(f"{path}/_next/{batch_id - 1}").first()["next"]
 
 
 def start_indexer(lines: DataFrame, path: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Index raw lines (no id column): per micro-batch, parse/enrich, stamp
     ``indexed_at``, give the events ids (:func:`number_batch`) and write them to
     ``<path>/batch=<id>/date=<day>/`` with overwrite -- a retried batch
-    replaces its own output, so the sink is idempotent."""
+    replaces its own output, so the sink is idempotent.  ``_next/<id>`` notes
+    the first id after the batch, for its successor."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
         raw = spread(batch.withColumn("line_id", F.lit(0).cast("bigint")))  # few small files: use every core
         parsed = stream_index(parse_events(raw))
-        events = number_batch(parsed.drop("event_id"), batch_id).select(*parsed.columns)
-        events.withColumn("date", F.to_date("indexed_at")).write.mode("overwrite").partitionBy("date").parquet(
-            f"{path}/batch={batch_id}"
-        )
+        spark = batch.sparkSession
+        base = _first_id(spark, path, batch_id)
+        events = number_batch(parsed.drop("event_id"), base).select(*parsed.columns)
+        out = f"{path}/batch={batch_id}"
+        events.withColumn("date", F.to_date("indexed_at")).write.mode("overwrite").partitionBy("date").parquet(out)
+        last = spark.read.schema("event_id bigint").parquet(out).agg(F.max("event_id")).first()[0]
+        after = base if last is None else last + 1
+        spark.createDataFrame([(after,)], "next bigint").coalesce(1).write.mode("overwrite").json(f"{path}/_next/{batch_id}")
 
     w = lines.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="5 seconds")

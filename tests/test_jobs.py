@@ -28,7 +28,7 @@ def _log_files(spark):
 def test_ingest_latency_export(spark):
     logs = _log_files(spark)
     ev_path, al_path = scratch_path(spark, "ev"), scratch_path(spark, "al")
-    q_ev, q_al = jobs.ingest(spark, logs, ev_path, al_path, scratch_path(spark, "ck"))
+    q_ev, q_al = jobs.ingest(spark, logs, ev_path, al_path, scratch_path(spark, "ck"), max_files_per_trigger=1)
     q_al.awaitTermination()
     assert q_ev.exception() is None and q_al.exception() is None
     stored = io.read_events(spark, ev_path)

@@ -72,14 +72,14 @@ def test_ring_counts_match_direct_fold():
         assert got.tolist() == expect
 
 
-def test_batch_ids_unique_stable_and_carry_the_batch(spark):
+def test_batch_ids_unique_stable_and_unbounded(spark):
     df = spark.range(0, 5000, numPartitions=5).select(F.col("id").alias("x"))
-    a = S.number_batch(df, 7).collect()
-    b = S.number_batch(df, 7).collect()
-    ids = [r["event_id"] for r in a]
-    assert len(set(ids)) == 5000
-    assert {i >> (S.PARTITION_BITS + S.ROW_BITS) for i in ids} == {7}
+    a = S.number_batch(df, 1 << 40).collect()
+    b = S.number_batch(df, 1 << 40).collect()
+    assert {r["event_id"] for r in a} == set(range(1 << 40, (1 << 40) + 5000))
     assert sorted((r["x"], r["event_id"]) for r in a) == sorted((r["x"], r["event_id"]) for r in b)
+    big = S.number_batch(spark.range(0, 9_000_000, numPartitions=1), 0)  # more rows in a partition than 2 ** 23
+    assert big.agg(F.max("event_id")).first()[0] == 8_999_999
 
 
 def test_package_functions_ship_by_value():
