@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logsift.llm.common import partitions, small_batches
+from logsift.llm.common import checkpoint, partitions, small_batches
 from logsift.llm.words import NON_SPACE, cut_rows, gram_hashes, text_bytes, word_hashes, word_spans
 
 SEED_WORDS = 8
@@ -225,7 +225,9 @@ def dedup(docs: DataFrame, window: int = 35, seed: int = SEED_WORDS, hot_seed: i
     src = _docs(docs, id_col, text_col)
     kind = src.schema["doc_id"].dataType.simpleString()
 
-    recurring = _runs(src, window, seed).groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # written, so that both sides of the join below are plain exchanges and the
+    # adaptive skew join splits the runs of a hot seed
+    recurring = checkpoint(_runs(src, window, seed).groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
     hot = F.when(F.col("n") > hot_seed, F.ceil(F.col("n") / hot_seed)).otherwise(F.lit(0)).cast("long")
     flagged = (_runs(src, window, seed).join(recurring, "seed").groupBy("doc_id", "th")
                .agg(F.collect_set(F.struct("run", "seed", hot.alias("hot"))).alias("runs")).alias("f"))
