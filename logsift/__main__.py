@@ -27,6 +27,13 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--max-files-per-trigger", type=int)
     p.add_argument("--max-bytes-per-trigger", default=jobs.MAX_BYTES_PER_TRIGGER)
 
+    p = sub.add_parser("alerts", help="alert rule over a stored events table")
+    p.add_argument("events")
+    p.add_argument("alerts")
+    p.add_argument("--clock", choices=jobs.CLOCKS, default="timestamp")
+    p.add_argument("--start", help="first indexed_at")
+    p.add_argument("--end", help="indexed_at limit, exclusive")
+
     p = sub.add_parser("preprocess", help="keep suspicious lines, sample normal ones, shuffle")
     p.add_argument("logs")
     p.add_argument("out")
@@ -54,6 +61,8 @@ def main(argv: list[str] | None = None) -> None:
                          max_files_per_trigger=a.max_files_per_trigger, max_bytes_per_trigger=a.max_bytes_per_trigger)
         for q in qs:
             q.awaitTermination()
+    elif a.job == "alerts":
+        jobs.batch_alerts(spark, a.events, a.alerts, a.clock, a.start, a.end)
     elif a.job == "preprocess":
         print(json.dumps(jobs.preprocess(spark, a.logs, a.out, a.sample)))
     elif a.job == "latency":

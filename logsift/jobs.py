@@ -5,6 +5,8 @@ computes on the driver beyond the scalar results the operators return.
 
 * :func:`ingest` -- the live pipeline: text log files -> parse/enrich ->
   events table, and suspicious events -> stateful alerts -> alerts table.
+* :func:`batch_alerts` -- the alert rule over a stored events table, on a
+  clock of choice.
 * :func:`preprocess` -- flag suspicious lines, keep all of them plus an exact
   uniform sample of the normal ones, shuffle, write a clean log.
 * :func:`latency_report` -- latency statistics of an events table, optionally
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, LongType, StructField, StructType
 
+from logsift.operators import alerts as A
 from logsift.operators import prep as P
 from logsift.operators import reports as R
 from logsift.operators import runs as U
@@ -33,6 +36,8 @@ from logsift.streaming import stream as S
 
 #: Input of one micro-batch of the live pipeline, unless files are limited instead.
 MAX_BYTES_PER_TRIGGER = "64g"
+#: Event columns that the batch alert rule can run on.
+CLOCKS = ("timestamp", "ingested_at", "indexed_at")
 
 
 def ingest(
@@ -70,6 +75,21 @@ def ingest(
     return q_events, q_alerts
 
 
+def batch_alerts(spark: SparkSession, events_path: str, alerts_path: str, clock: str = "timestamp",
+                 start: str | None = None, end: str | None = None) -> None:
+    """Alerts of a stored events table, written to ``alerts_path`` (replaced).
+
+    ``clock`` is the event column that the window and the cooldown run on:
+    ``timestamp`` (log time), ``ingested_at`` or ``indexed_at``.  ``start`` and
+    ``end`` restrict ``indexed_at`` and prune the table's partitions.
+    """
+    if clock not in CLOCKS:
+        raise ValueError(f"clock must be one of {', '.join(CLOCKS)}")
+    prepare(spark)
+    events = io.read_events(spark, events_path, start, end)
+    io.write_alerts(A.alerts_event_time(events, time_col=clock), alerts_path, mode="overwrite")
+
+
 def preprocess(spark: SparkSession, logs_path: str, out_path: str, sample: int = 0, seed: str = P.SEED) -> dict:
     """Clean log for replay: every suspicious line plus exactly ``sample``
     normal lines (all of them when ``sample`` is 0 or too large), in a
@@ -96,8 +116,7 @@ def export(spark: SparkSession, events_path: str, alerts_path: str, out_dir: str
     """``events``, ``alerts`` (newest first) and ``summary`` CSV folders."""
     events = io.read_events(spark, events_path)
     io.export_events_csv(events, f"{out_dir}/events", limit)
-    alerts = io.read_alerts(spark, alerts_path).orderBy(F.desc("created_at"), "ip")
-    io.export_csv(alerts, f"{out_dir}/alerts")
+    io.export_csv(A.recent_alerts(io.read_alerts(spark, alerts_path)), f"{out_dir}/alerts")
     io.export_csv(R.export_summary(events), f"{out_dir}/summary")
 
 

@@ -352,6 +352,12 @@ def alerts_event_time(
     return alert_records(cooldown(cands, cooldown_sec, slice_sec), window_sec)
 
 
+def recent_alerts(alerts: DataFrame, k: int = 0) -> DataFrame:
+    """Alerts newest first, ties by address; the first ``k`` if ``k > 0``."""
+    newest = alerts.orderBy(F.desc("created_at"), "ip")
+    return newest.limit(k) if k > 0 else newest
+
+
 # --- flush-aligned evaluation ---------------------------------------------
 
 def flush_candidates(

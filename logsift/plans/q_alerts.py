@@ -74,7 +74,7 @@ def alert_breakdown(spark, sf):
 @query("recent_alerts", "2.4", with_ctes(
     "SELECT * FROM alerts ORDER BY created_at DESC, ip LIMIT 20", "alerts"))
 def recent_alerts(spark, sf):
-    return event_alerts(spark, sf).orderBy(F.desc("created_at"), "ip").limit(20)
+    return A.recent_alerts(event_alerts(spark, sf), k=20)
 
 
 @query("alert_potential", "2.5", with_ctes(

@@ -6,6 +6,7 @@ operators on the same data."""
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SMALL
@@ -39,6 +40,13 @@ def test_ingest_latency_export(spark):
     got = sorted((r["ip"], r["created_at"]) for r in io.read_alerts(spark, al_path).collect())
     batch = sorted((r["ip"], r["created_at"]) for r in alerts_event_time(stored).collect())
     assert got == batch
+    again = scratch_path(spark, "al-batch")
+    for clock in jobs.CLOCKS:  # the stored table again, by the batch job
+        jobs.batch_alerts(spark, ev_path, again, clock)
+        rule = alerts_event_time(stored, time_col=clock)
+        assert sorted(map(str, io.read_alerts(spark, again).select(rule.columns).collect())) == sorted(map(str, rule.collect()))
+    with pytest.raises(ValueError):
+        jobs.batch_alerts(spark, ev_path, again, "ip")
     lat = jobs.latency_report(spark, ev_path).collect()[0]
     assert lat["count"] == stored.count()
     out = scratch_path(spark, "export")

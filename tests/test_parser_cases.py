@@ -94,6 +94,8 @@ def test_ip_class(spark, ip, cls):
     ("Mozilla/5.0 (iPhone; CPU iPhone OS 16_0 like Mac OS X) Safari/604.1", "Safari", "macOS"),
     ("Mozilla/4.0 (compatible; MSIE 8.0; Windows NT 6.1; Trident/4.0)", "Internet Explorer", "Windows"),
     ("robot one", "Other", "Other"),
+    ("Dalvik, Android 14", "Other", "Android"),
+    ("reader on an iPad", "Other", "iOS"),
 ])
 def test_user_agent(spark, ua, browser, os_):
     r = enrich_row(spark, ua=ua)
