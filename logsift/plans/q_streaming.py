@@ -34,9 +34,10 @@ def replay_files(spark, sf, chunks: int = REPLAY_CHUNKS) -> str:
     top = lines.agg(F.max("line_id")).collect()[0][0] or 0
     size = top // chunks + 1
     k_files = files_per_chunk(spark)
+    # the outer chunks have open ends: negative and NULL ids are in the first
+    chunk = F.coalesce(F.least(F.greatest(F.floor(F.col("line_id") / size), F.lit(0)), F.lit(chunks - 1)), F.lit(0))
     for k in range(chunks):
-        part = lines.filter((F.col("line_id") >= k * size) & (F.col("line_id") < (k + 1) * size))
-        part.repartition(k_files).write.parquet(f"{base}/{k:04d}")
+        lines.filter(chunk == k).repartition(k_files).write.parquet(f"{base}/{k:04d}")
         time.sleep(1.1)  # distinct modification times: the source orders files by them
     return f"{base}/*"
 
