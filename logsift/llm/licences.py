@@ -54,22 +54,28 @@ RULES = [
     ("CC-BY-NC-4.0", (80,)), ("CC-BY-4.0", (81,)), ("CC-BY-SA-4.0", (82,)), ("CC0-1.0", (83,)), ("CC-BY-4.0", (84,)),
 ]
 
-CUT = r"[.!?]+([ \n]|$)|\n *\n"
+def _marked(low: Column) -> Column:
+    """Lower-cased text with runs of anything but letters and digits as one
+    space, except that ``|`` stands where a sentence ends (``.!?`` before white
+    space, or an empty line) and a newline where a line ends."""
+    folded = F.regexp_replace(low, r"[^a-z0-9.!?\n]+", " ")
+    cut = F.regexp_replace(F.regexp_replace(folded, r"(?<![.!?])[.!?]++([ \n]+|$)", "|"), r"\n *\n[ \n]*", "|")
+    marked = F.regexp_replace(F.regexp_replace(cut, r"[^a-z0-9|\n]+", " "), r" ?([|\n]) ?", "$1")
+    return F.concat(F.lit("\n"), marked, F.lit("\n"))
 
 
-def _pieces(low: Column) -> Column:
-    """Normalised, non-empty sentences of lower-cased text: runs of anything
-    but letters and digits as one space; a sentence ends at ``.!?`` before
-    white space, or at an empty line."""
-    folded = F.regexp_replace(low, r"[^a-z0-9.!?\n]+", " ")
-    parts = F.transform(F.split(folded, CUT), lambda s: F.btrim(F.regexp_replace(s, r"[^a-z0-9]+", " ")))
-    return F.filter(parts, lambda s: s != "")
+def _found(low: Column) -> Column:
+    """The known sentences of a text, in order: from the start of a sentence or
+    line to the end of one, over line wraps, the longest at each start."""
+    longest = sorted((s for s, _ in known()), key=len, reverse=True)
+    pattern = r"(?<=[|\n])(?:" + "|".join(s.replace(" ", r"[ \n]") for s in longest) + r")(?=[|\n])"
+    return F.transform(F.regexp_extract_all(_marked(low), F.lit(pattern), F.lit(0)), lambda s: F.translate(s, "\n", " "))
 
 
 def gate_words() -> list[str]:
     """A few words of which every known sentence has one (greedy cover, long
     words first).  A text without any of them has no known sentence, so it
-    need not be split."""
+    need not be searched."""
     left, out = [set(s.split()) for s, _ in known()], []
     while left:
         words = {w for s in left for w in s}
@@ -102,7 +108,8 @@ def sequences() -> list[tuple[str, str]]:
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: ``doc_id``, ``sentence_ids`` (recognised, in order), ``licences`` (names, in the order of the rules, each once) and
+    """Per row: ``doc_id``, ``sentence_ids`` (recognised from the start of a
+    sentence or line to the end of one, over line wraps, in order), ``licences`` (names, in the order of the rules, each once) and
     ``n_unmatched`` (recognised sentences that no matching rule has).
 
     A rule matches if its identifiers follow each other among the recognised
@@ -115,8 +122,8 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     gate = F.lit(False)
     for word in gate_words():
         gate = gate | F.contains(F.col("_low"), F.lit(word))
-    src = src.select("doc_id", F.when(gate, _pieces(F.col("_low"))).otherwise(F.array().cast("array<string>")).alias("_s"))
-    ids = src.select("doc_id", F.filter(F.transform("_s", lambda s: lookup[s]), lambda i: i.isNotNull()).alias("sentence_ids"))
+    src = src.select("doc_id", F.when(gate, _found(F.col("_low"))).otherwise(F.array().cast("array<string>")).alias("_s"))
+    ids = src.select("doc_id", F.transform("_s", lambda s: lookup[s]).alias("sentence_ids"))
     rules = F.array(*[F.struct(F.lit(n).alias("name"), F.lit(p).alias("seq")) for n, p in sequences()])
     seq = F.concat(F.lit(","), F.array_join(F.col("sentence_ids").cast("array<string>"), ","), F.lit(","))
     empty = F.size("sentence_ids") == 0

@@ -230,6 +230,32 @@ def test_licences(spark):
     assert licences.scan(docs.limit(0)).count() == 0
 
 
+def licence_brute(text):
+    """Every known sentence at every start of a sentence or line."""
+    known, out = dict(licences.known()), []
+    text = "\n".join(" ".join(re.sub(r"[^a-z0-9.!?]", " ", x).split()) for x in (text or "").lower().split("\n"))
+    for piece in re.split(r"[.!?]+(?:\s+|$)|\n\n+", text):
+        lines = [x for x in (" ".join(re.findall("[a-z0-9]+", line)) for line in piece.split("\n")) if x]
+        at = 0
+        while at < len(lines):
+            ends = [k for k in range(len(lines), at, -1) if " ".join(lines[at:k]) in known]
+            out += [known[" ".join(lines[at : ends[0]])]] if ends else []
+            at = ends[0] if ends else at + 1
+    return out
+
+
+def test_licences_at_line_starts(spark):
+    notice = licences.SENTENCES
+    made = [(1, "| haanananes |\n" + notice[23]), (2, "Heading\n# " + notice[80] + "\nmore"), (3, "Copyright 2020 X\n" + notice[14][:-1] + "\nNo stop here"),
+            (4, "x\r\n * This program is free software: you can\r\n * " + notice[30][39:].replace(" under ", "\n * under\t") + " y"),
+            (5, "a b\n" + notice[20].replace("(", "\n(")), (6, "not " + notice[80]), (7, "wow... .. \n .\n. " + notice[80] + ".b"), (8, "x\n" + notice[81] + ")\n? " + notice[82])]
+    docs = spark.createDataFrame(made, "doc_id long, text string").unionByName(table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text"))
+    got = licences.scan(docs).select("doc_id", "sentence_ids").collect()
+    assert key(got) == key((r.doc_id, licence_brute(r.text)) for r in docs.collect())
+    named = {r.doc_id: r.licences for r in licences.scan(docs.limit(len(made))).collect()}
+    assert named == {1: ["Apache-2.0"], 2: ["CC-BY-NC-4.0"], 3: ["MIT"], 4: ["GPL-3.0-or-later"], 5: ["Apache-2.0"], 6: [], 7: [], 8: ["CC-BY-4.0", "CC-BY-SA-4.0"]}
+
+
 def test_language_profiles(spark, odd):
     docs = docs_of(spark)
     profiles = langid.train(docs, fold("doc_id", 3) != 1)
