@@ -32,6 +32,7 @@ SENTENCES = {
     41: "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
     42: "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution.",
     43: "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.",
+    44: "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",  # before bullets
     50: "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
     51: "If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/.",
     60: "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
@@ -50,6 +51,7 @@ RULES = [
     ("GPL-3.0-or-later", (30, 32, 33)), ("GPL-3.0-or-later", (30,)), ("GPL-2.0-or-later", (31, 32, 33)), ("GPL-2.0-or-later", (31,)),
     ("GPL-3.0", (34,)), ("GPL-2.0", (35,)),
     ("BSD-3-Clause", (40, 41, 42, 43)), ("BSD-2-Clause", (40, 41, 42)),
+    ("BSD-3-Clause", (44, 41, 42, 43)), ("BSD-2-Clause", (44, 41, 42)),
     ("MPL-2.0", (50, 51)), ("MPL-2.0", (50,)), ("ISC", (60,)), ("Unlicense", (70,)),
     ("CC-BY-NC-4.0", (80,)), ("CC-BY-4.0", (81,)), ("CC-BY-SA-4.0", (82,)), ("CC0-1.0", (83,)), ("CC-BY-4.0", (84,)),
 ]
@@ -57,16 +59,17 @@ RULES = [
 def _marked(low: Column) -> Column:
     """Lower-cased text with runs of anything but letters and digits as one
     space, except that ``|`` stands where a sentence ends (``.!?`` before white
-    space, or an empty line) and a newline where a line ends."""
+    space) and a newline where a line ends.  Empty lines are one line end: the
+    official texts have them inside sentences 10, 21 and 40."""
     folded = F.regexp_replace(low, r"[^a-z0-9.!?\n]+", " ")
-    cut = F.regexp_replace(F.regexp_replace(folded, r"(?<![.!?])[.!?]++([ \n]+|$)", "|"), r"\n *\n[ \n]*", "|")
+    cut = F.regexp_replace(F.regexp_replace(folded, r"(?<![.!?])[.!?]++([ \n]+|$)", "|"), r" ?\n[ \n]*", "\n")
     marked = F.regexp_replace(F.regexp_replace(cut, r"[^a-z0-9|\n]+", " "), r" ?([|\n]) ?", "$1")
     return F.concat(F.lit("\n"), marked, F.lit("\n"))
 
 
 def _found(low: Column) -> Column:
     """The known sentences of a text, in order: from the start of a sentence or
-    line to the end of one, over line wraps, the longest at each start."""
+    line to the end of one, over line wraps and empty lines, the longest at each start."""
     longest = sorted((s for s, _ in known()), key=len, reverse=True)
     pattern = r"(?<=[|\n])(?:" + "|".join(s.replace(" ", r"[ \n]") for s in longest) + r")(?=[|\n])"
     return F.transform(F.regexp_extract_all(_marked(low), F.lit(pattern), F.lit(0)), lambda s: F.translate(s, "\n", " "))
@@ -90,7 +93,7 @@ def normalise(sentence: str) -> list[str]:
     import re
 
     folded = re.sub(r"[^a-z0-9.!?\n]+", " ", sentence.lower())
-    parts = re.split(r"[.!?]+(?:[ \n]|$)|\n *\n", folded)
+    parts = re.split(r"[.!?]+(?:[ \n]|$)", folded)
     return [p for p in (re.sub(r"[^a-z0-9]+", " ", p).strip() for p in parts) if p]
 
 
@@ -109,7 +112,7 @@ def sequences() -> list[tuple[str, str]]:
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``sentence_ids`` (recognised from the start of a
-    sentence or line to the end of one, over line wraps, in order), ``licences`` (names, in the order of the rules, each once) and
+    sentence or line to the end of one, over line wraps and empty lines, in order), ``licences`` (names, in the order of the rules, each once) and
     ``n_unmatched`` (recognised sentences that no matching rule has).
 
     A rule matches if its identifiers follow each other among the recognised

@@ -234,7 +234,7 @@ def licence_brute(text):
     """Every known sentence at every start of a sentence or line."""
     known, out = dict(licences.known()), []
     text = "\n".join(" ".join(re.sub(r"[^a-z0-9.!?]", " ", x).split()) for x in (text or "").lower().split("\n"))
-    for piece in re.split(r"[.!?]+(?:\s+|$)|\n\n+", text):
+    for piece in re.split(r"[.!?]+(?:\s+|$)", text):
         lines = [x for x in (" ".join(re.findall("[a-z0-9]+", line)) for line in piece.split("\n")) if x]
         at = 0
         while at < len(lines):
@@ -256,6 +256,76 @@ def test_licences_at_line_starts(spark):
     assert named == {1: ["Apache-2.0"], 2: ["CC-BY-NC-4.0"], 3: ["MIT"], 4: ["GPL-3.0-or-later"], 5: ["Apache-2.0"], 6: [], 7: [], 8: ["CC-BY-4.0", "CC-BY-SA-4.0"]}
 
 
+MIT = """MIT License
+
+Copyright (c) 2020 A B
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD = """Copyright (c) 2020, A B
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+%s
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES ARE DISCLAIMED.
+"""
+THIRD = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+APACHE = """   Copyright [yyyy] [name of copyright owner]
+
+   Licensed under the Apache License, Version 2.0 (the "License");
+   you may not use this file except in compliance with the License.
+   You may obtain a copy of the License at
+
+       http://www.apache.org/licenses/LICENSE-2.0
+
+   Unless required by applicable law or agreed to in writing, software
+   distributed under the License is distributed on an "AS IS" BASIS,
+   WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+   See the License for the specific language governing permissions and
+   limitations under the License.
+"""
+
+
+def test_licence_files(spark):
+    bullets = re.sub(r"(?m)^\d\.", "*", BSD % THIRD)
+    files = {"MIT": MIT, "MIT2": MIT.replace("\n", "\r\n"), "BSD-3-Clause": BSD % THIRD, "BSD-3-Clause2": bullets, "BSD-2-Clause": BSD % "", "Apache-2.0": APACHE,
+             "Apache-2.02": "".join(f"# {x}\n" for x in APACHE.split("\n"))}
+    docs = spark.createDataFrame(list(files.items()), "doc_id string, text string")
+    got = {r.doc_id: (r.licences, [i // 100 for i in r.sentence_ids], r.n_unmatched) for r in licences.scan(docs).collect()}
+    ids = {"MIT": [10, 11, 12], "BSD-3-Clause": [40, 41, 42, 43], "BSD-2-Clause": [40, 41, 42], "Apache-2.0": [20, 21, 22]}
+    ids |= {"MIT2": ids["MIT"], "BSD-3-Clause2": [44, 41, 42, 43], "Apache-2.02": ids["Apache-2.0"]}
+    assert got == {k: ([k.removesuffix("2")], v, 0) for k, v in ids.items()}
+
+
 def test_language_profiles(spark, odd):
     docs = docs_of(spark)
     profiles = langid.train(docs, fold("doc_id", 3) != 1)
