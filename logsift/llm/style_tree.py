@@ -42,6 +42,9 @@ ROLES = set("navigation banner contentinfo complementary search dialog alert men
 HINTS = set("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs
 footer sidebar widget comment comments commentlist disqus replies reply respond cookie cookies consent gdpr notice banner popup modal newsletter subscribe
 subscription paywall share sharing social related recommended masthead toolbar pagination pager copyright disclaimer login signup""".split())
+#: Class and id words of a wrapper's state (``no-sidebar``, ``menu-open``): it is around the article.
+STATES = set("no non without has have with open opened closed collapsed expanded enabled disabled".split())
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 PROTECTED = set("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt figcaption article main".split())
 
 _MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
@@ -53,8 +56,9 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 class Element:
     tag: str
     path: str
-    off: bool  # by HTML's own marks, not the article
+    off: bool  # by HTML's own marks or a class or id, not the article
     main: bool  # inside article or main
+    hard: bool = False  # by HTML's own marks
     children: list[str] = field(default_factory=list)
 
 
@@ -64,6 +68,18 @@ class Page:
     elements: list[Element]
 
 
+def hinted(tag: str, main: bool, classes: list[str], ids: list[str]) -> bool:
+    """If classes or ids mark an element as not the article.  Inside an article
+    or main only a whole class of a container does; ids and parts of classes
+    there come from headings and topics."""
+    if tag in ("html", "body", "article", "main") or tag in HEADINGS:
+        return False
+    if main:
+        return tag not in PROTECTED and tag not in INLINE and any(c.lower() in HINTS for c in classes)
+    parts = [{w.lower() for w in _WORD.findall(c)} for c in classes + ids]
+    return any(p & HINTS and not p & STATES for p in parts)
+
+
 def parse(html: str | None) -> Page:
     """The elements and text blocks of a page.  A block ends at the start or
     end of any element that is not inline; unclosed and stray tags are
@@ -139,13 +155,14 @@ def parse(html: str | None) -> Page:
                     if stack[k].tag in SCOPE.get(tag, ()):
                         break
         top = stack[-1]
-        label, off = tag, tag in NOT_MAIN or (tag == "header" and not top.main)
+        hint, label, off = False, tag, tag in NOT_MAIN or (tag == "header" and not top.main)
         if m[3].strip():
-            marks: set[str] = set()
+            classes: list[str] = []
+            ids: list[str] = []
             for name, a, b, c in _ATTR.findall(m[3]):
                 name, value = name.lower(), a or b or c
                 if name in ("class", "id"):
-                    marks.update(w.lower() for w in _WORD.findall(value))
+                    (classes if name == "class" else ids).extend(value.split())
                     label += "." + re.sub(r"\d+", "0", " ".join(value.split()))
                 elif name == "role":
                     off |= value.lower() in ROLES
@@ -153,11 +170,12 @@ def parse(html: str | None) -> Page:
                     off = True
                 elif re.search(r"display\s*:\s*none", value):
                     off = True
-            if tag not in ("html", "body", "article", "main"):
-                off |= bool(marks & HINTS)
+            hint = hinted(tag, top.main, classes, ids)
         label = label.replace(">", "")
         top.children.append(label)
-        here = Element(tag, f"{top.path}>{label}", top.off or off, top.main or tag in ("article", "main"))
+        hard, main = top.hard or off, tag in ("article", "main")
+        # a class or id around an article or main says nothing of what is in it
+        here = Element(tag, f"{top.path}>{label}", hard or (not main and (top.off or hint)), top.main or main, hard)
         elements.append(here)
         stack.append(here)
     flush()

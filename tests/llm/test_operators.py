@@ -391,6 +391,18 @@ def test_style_tree(spark):
     assert style_tree.extract(pages.limit(0)).count() == 0
 
 
+def test_style_tree_hints_around_and_inside_the_article(spark):
+    whole = ("<article><h1 id=menu>Title</h1><section id=related-work><h2 id=social-studies>Two</h2><p>Three</p></section><section class=login-history><p class=notice>Four</p>"
+             "</section><div id=advertising>Five</div><ul><li class=share>Six</ul><div class='x ad'>Seven</div></article>")
+    wraps = ["page no-sidebar", "has-sidebar", "comments-open", "menu-open", "sidebar", "ad"]
+    made = [(i, f"//h{i}/", f"<body><div class='{w}' id=menu>{whole}</div><div class=ad>Eight</div>") for i, w in enumerate(wraps)]
+    made += [(10 + i, f"//w{i}/", f"<body><div class='{w}'><h2 id=related-work>One</h2><p>Two</p></div><div class=site-footer>No</div>") for i, w in enumerate(wraps[:4])]
+    made += [(20, "//n/", "<body><nav><article><p>No</p></article></nav><div hidden><main>No</main></div><main class=menu><p>Yes</p><div class=comments><article>Too</article></div></main>")]
+    out = {r.page_id: r.text for r in style_tree.extract(spark.createDataFrame(made, "page_id long, url string, html string")).collect()}
+    want = {i: "Title\nTwo\nThree\nFour\nFive\nSix" for i in range(6)} | {10 + i: "One\nTwo" for i in range(4)} | {20: "Yes\nToo"}
+    assert out == want
+
+
 def test_pipeline(spark):
     """Each stage on all that its predecessor kept, and its decisions hold."""
     docs = docs_of(spark)
