@@ -20,7 +20,7 @@ from html import unescape
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsift.llm.common import checkpoint, small_batches
@@ -28,6 +28,8 @@ from logsift.llm.words import cut_rows
 
 #: Hosts whose removed branches may be broadcast.
 BROADCAST_HOSTS = 20_000
+#: Pages with copies whose numbers may be broadcast.
+BROADCAST_COPIES = 100_000
 
 # Fixed values of HTML: element classes.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -182,20 +184,30 @@ def parse(html: str | None) -> Page:
     return Page(blocks, elements)
 
 
-def host_of(url: str | None) -> str:
-    m = re.match(r"\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", url or "")
-    return m[1].lower() if m else ""
+def _site(url: Column) -> Column:
+    return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1))
+
+
+def _shares(pages: DataFrame) -> DataFrame:
+    """``host``, ``html`` and ``share`` of each page: one over the number of
+    pages of its host with the same html.  Copies say nothing of what recurs,
+    so all of them together count as one page."""
+    keyed = pages.select(_site(F.col("url")).alias("host"), F.coalesce("html", F.lit("")).alias("html")).withColumn("_copy", F.xxhash64("html"))
+    copies = checkpoint(keyed.groupBy("host", "_copy").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1"))
+    few = copies.limit(BROADCAST_COPIES + 1).count() <= BROADCAST_COPIES
+    return (keyed.join(F.broadcast(copies) if few else copies, ["host", "_copy"], "left")
+            .select("host", "html", (1 / F.coalesce("_n", F.lit(1))).alias("share")))
 
 
 def _features(pages: DataFrame) -> DataFrame:
-    """Per host, style node and feature: pages, occurrences ``c`` and the sum
-    of ``c ln c``, added up in each task first.  Kind 0 is the layout of a
+    """Per host, style node and feature: different pages, occurrences ``c`` on
+    them and the sum of ``c ln c``, added up in each task first.  Kind 0 is the layout of a
     node's children on a page (runs of one label count once), kind 1 a text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut_rows(batches, "html"):
             sums: dict[tuple[str, str, int, int], list[float]] = {}
-            for url, html in zip(batch.column("url").to_pylist(), batch.column("html").to_pylist()):
-                host, page = host_of(url), parse(html)
+            for host, html, share in zip(*(batch.column(name).to_pylist() for name in ("host", "html", "share"))):
+                page = parse(html)
                 layouts: dict[str, list[str]] = {}
                 for e in page.elements:
                     labels = [c for k, c in enumerate(e.children) if not k or c != e.children[k - 1]]
@@ -203,24 +215,26 @@ def _features(pages: DataFrame) -> DataFrame:
                 own = Counter((e.path, 1, xxhash.xxh3_64_intdigest(t) >> 1) for e, t in page.blocks)
                 own.update((p, 0, xxhash.xxh3_64_intdigest("\n".join(dict.fromkeys(s))) >> 1) for p, s in layouts.items())
                 for (path, kind, feature), c in own.items():
-                    s = sums.setdefault((host, path, kind, feature), [0, 0, 0.0])
-                    s[0] += 1
-                    s[1] += c
-                    s[2] += c * math.log(c)
+                    s = sums.setdefault((host, path, kind, feature), [0.0, 0.0, 0.0])
+                    s[0] += share
+                    s[1] += share * c
+                    s[2] += share * c * math.log(c)
             keys, values = list(sums), list(sums.values())
             cols = [pa.array([k[i] for k in keys], t) for i, t in enumerate((pa.string(), pa.string(), pa.int32(), pa.int64()))]
-            cols += [pa.array([v[i] for v in values], t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))]
+            cols += [pa.array([v[i] for v in values], t) for i, t in enumerate((pa.float64(), pa.float64(), pa.float64()))]
             yield pa.RecordBatch.from_arrays(cols, names=["host", "path", "kind", "feature", "pages", "c", "clogc"])
 
-    rows = pages.mapInArrow(run, "host string, path string, kind int, feature long, pages long, c long, clogc double")
-    return rows.groupBy("host", "path", "kind", "feature").agg(F.sum("pages").alias("pages"), F.sum("c").alias("c"), F.sum("clogc").alias("clogc"))
+    rows = _shares(pages).mapInArrow(run, "host string, path string, kind int, feature long, pages double, c double, clogc double")
+    whole = lambda name: F.round(F.sum(name)).cast("long").alias(name)  # noqa: E731  (the shares of a page's copies add up to 1)
+    return rows.groupBy("host", "path", "kind", "feature").agg(whole("pages"), whole("c"), F.sum("clogc").alias("clogc"))
 
 
 def importance(pages: DataFrame, gamma: float = 0.9) -> DataFrame:
     """The style tree's nodes: ``host``, ``path``, ``pages`` and the composite
     importance ``imp``: ``(1 - gamma ** l)`` parts of the layout entropy and
     ``gamma ** l`` parts of the mean content importance below the node, where
-    ``l`` counts its layouts.  A text on ``m`` of ``m`` pages has none."""
+    ``l`` counts its layouts.  A text on ``m`` of ``m`` pages has none; pages of
+    a host with the same html are one."""
     rows = checkpoint(_features(pages))
     layout = rows.filter("kind = 0").groupBy("host", "path").agg(
         F.sum("pages").alias("m"), F.count(F.lit(1)).alias("l"), F.sum(F.col("pages") * F.log("pages")).alias("s"))
@@ -245,7 +259,7 @@ def extract(pages: DataFrame, threshold: float = 0.25, min_pages: int = 5, id_co
     alone removed).
 
     A branch goes if its importance is under ``threshold`` on a host with at
-    least ``min_pages`` pages that have it; paragraphs, headings, lists and
+    least ``min_pages`` different pages that have it; paragraphs, headings, lists and
     tables of an ``article`` or ``main`` stay.  If a page has such an element,
     only blocks inside one count.  Null or empty html gives empty text; a null
     url is a host of its own name.  Repeated rows each give a row; empty tables
@@ -257,8 +271,7 @@ def extract(pages: DataFrame, threshold: float = 0.25, min_pages: int = 5, id_co
     low = nodes.filter((F.col("imp") < threshold) & (F.col("pages") >= min_pages) & (F.col("path") != ""))
     gone = checkpoint(low.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("gone")))  # one row per host
     few = gone.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
-    site = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*(?:[a-zA-Z][\w+.-]*:)?//(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    with_low = src.withColumn("host", site).join(F.broadcast(gone) if few else gone, "host", "left").select("page_id", "url", "html", "gone")
+    with_low = src.withColumn("host", _site(F.col("url"))).join(F.broadcast(gone) if few else gone, "host", "left").select("page_id", "url", "html", "gone")
     kind = src.schema["page_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -403,6 +403,21 @@ def test_style_tree_hints_around_and_inside_the_article(spark):
     assert out == want
 
 
+@pytest.mark.parametrize("limit", [100_000, 0])
+def test_style_tree_copies_of_a_page(spark, monkeypatch, limit):
+    monkeypatch.setattr(style_tree, "BROADCAST_COPIES", limit)
+    page = "<body><div class=t><p>First paragraph</p><p>Second one</p></div>"
+    made = [(i, f"//copies/{i}", page) for i in range(30)]
+    # three copies each of 20 pages: the same 20 pages, so what recurs on them goes
+    made += [(100 + i, f"//mixed/{i}", f"<body><div class=top>Read all about it</div><div class=t>Story {i % 20}</div>") for i in range(60)]
+    df = spark.createDataFrame(made, "page_id long, url string, html string")
+    out = {r.page_id: (r.text, r.n_removed) for r in style_tree.extract(df).collect()}
+    assert out == {i: ("First paragraph\nSecond one", 0) for i in range(30)} | {100 + i: (f"Story {i % 20}", 1) for i in range(60)}
+    once = df.filter("page_id between 100 and 119")
+    rows = lambda d: {(r.path, r.pages, round(r.imp, 9)) for r in style_tree.importance(d).collect()}
+    assert rows(once) == rows(df.filter("page_id >= 100"))
+
+
 def test_pipeline(spark):
     """Each stage on all that its predecessor kept, and its decisions hold."""
     docs = docs_of(spark)
