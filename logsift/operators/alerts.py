@@ -105,8 +105,10 @@ def sliding_count(
     ))
     steps = per.select(key, step.alias("s")).select(key, "s.*").groupBy(key, "t_us").agg(F.sum("d").alias("d"), F.max("own").alias("own"))
     running = number_rows(steps, order=["t_us"], group=[key], sums={"count": F.col("d")})
-    counts = running.filter("own").select(key, "t_us", F.least(F.col("count"), F.lit(cap)).cast("bigint").alias("count"))
-    return pts.join(counts, [key, "t_us"]).select("event_id", key, "t_us", "count")
+    counts = running.filter("own").select(
+        F.col(key).alias("_key"), F.col("t_us").alias("_t"), F.least(F.col("count"), F.lit(cap)).cast("bigint").alias("count"))
+    same = F.col(key).eqNullSafe(F.col("_key")) & (F.col("t_us") == F.col("_t"))  # a null key is a key
+    return pts.join(counts, same).select("event_id", key, "t_us", "count")
 
 
 def alert_candidates(counts: DataFrame, threshold: int = THRESHOLD) -> DataFrame:

@@ -20,8 +20,9 @@ SEED = "42"
 
 
 def rand_key(key: str, seed: str = SEED) -> Column:
-    """md5 of seed || key (hex) -- uniform, reproducible sort key."""
-    return F.md5(F.concat(F.lit(seed), F.col(key).cast("string")))
+    """md5 of seed || key (hex) -- uniform, reproducible sort key.  A null key
+    counts as empty text."""
+    return F.md5(F.concat(F.lit(seed), F.coalesce(F.col(key).cast("string"), F.lit(""))))
 
 
 def flag_lines(lines: DataFrame) -> DataFrame:

@@ -82,7 +82,12 @@ def number_rows(
     )
     # at most partitions + groups rows; broadcast behind a count of them
     small = totals.limit(BROADCAST_OFFSETS + 1).count() <= BROADCAST_OFFSETS
-    out = local.join(F.broadcast(offsets) if small else offsets, ["_pid", *group]).withColumn(name, F.col("_off") + F.col("_lrn"))
+    offsets = offsets.select(F.col("_pid").alias("_p"), *[F.col(c).alias(f"_g{i}") for i, c in enumerate(group)], "_off", *[f"_o_{k}" for k in sums])
+    same = F.col("_pid") == F.col("_p")
+    for i, c in enumerate(group):
+        same &= F.col(c).eqNullSafe(F.col(f"_g{i}"))  # a null group is a group
+    out = local.join(F.broadcast(offsets) if small else offsets, same)
+    out = out.select(*group, *[c for c in local.columns if c not in group], "_off", *[f"_o_{k}" for k in sums]).withColumn(name, F.col("_off") + F.col("_lrn"))
     for key in sums:
         out = out.withColumn(key, F.col(f"_o_{key}") + F.col(f"_ls_{key}"))
     drop = ["_pid", "_lrn", "_off"] + [f"_ls_{k}" for k in sums] + [f"_o_{k}" for k in sums]

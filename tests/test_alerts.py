@@ -170,3 +170,13 @@ def test_flush_aligned_against_brute_force(spark):
     chunked = A.flush_candidates(df, time_col="ts", batch=20, flush_chunk=3)
     assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, chunked.collect()))
     assert whole.count() > 20
+
+
+def test_null_key_is_a_key(spark):
+    rows = [(i, ip, i * S) for i, ip in enumerate([None, "a"] * 6)]
+    events = spark.createDataFrame(rows, "event_id long, ip string, t long").select(
+        "event_id", "ip", F.timestamp_micros("t").alias("indexed_at"), F.lit(True).alias("suspicious"))
+    counts = A.sliding_count(events)
+    assert counts.columns == ["event_id", "ip", "t_us", "count"]
+    assert sorted((r.event_id, r["count"]) for r in counts.collect()) == [(i, i // 2 + 1) for i in range(12)]
+    assert {(r.ip, r.t_us) for r in A.cooldown(A.alert_candidates(counts)).collect()} == {(None, 8 * S), ("a", 9 * S)}

@@ -33,3 +33,12 @@ def test_bracketed_sample_equals_top_k(spark, flagged, n, acc):
 
 def test_zero_sample_keeps_everything(spark, flagged):
     assert len(_ids(P.sample_normal_keep_suspicious(flagged, 0))) == 30_000
+
+
+def test_null_id_is_ranked_alike_by_both_paths(spark, flagged):
+    lines = flagged.union(spark.createDataFrame([(None, "no id", False)], "line_id long, line string, suspicious boolean"))
+    ids = lambda df: sorted(str(r["line_id"]) for r in df.select("line_id").collect())
+    for n in (20_000, 25_712, 25_714, 40_000):  # 25,715 normals
+        big = ids(P.sample_normal_keep_suspicious(lines, n, topk_rows=0, accuracy=100))
+        assert big == ids(P.sample_normal_keep_suspicious(lines, n))
+        assert len(big) == 4286 + min(n, 25_715)
