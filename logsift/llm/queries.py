@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsift.llm import decontaminate, jaccard_join, langid, licences, packing, quality_model, quality_rules, style_tree, substring_dedup, toxicity
+from logsift.llm import (bpe, decontaminate, jaccard_join, langid, licences, packing, quality_model, quality_rules, spelling, style_tree,
+                         substring_dedup, toxicity, whitening)
 from logsift.llm.common import fold, table
 
 Builder = Callable[[SparkSession, str], DataFrame]
@@ -91,4 +92,24 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, profiles).select("doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    out = bpe.decode(bpe.encode(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+    return out.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join(F.col("ids").cast("array<string>"), ","), 256).alias("ids_sha256"),
+                      F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.group(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 ORACLE_SQL: dict[str, str] = {}
