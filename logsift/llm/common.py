@@ -12,11 +12,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> SparkSession:
-    """Arrow batches of at most ``rows`` rows, as the texts in them are long."""
+def small_batches(spark: SparkSession, rows: int = 2000, megabytes: int = 8) -> SparkSession:
+    """Arrow batches of at most ``rows`` rows and about ``megabytes``, as the
+    texts in them are long and each is held on both sides of the pipe."""
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(key)) <= rows:
         spark.conf.set(key, str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", f"{megabytes}m")
     return spark
 
 

@@ -82,20 +82,24 @@ def _nodes(src: DataFrame, k: int) -> DataFrame:
 
 
 def _frequencies(src: DataFrame, k: int, bits: int, heavy: int, buckets: int, flush: int = 1_500_000) -> DataFrame:
-    """Count every shingle of every document.  Tasks send sorted hashes as
-    byte planes of their differences, dealt by leading bits; each bucket gives
-    its slice of the map of repeated shingles, and its heavy ones."""
+    """Count every shingle of every document.  Tasks add up their shingles and
+    send the sorted hashes as byte planes of their differences, with the
+    counts, dealt by leading bits; a shingle of all documents is one entry a
+    task.  Each bucket gives its slice of the map of repeated shingles, and its
+    heavy ones."""
     lead = buckets.bit_length() - 1
 
     def packed(tokens: np.ndarray) -> pa.RecordBatch:
-        tokens = np.sort(tokens)
+        tokens, n = np.unique(tokens, return_counts=True)
+        n = n.astype("<u4")
         edges = np.searchsorted(tokens, np.arange(buckets + 1, dtype=U64) << U64(_TOKEN - lead))
         ids = [b for b in range(buckets) if edges[b] < edges[b + 1]]
         blobs = []
         for b in ids:
             own = tokens[edges[b] : edges[b + 1]]
             step = np.diff(own, prepend=U64(0))
-            blobs.append(np.ascontiguousarray(step.view(np.uint8).reshape(-1, 8)[:, :5].T).tobytes())
+            planes = [step.view(np.uint8).reshape(-1, 8)[:, :5].T, n[edges[b] : edges[b + 1]].view(np.uint8).reshape(-1, 4).T]
+            blobs.append(np.ascontiguousarray(np.concatenate(planes)).tobytes())
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], names=["bucket", "blob"])
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,13 +115,15 @@ def _frequencies(src: DataFrame, k: int, bits: int, heavy: int, buckets: int, fl
             yield packed(np.concatenate(held))
 
     def count(group: pa.Table) -> pa.Table:
-        parts = []
+        parts, times = [], []
         for blob in group.column("blob").to_pylist():
-            planes = np.frombuffer(blob, np.uint8).reshape(5, -1).T
+            planes = np.frombuffer(blob, np.uint8).reshape(9, -1).T
             step = np.zeros((len(planes), 8), np.uint8)
-            step[:, :5] = planes
+            step[:, :5] = planes[:, :5]
             parts.append(np.cumsum(step.view("<u8").ravel()))
-        tokens, n = np.unique(np.concatenate(parts), return_counts=True)
+            times.append(np.ascontiguousarray(planes[:, 5:]).view("<u4").ravel())
+        tokens, back = np.unique(np.concatenate(parts), return_inverse=True)
+        n = np.bincount(back, weights=np.concatenate(times), minlength=len(tokens)).astype(np.int64)
         size = 1 << (bits - lead)
         at = (tokens[n > 1] >> U64(_TOKEN - bits)) & U64(size - 1)
         marks = np.zeros(size, bool)
@@ -341,9 +347,17 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     shared = spark.sparkContext.broadcast((bytes(marks), tokens[:, 0].astype(U64), np.ascontiguousarray(tokens[:, 1])))
 
     def shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out = [x for x in _lists(batches, ["token", "node", "n", "once", "pos"]) if len(x[0]) > 1]
+        names = ["token", "node", "n", "once", "pos"]
+        out, rows = [], 0
+        for x in _lists(batches, names):
+            if len(x[0]) > 1:
+                out.append(x)
+                rows += len(x[0])
+            if rows >= 100_000:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=names)
+                out, rows = [], 0
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=["token", "node", "n", "once", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], names=names)
 
     # the node with the fewest shingles of its own heads a list: among altered
     # copies that is the text they were made from, which links with most

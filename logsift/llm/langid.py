@@ -12,13 +12,14 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logsift.llm.common import checkpoint, small_batches
 from logsift.llm.words import cut_rows
 
-#: Bound of the training sample: so many rows of each language, by a hash of the id.
+#: Bound of the training sample: so many different rows of each language, by a
+#: hash of id and text.
 MAX_TRAIN = 4000
 PROFILE = 400
 _BITS = 21  # of one code point; an n-gram of up to three fits in 63 bits
@@ -26,8 +27,7 @@ _EDGE = ord("_")
 
 
 class Letters:
-    """Which code points are letters (word characters but for decimal digits
-    and ``_``); looked up once each."""
+    """Which code points are letters; looked up once each."""
 
     def __init__(self) -> None:
         self.kind = np.zeros(0x110000, np.int8)  # 0 unknown, 1 letter, 2 other
@@ -36,7 +36,7 @@ class Letters:
         new = np.unique(points[self.kind[points] == 0])
         for p in new.tolist():
             c = chr(p)
-            self.kind[p] = 1 if c.isalnum() and not c.isdecimal() else 2
+            self.kind[p] = 1 if c.isalpha() else 2
         return self.kind[points] == 1
 
 
@@ -79,22 +79,23 @@ def number(gram: str) -> int:
 def train(docs: DataFrame, when: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", longest: int = 3,
           size: int = PROFILE, max_train: int = MAX_TRAIN) -> dict[str, list[str]]:
     """Profiles from at most ``max_train`` rows of each language among those
-    that satisfy ``when``, chosen by a hash of the id (repeatable).
+    that satisfy ``when``, chosen by a hash of id and text (repeatable).
 
+    Rows with the same id and text count once; they combine in each task, and
+    what is ranked is about twice the bound, however many rows share an id.
     N-grams have one to ``longest`` characters, three at most.  Spark counts
     them; only each language's ``size`` best come back."""
     if not 1 <= longest <= 3:
         raise ValueError("n-grams have one to three characters")
     small_batches(docs.sparkSession)
     src = docs.filter(when & F.col(lang_col).isNotNull()).select(
-        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string")).alias("h"))
-    totals = src.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-    cut = F.lit(2.0) * max_train / F.col("n")  # twice the bound, then the exact one
+        F.col(lang_col).alias("lang"), F.col(text_col).alias("text"), F.xxhash64(F.col(id_col).cast("string"), F.col(text_col)).alias("h"))
+    totals = src.groupBy("lang").agg(F.approx_count_distinct("h", 0.02).alias("n"))
+    cut = F.lit(2.0) * max_train / F.greatest("n", F.lit(1))  # twice the bound, then the exact one
     space = float(1 << 64)
     few = src.join(F.broadcast(totals), "lang").filter((F.col("h").cast("double") + space / 2) / space < cut)
-    from pyspark.sql import Window
-
-    few = few.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "text"))).filter(F.col("r") <= max_train)
+    few = few.groupBy("lang", "h").agg(F.first("text").alias("text"))
+    few = few.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).filter(F.col("r") <= max_train)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = Letters()

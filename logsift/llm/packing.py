@@ -26,8 +26,8 @@ from pyspark.sql import functions as F
 
 from logsift.llm.common import checkpoint, small_batches
 
-#: Pretoken cache of a worker process: entries, then it starts anew.
-CACHE_ENTRIES = 1_000_000
+#: Pretoken cache of a task: entries, then it starts anew.
+CACHE_ENTRIES = 300_000
 
 #: Fixed value: the byte-level pretokeniser's split pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
@@ -94,7 +94,8 @@ def _encoder(path: str):
             out = self[chunk] = None if alone else small(" " + chunk)
             return out
 
-    cached = Cache().__getitem__
+    cache = Cache()
+    cached = cache.__getitem__
 
     def encode(text: str) -> bytes:
         """Cut before each space, where the pretokeniser never joins, so that
@@ -107,6 +108,7 @@ def _encoder(path: str):
         except TypeError:
             return direct(text)
 
+    encode.forget = cache.clear  # a worker that waits for other tasks holds no cache
     made[path] = encode
     return encode
 
@@ -146,6 +148,7 @@ def pieces(docs: DataFrame, tokenizer: str, size: int = 1024, end_id: int = 2, i
             kinds = (pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64())
             names = ["doc_id", "piece", "start", "length", "ids_crc32", "_task", "_rank"]
             yield pa.RecordBatch.from_arrays([ids, *(pa.array(c, t) for c, t in zip(cols, kinds))], names=names)
+        encode.forget()
 
     return src.mapInArrow(run, schema)
 

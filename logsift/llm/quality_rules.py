@@ -13,6 +13,8 @@ Only DataFrame functions are used; nothing runs in Python workers.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -34,8 +36,8 @@ RULES = {
 BROADCAST_STRATA = 10_000
 
 
-def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """Counts per row: ``n_words``, ``word_chars``, ``n_symbols``, ``n_lines``
+def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", row_col: str | None = None) -> DataFrame:
+    """Counts per row (``row``: a column that names it, null if none): ``n_words``, ``word_chars``, ``n_symbols``, ``n_lines``
     (with a word), ``n_dup_lines``, ``n_repeat_words``, ``n_capitals``.
 
     Three-word windows are compared within one text by a 64-bit hash, sorted
@@ -44,7 +46,8 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
     text = F.coalesce(F.col(text_col), F.lit(""))
     trimmed = F.btrim(text, F.lit(_SPACE))
     base = docs.select(
-        F.col(id_col).alias("doc_id"), F.coalesce(F.col(stratum_col).cast("string"), F.lit("und")).alias("stratum"),
+        F.col(id_col).alias("doc_id"), (F.col(row_col) if row_col else F.lit(None).cast("string")).alias("row"),
+        F.coalesce(F.col(stratum_col).cast("string"), F.lit("und")).alias("stratum"),
         F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, _SPACES)).alias("words"),
         F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")).alias("lines"),
         (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]+", ""))).alias("n_symbols"),
@@ -52,7 +55,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
     )
     words = F.col("words")
     counted = base.select(
-        "doc_id", "stratum", F.size("words").alias("n_words"), F.length(F.array_join("words", "")).alias("word_chars"),
+        "doc_id", "row", "stratum", F.size("words").alias("n_words"), F.length(F.array_join("words", "")).alias("word_chars"),
         "n_symbols", "n_capitals", F.size("lines").alias("n_lines"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).alias("n_dup_lines"),
         F.when(F.size("words") < 3, F.array().cast("array<bigint>")).otherwise(
@@ -77,7 +80,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", st
         F.lit(0), lambda a, x: a + x)
     out = found.withColumn("n_repeat_words", F.coalesce(covered, F.lit(0)))
     longs = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_capitals", "n_lines"]
-    return out.select("doc_id", "stratum", *[F.col(c).cast("long").alias(c) for c in longs])
+    return out.select("doc_id", "row", "stratum", *[F.col(c).cast("long").alias(c) for c in longs])
 
 
 def base_failed() -> Column:
@@ -89,20 +92,45 @@ def _ratio(rule: str) -> Column:
     return F.col(top) / F.greatest(F.col(bottom), F.lit(1))
 
 
-def binomial_tail(k: Column, n: Column, p: float) -> Column:
-    """``P(Bin(n, p) <= k)``, summed term by term in logarithms; 1 at or above
-    the mean, where no cutoff can be accepted."""
-    import math
+#: Coefficients of Stirling's series 1/12, 1/360, 1/1260, 1/1680,
+#: and log(n!) less Stirling's formula for n from 0 to 15.
+STIRLING = [1 / 12, -1 / 360, 1 / 1260, -1 / 1680]
+STIRLING_SMALL = [math.lgamma(n + 1) - (0 if n == 0 else (n + 0.5) * math.log(n) - n + 0.5 * math.log(2 * math.pi)) for n in range(16)]
+
 
-    odds = math.log(p / (1 - p))
-    start = F.struct((n.cast("double") * math.log(1 - p)).alias("t"), F.lit(0.0).alias("s"))
+def _stirling_error(n: Column) -> Column:
+    series = sum((F.lit(c) / F.pow(F.greatest(n, F.lit(1.0)), F.lit(2.0 * i + 1)) for i, c in enumerate(STIRLING)), F.lit(0.0))
+    return F.when(n < 16, F.get(F.array(*[F.lit(v) for v in STIRLING_SMALL]), n.cast("int"))).otherwise(series)
 
-    def step(a: Column, j: Column) -> Column:
-        j = j.cast("double")
-        t = F.when(j == 0, a["t"]).otherwise(a["t"] + F.log(n - j + 1) - F.log(j) + odds)
-        return F.struct(t.alias("t"), (a["s"] + F.exp(t)).alias("s"))
 
-    return F.when(k >= n * p, F.lit(1.0)).otherwise(F.aggregate(F.sequence(F.lit(0).cast("long"), k.cast("long")), start, step, lambda a: a["s"]))
+def _deviance(x: Column, mean: Column) -> Column:
+    """``x log(x / mean) + mean - x``."""
+    return x * F.log(x / mean) + mean - x
+
+
+def binomial_tail(k: Column, n: Column, p: float) -> Column:
+    """``P(Bin(n, p) <= k)``; 1 at or above the mean, where no cutoff can be
+    accepted.
+
+    The probability of ``k`` itself comes from its deviance and Stirling's
+    errors, which keeps its digits at any size.  Those below it follow by
+    ratios that fall below one, so what is left out after some forty standard
+    deviations is nothing: the sum has as many terms as the square root of
+    ``n``, not ``k``."""
+    n, k = n.cast("double"), k.cast("double")
+    inner = F.exp(_stirling_error(n) - _stirling_error(k) - _stirling_error(n - k) - _deviance(k, n * p) - _deviance(n - k, n * (1 - p))
+                  + 0.5 * F.log(n / (2 * math.pi * k * (n - k))))
+    at_k = F.when(k == 0, F.exp(n * math.log(1 - p))).otherwise(inner)
+    terms = F.least(k, F.ceil(40 * F.sqrt(n * p)) + 50).cast("long")
+    start = F.struct(F.lit(1.0).alias("t"), F.lit(1.0).alias("s"))
+
+    def step(a: Column, i: Column) -> Column:
+        j = k - i.cast("double") + 1  # from k down
+        t = a["t"] * j * (1 - p) / ((n - j + 1) * p)
+        return F.struct(t.alias("t"), (a["s"] + t).alias("s"))
+
+    below = F.when(terms == 0, F.lit(1.0)).otherwise(F.aggregate(F.sequence(F.lit(1).cast("long"), F.greatest(terms, F.lit(1))), start, step, lambda a: a["s"]))
+    return F.when(k >= n * p, F.lit(1.0)).otherwise(F.least(at_k * below, F.lit(1.0)))
 
 
 def cutoffs(feats: DataFrame, labels: DataFrame, alpha: float = 0.05, delta: float = 0.05, id_col: str = "doc_id",
@@ -127,9 +155,10 @@ def cutoffs(feats: DataFrame, labels: DataFrame, alpha: float = 0.05, delta: flo
 
 
 def apply_rules(docs: DataFrame, labels: DataFrame, alpha: float = 0.05, delta: float = 0.05, id_col: str = "doc_id",
-                text_col: str = "text", stratum_col: str = "lang", label_col: str = "quality") -> DataFrame:
+                text_col: str = "text", stratum_col: str = "lang", label_col: str = "quality", row_col: str | None = None) -> DataFrame:
     """Per row of ``docs``: the counts, ``base_failed``, ``rejected_by`` (the
-    certified rules that reject it) and ``kept``.
+    certified rules that reject it) and ``kept``; and ``row``, the column
+    ``row_col`` that names the row where ids repeat.
 
     Null text counts as empty (no words: base_failed).  A null stratum is the
     stratum ``und``.  Labels without a document, null ids and null labels are
@@ -137,7 +166,7 @@ def apply_rules(docs: DataFrame, labels: DataFrame, alpha: float = 0.05, delta:
     rules reject.  Repeated rows each give a row; empty tables give no rows;
     other columns are ignored.
     """
-    feats = checkpoint(features(docs, id_col, text_col, stratum_col))  # computed once, narrow
+    feats = checkpoint(features(docs, id_col, text_col, stratum_col, row_col))  # computed once, narrow
     limits = checkpoint(cutoffs(feats, labels, alpha, delta, "doc_id" if id_col not in labels.columns else id_col, label_col))
     small = limits.limit(BROADCAST_STRATA + 1).count() <= BROADCAST_STRATA
     out = feats.join(F.broadcast(limits) if small else limits, "stratum", "left")

@@ -28,12 +28,17 @@ from logsift.llm.words import cut_rows
 
 #: Hosts whose removed branches may be broadcast.
 BROADCAST_HOSTS = 20_000
+#: Paths of removed branches that may be broadcast with them.
+BROADCAST_PATHS = 100_000
 #: Pages with copies whose numbers may be broadcast.
 BROADCAST_COPIES = 100_000
+#: Levels of the style tree; deeper elements count as their ancestor there.
+LEVELS = 64
 
 # Fixed values of HTML: element classes.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template textarea title iframe svg math object select button canvas audio video".split())
+RAW_TEXT = set("script style textarea title iframe xmp".split())
+RAW = RAW_TEXT | set("noscript template svg math object select button canvas audio video".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
           "body": {"head"}}
@@ -44,13 +49,21 @@ ROLES = set("navigation banner contentinfo complementary search dialog alert men
 HINTS = set("""ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu menubar breadcrumb breadcrumbs
 footer sidebar widget comment comments commentlist disqus replies reply respond cookie cookies consent gdpr notice banner popup modal newsletter subscribe
 subscription paywall share sharing social related recommended masthead toolbar pagination pager copyright disclaimer login signup""".split())
+#: Class and id words of containers that are never around the article, with
+#: words for the containers themselves (``comment-list``, ``related-posts``).
+COMMENTS = set("comment comments commentlist disqus replies respond trackbacks pingbacks".split())
+RELATED = set("related recommended recommendations teaser teasers".split())
+ADS = set("ad ads advert adverts advertisement sponsor sponsored promo promotion".split())
+PARTS = set("""area areas block body box boxes card cards container content feed form grid group holder inner item items link links list news panel pane post
+posts article articles section sections slot slots story stories thread unit wrap wrapper""".split())
 #: Class and id words of a wrapper's state (``no-sidebar``, ``menu-open``): it is around the article.
 STATES = set("no non without has have with open opened closed collapsed expanded enabled disabled".split())
 HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
 PROTECTED = set("p h1 h2 h3 h4 h5 h6 li blockquote pre td th dd dt figcaption article main".split())
 
-_MARK = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
-_ATTR = re.compile(r"\b(class|id|role|hidden|style)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?", re.I)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_ATTR = re.compile(r"[\s/]*([^\s/>=]*)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
+_NAMES = set("class id role hidden style".split())
 _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 
 
@@ -58,9 +71,11 @@ _WORD = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|\d+")
 class Element:
     tag: str
     path: str
+    level: int
     off: bool  # by HTML's own marks or a class or id, not the article
     main: bool  # inside article or main
-    hard: bool = False  # by HTML's own marks
+    hard: bool = False  # by HTML's own marks, or in a container that is never around the article
+    advert: bool = False  # in a container of adverts
     children: list[str] = field(default_factory=list)
 
 
@@ -69,6 +84,30 @@ class Page:
     blocks: list[tuple[Element, str]]
     elements: list[Element]
 
+    def has_main(self) -> bool:
+        return any(e.main and not e.off for e in self.elements)
+
+
+def _parts(name: str) -> set[str]:
+    return {w.lower() for w in _WORD.findall(name)}
+
+
+def never_main(tag: str, main: bool, classes: list[str], ids: list[str]) -> set[str]:
+    """The kinds of container (comments, related, adverts) that an element's
+    classes and ids make it: some word of the kind, and else only words for
+    containers.  Inside an article, ids of one topic word (``advertising``)
+    and marks of paragraphs and inline elements come from the topic."""
+    if tag in ("html", "body") or tag in HEADINGS or tag in INLINE or (main and tag in PROTECTED and tag not in ("li", "article")):
+        return set()
+    out = set()
+    for name in classes + ids:
+        parts = _parts(name)
+        for kind, words in (("comments", COMMENTS | ({"reply"} if len(parts) > 1 or tag == "article" else set())), ("related", RELATED), ("adverts", ADS)):
+            if parts & words and parts <= words | PARTS:
+                if kind == "comments" or not main or (name in classes and tag != "li") or len(parts) > 1:
+                    out.add(kind)
+    return out
+
 
 def hinted(tag: str, main: bool, classes: list[str], ids: list[str]) -> bool:
     """If classes or ids mark an element as not the article.  Inside an article
@@ -78,18 +117,62 @@ def hinted(tag: str, main: bool, classes: list[str], ids: list[str]) -> bool:
         return False
     if main:
         return tag not in PROTECTED and tag not in INLINE and any(c.lower() in HINTS for c in classes)
-    parts = [{w.lower() for w in _WORD.findall(c)} for c in classes + ids]
+    parts = [_parts(c) for c in classes + ids]
     return any(p & HINTS and not p & STATES for p in parts)
 
 
+def _attributes(html: str, at: int) -> tuple[int, list[tuple[str, str]]]:
+    """The end of a start tag whose name ends at ``at``, and the attributes that
+    matter.  A tag that the page's end cuts off ends there."""
+    out, size = [], len(html)
+    while at < size:
+        m = _ATTR.match(html, at)
+        if m.end() == at:
+            if html[at] == ">":
+                return at + 1, out
+            at += 1  # a stray equals sign
+            continue
+        at = m.end()
+        name = m[1].lower()
+        if name in _NAMES:
+            out.append((name, m[2] or m[3] or m[4] or ""))
+    return size, out
+
+
+class _Open:
+    """The stack of open elements, with the places of each tag and of the
+    elements that are not inline, so that closing one needs no search."""
+
+    def __init__(self, root: Element):
+        self.stack, self.places, self.blocks = [root], {}, [0]
+
+    def push(self, e: Element) -> None:
+        self.places.setdefault(e.tag, []).append(len(self.stack))
+        if e.tag not in INLINE:
+            self.blocks.append(len(self.stack))
+        self.stack.append(e)
+
+    def cut(self, k: int) -> None:
+        while len(self.stack) > k:
+            e = self.stack.pop()
+            self.places[e.tag].pop()
+            if self.blocks[-1] == len(self.stack):
+                self.blocks.pop()
+
+    def last(self, *tags: str) -> int:
+        """The innermost place of any of the tags, 0 if none is open."""
+        return max((self.places[t][-1] for t in tags if self.places.get(t)), default=0)
+
+
 def parse(html: str | None) -> Page:
-    """The elements and text blocks of a page.  A block ends at the start or
-    end of any element that is not inline; unclosed and stray tags are
-    repaired as browsers do, roughly."""
+    """The elements and text blocks of a page, in time linear in its length.
+    A block ends at the start or end of any element that is not inline;
+    unclosed and stray tags are repaired as browsers do, roughly."""
     html = html or ""
-    root = Element("", "", False, False)
-    stack, elements, blocks, words = [root], [root], [], []
+    root = Element("", "", 0, False, False)
+    open_, elements, blocks, words = _Open(root), [root], [], []
     owner = root
+    closes: dict[str, int] = {}  # tags that have no end tag from this place on
 
     def flush() -> None:
         nonlocal words
@@ -98,43 +181,53 @@ def parse(html: str | None) -> Page:
             blocks.append((owner, text))
         words = []
 
+    def put(text: str) -> None:
+        nonlocal owner
+        if not words:
+            owner = open_.stack[open_.blocks[-1]]
+        words.append(text)
+
     at, size = 0, len(html)
     while at < size:
-        m = _MARK.search(html, at)
-        end = m.start() if m else size
+        end = html.find("<", at)
+        end = size if end < 0 else end
         if end > at:
-            if not words:
-                block = len(stack) - 1
-                while stack[block].tag in INLINE:
-                    block -= 1
-                owner = stack[block]
-            words.append(html[at:end])
-        if not m:
+            put(html[at:end])
+        if end == size:
             break
-        at = m.end()
-        if not m[2]:
+        m = _TAG.match(html, end)
+        if not m:
+            if html.startswith("<!--", end):
+                at = html.find("-->", end + 4)
+                at = size if at < 0 else at + 3
+            elif html.startswith(("<!", "<?", "</"), end):
+                at = html.find(">", end)
+                at = size if at < 0 else at + 1
+            else:
+                put("<")
+                at = end + 1
             continue
         tag = m[2].lower()
+        at, attributes = _attributes(html, m.end())
         if m[1]:
+            k = open_.last(tag)
             if tag in INLINE:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == tag:
-                        del stack[k:]
-                        break
-                    if stack[k].tag not in INLINE:
-                        break
+                if k > open_.blocks[-1]:
+                    open_.cut(k)
             else:
                 flush()
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == tag:
-                        del stack[k:]
-                        break
+                if k:
+                    open_.cut(k)
             continue
         if tag in RAW:
-            if not m[3].endswith("/"):
+            if html[at - 2 : at] != "/>" and closes.get(tag, size) > at:
                 close = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(html, at)
-                at = close.end() if close else size
-            words.append(" ")
+                if close:
+                    at = close.end()
+                else:
+                    closes[tag] = at
+                    at = size if tag in RAW_TEXT else at
+            put(" ")
             continue
         if tag in VOID:
             if tag not in INLINE:
@@ -144,25 +237,20 @@ def parse(html: str | None) -> Page:
             continue
         if tag not in INLINE:
             flush()
-            if stack[-1].tag in INLINE:  # a block ends open inline elements
-                while stack[-1].tag in INLINE:
-                    stack.pop()
-            if stack[-1].tag == "p":
-                stack.pop()
+            open_.cut(open_.blocks[-1] + 1)  # a block ends open inline elements
+            if open_.stack[-1].tag == "p":
+                open_.cut(len(open_.stack) - 1)
             if tag in CLOSES:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag in CLOSES[tag]:
-                        del stack[k:]
-                        break
-                    if stack[k].tag in SCOPE.get(tag, ()):
-                        break
-        top = stack[-1]
+                k = open_.last(*CLOSES[tag])
+                if k > open_.last(*SCOPE.get(tag, ())):
+                    open_.cut(k)
+        top = open_.stack[-1]
         hint, label, off = False, tag, tag in NOT_MAIN or (tag == "header" and not top.main)
-        if m[3].strip():
+        never: set[str] = set()
+        if attributes:
             classes: list[str] = []
             ids: list[str] = []
-            for name, a, b, c in _ATTR.findall(m[3]):
-                name, value = name.lower(), a or b or c
+            for name, value in attributes:
                 if name in ("class", "id"):
                     (classes if name == "class" else ids).extend(value.split())
                     label += "." + re.sub(r"\d+", "0", " ".join(value.split()))
@@ -173,15 +261,32 @@ def parse(html: str | None) -> Page:
                 elif re.search(r"display\s*:\s*none", value):
                     off = True
             hint = hinted(tag, top.main, classes, ids)
+            never = never_main(tag, top.main, classes, ids)
         label = label.replace(">", "")
+        if len(label) > 100:  # paths stay short
+            label = f"{tag}.{xxhash.xxh3_64_hexdigest(label)}"
         top.children.append(label)
-        hard, main = top.hard or off, tag in ("article", "main")
-        # a class or id around an article or main says nothing of what is in it
-        here = Element(tag, f"{top.path}>{label}", hard or (not main and (top.off or hint)), top.main or main, hard)
+        main = tag in ("article", "main")
+        hard = top.hard or off or bool(never - {"adverts"})
+        advert = top.advert or "adverts" in never
+        # another class or id around an article or main says nothing of what is in it
+        here = Element(tag, f"{top.path}>{label}" if top.level < LEVELS else top.path, top.level + 1,
+                       hard or advert or (not main and (top.off or hint)), top.main or main, hard, advert)
         elements.append(here)
-        stack.append(here)
+        open_.push(here)
     flush()
-    return Page(blocks, elements)
+    page = Page(blocks, elements)
+    if not page.has_main() and any(e.advert and e.main and not e.hard for e in elements):
+        _clear_adverts(page)
+    return page
+
+
+def _clear_adverts(page: Page) -> None:
+    """The page's only articles are inside what a class calls an advert: that
+    is a wrapper of the page, and they are the article."""
+    for e in page.elements:
+        if e.advert and e.main and not e.hard:
+            e.off = False
 
 
 def _site(url: Column) -> Column:
@@ -252,6 +357,21 @@ def importance(pages: DataFrame, gamma: float = 0.9) -> DataFrame:
         F.least("content", (1 - fade) * F.col("node_imp") + fade * F.col("content")).alias("imp"))
 
 
+class _Branches:
+    """Removed branches of a host, and which paths lie in one."""
+
+    def __init__(self, gone: list[str]):
+        self.gone, self.known = set(gone), {}
+
+    def hold(self, path: str) -> bool:
+        if not self.gone:
+            return False
+        if path not in self.known:
+            steps = path.split(">")
+            self.known[path] = any(">".join(steps[:k]) in self.gone for k in range(1, len(steps) + 1))
+        return self.known[path]
+
+
 def extract(pages: DataFrame, threshold: float = 0.25, min_pages: int = 5, id_col: str = "page_id", url_col: str = "url",
             html_col: str = "html") -> DataFrame:
     """Per row: ``page_id``, ``url``, ``text`` (blocks of the main text joined
@@ -261,7 +381,8 @@ def extract(pages: DataFrame, threshold: float = 0.25, min_pages: int = 5, id_co
     A branch goes if its importance is under ``threshold`` on a host with at
     least ``min_pages`` different pages that have it; paragraphs, headings, lists and
     tables of an ``article`` or ``main`` stay.  If a page has such an element,
-    only blocks inside one count.  Null or empty html gives empty text; a null
+    only blocks inside one count.  Containers of comments, related articles and
+    adverts go with all that is in them, articles too.  Null or empty html gives empty text; a null
     url is a host of its own name.  Repeated rows each give a row; empty tables
     give no rows; other columns are ignored.
     """
@@ -270,7 +391,9 @@ def extract(pages: DataFrame, threshold: float = 0.25, min_pages: int = 5, id_co
     nodes = importance(src.select("url", "html"))
     low = nodes.filter((F.col("imp") < threshold) & (F.col("pages") >= min_pages) & (F.col("path") != ""))
     gone = checkpoint(low.groupBy("host").agg(F.sort_array(F.collect_set("path")).alias("gone")))  # one row per host
-    few = gone.limit(BROADCAST_HOSTS + 1).count() <= BROADCAST_HOSTS
+    size = gone.agg(F.count(F.lit(1)).alias("hosts"), F.coalesce(F.sum(F.size("gone")), F.lit(0)).alias("paths"),
+                    F.coalesce(F.sum(F.length(F.array_join("gone", ""))), F.lit(0)).alias("chars")).first()
+    few = size["hosts"] <= BROADCAST_HOSTS and size["paths"] <= BROADCAST_PATHS and size["chars"] <= 100 * BROADCAST_PATHS
     with_low = src.withColumn("host", _site(F.col("url"))).join(F.broadcast(gone) if few else gone, "host", "left").select("page_id", "url", "html", "gone")
     kind = src.schema["page_id"].dataType.simpleString()
 
@@ -279,14 +402,14 @@ def extract(pages: DataFrame, threshold: float = 0.25, min_pages: int = 5, id_co
             texts, removed = [], []
             for html, gone_here in zip(batch.column("html").to_pylist(), batch.column("gone").to_pylist()):
                 page = parse(html)
-                bad = tuple(gone_here or ())
-                has_main = any(e.main and not e.off for e in page.elements)
+                bad = _Branches(gone_here or ())
+                has_main = page.has_main()
                 keep, lost = [], 0
                 for e, text in page.blocks:
                     if e.off or (has_main and not e.main):
                         continue
                     guarded = e.main and e.tag in PROTECTED
-                    if not guarded and any(e.path == g or e.path.startswith(g + ">") for g in bad):
+                    if not guarded and bad.hold(e.path):
                         lost += 1
                     else:
                         keep.append(text)

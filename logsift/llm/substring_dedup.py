@@ -11,18 +11,23 @@
 3. Occurrences go back to their documents as word spans.
 
 A seed that a great many runs share does not meet in one task: its windows are
-counted by Spark (equal ones combine before the shuffle), the confirmed ones
-are copied to several salted shards, and its runs are dealt over those.
+counted by Spark (equal ones combine before the shuffle) and its runs are dealt
+over salted shards.  Few confirmed windows (a passage that is copied often) are
+given to every salt, and each run goes to one of them.  Many (a phrase amid ever
+different words) are dealt by their own hash, and a run goes to the salts of
+its windows.
 """
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +37,13 @@ from logsift.llm.words import NON_SPACE, cut_rows, gram_hashes, text_bytes, word
 SEED_WORDS = 8
 #: Runs of one seed that a single shard takes; beyond it the seed is salted.
 HOT_SEED = 5_000
-#: Windows in one automaton (unless one seed has more).
+#: Windows held at a time, but for one seed and salt, which is held whole; and
+#: phrases of one automaton at most.
 BLOCK_WINDOWS = 40_000
+BLOCK_PHRASES = 20_000
+#: A run is its first word and its number of windows in so many bits.
+COUNT_BITS = 16
+_COUNT = (1 << COUNT_BITS) - 1
 
 
 def seed_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np.ndarray, window: int,
@@ -42,7 +52,7 @@ def seed_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np
     window (word in the row), number of windows, place of the seed in the run."""
     none = np.zeros(0, np.int64)
     if len(starts) < window:
-        return none, none.view(np.uint64), none, none, none
+        return none, none.view(np.uint64), none, none
     least = gram_hashes(word_hashes(data, starts, ends), seed)
     place = np.arange(len(least))
     span, need = 1, window - seed + 1
@@ -64,13 +74,13 @@ def seed_runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, bounds: np
     first = np.arange(len(row)) - np.repeat(np.cumsum(own) - own, own)
     at = first + bounds[row]
     if not len(at):
-        return none, none.view(np.uint64), none, none, none
+        return none, none.view(np.uint64), none, none
     value, where = least[at], place[at]
     new = np.ones(len(at), bool)
     new[1:] = (where[1:] != where[:-1]) | (row[1:] != row[:-1])
     head = np.flatnonzero(new)
     count = np.diff(np.append(head, len(at)))
-    return row[head], value[head], first[head], count, where[head] - at[head]
+    return row[head], value[head], first[head], count
 
 
 def _docs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -86,11 +96,11 @@ def _runs(src: DataFrame, window: int, seed: int) -> DataFrame:
         for batch in cut_rows(batches, "text"):
             data, offsets = text_bytes(batch.column("text"))
             starts, ends, bounds = word_spans(data, offsets, NON_SPACE)
-            row, value, first, count, place = seed_runs(data, starts, ends, bounds, window, seed)
+            row, value, first, count = seed_runs(data, starts, ends, bounds, window, seed)
             rows = pa.array(row)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id").take(rows), batch.column("th").take(rows), pa.array(value.view(np.int64)),
-                 pa.array(first << 16 | count << 8 | place)], names=["doc_id", "th", "seed", "run"])
+                 pa.array(first << COUNT_BITS | count)], names=["doc_id", "th", "seed", "run"])
 
     return src.mapInArrow(run, f"doc_id {kind}, th long, seed long, run long")
 
@@ -107,8 +117,8 @@ def _cut(flagged: DataFrame, window: int) -> DataFrame:
             row = np.repeat(np.arange(len(batch)), np.diff(runs.offsets.to_numpy()))
             parts = runs.flatten()
             packed = parts.field("run").to_numpy(zero_copy_only=False)
-            a = bounds[row] + (packed >> 16)
-            b = a + (packed >> 8 & 255) + window - 2
+            a = bounds[row] + (packed >> COUNT_BITS)
+            b = a + (packed & _COUNT) + window - 2
             raw = data.tobytes()
             words = [raw[x:y] for x, y in zip(starts[a].tolist(), ends[b].tolist())]
             rows = pa.array(row)
@@ -131,53 +141,121 @@ def _windows(regions: DataFrame, window: int) -> DataFrame:
         for batch in batches:
             for seed, packed, words in zip(batch.column("seed").to_pylist(), batch.column("run").to_pylist(), batch.column("words").to_pylist()):
                 w = words.split()
-                counts.update([(seed, b" ".join(w[k : k + window])) for k in range(packed >> 8 & 255)])
-            if len(counts) > 50_000:
-                yield rows(counts)
-                counts = Counter()
+                counts.update([(seed, b" ".join(w[k : k + window])) for k in range(packed & _COUNT)])
+                if len(counts) > 50_000:
+                    yield rows(counts)
+                    counts = Counter()
         yield rows(counts)
 
     return regions.select("seed", "run", "words").mapInArrow(run, "seed long, words binary, n long")
 
 
-def occurrences(phrases: set[str], texts: list[str], window: int) -> Iterator[tuple[int, list[int]]]:
-    """Starts of every phrase in every text, by one automaton."""
-    if not phrases:
-        return
+def _salt(words: bytes, salts: int) -> int:
+    """Salt of a window that is dealt by its own hash."""
+    return 1 + xxhash.xxh3_64_intdigest(words) % salts
+
+
+def _deal_known(known: DataFrame) -> DataFrame:
+    """Confirmed windows of hot seeds to their salts."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seed, salt, words = [], [], []
+            for s, w, salts, spread in zip(*(batch.column(c).to_pylist() for c in ("seed", "words", "salts", "spread"))):
+                own = [_salt(w, salts)] if spread else range(1, salts + 1)
+                seed += [s] * len(own)
+                salt += own
+                words += [w] * len(own)
+                if len(seed) > 2000:
+                    yield rows(seed, salt, words)
+                    seed, salt, words = [], [], []
+            yield rows(seed, salt, words)
+
+    def rows(seed: list[int], salt: list[int], words: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(seed, pa.int64()), pa.array(salt, pa.int64()), pa.array(words, pa.binary())], names=["seed", "salt", "words"])
+
+    return known.mapInArrow(run, "seed long, salt long, words binary")
+
+
+def _deal_runs(regions: DataFrame, window: int) -> DataFrame:
+    """Runs of hot seeds to their salts."""
+    kind = regions.schema["doc_id"].dataType.simpleString()
+    names = ["doc_id", "th", "seed", "salt", "run", "words"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row, salt = [], []
+            columns = (batch.column(c).to_pylist() for c in ("th", "run", "words", "salts", "spread"))
+            for k, (th, packed, words, salts, spread) in enumerate(zip(*columns)):
+                if spread:
+                    w = words.split()
+                    own = {_salt(b" ".join(w[j : j + window]), salts) for j in range(packed & _COUNT)}
+                else:
+                    own = {1 + xxhash.xxh3_64_intdigest(b"%d %d" % (th, k)) % salts}  # any salt will do, also for a repeated row
+                row += [k] * len(own)
+                salt += own
+            part = batch.select(["doc_id", "th", "seed", "run", "words"]).take(pa.array(row, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(salt, pa.int64()), *part.columns[3:]], names=names)
+
+    return regions.select("doc_id", "th", "seed", "run", "words", "salts", "spread").mapInArrow(
+        run, f"doc_id {kind}, th long, seed long, salt long, run long, words binary")
+
+
+def _automaton(phrases: list[bytes], words: int) -> tuple[ahocorasick.Automaton, np.ndarray]:
+    """An automaton of phrases, given as 4-byte word numbers under ``words``:
+    each word in one is a letter, all others are letter 0, which is in none."""
+    used = np.unique(np.frombuffer(b"".join(phrases), "<u4"))
+    letter = np.zeros(words, "<u4")
+    letter[used] = np.arange(1, len(used) + 1)
+    letter[letter >= 0xD800] += 0x800  # no surrogates
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
     for p in phrases:
-        automaton.add_word(p)
+        automaton.add_word(_letters(letter, p))
     automaton.make_automaton()
-    for k, text in enumerate(texts):
-        ends = [e for e, _ in automaton.iter(text)]
-        if ends:
-            yield k, [e - window + 1 for e in ends]
+    return automaton, letter
+
+
+def _letters(letter: np.ndarray, numbers: bytes) -> str:
+    return letter[np.frombuffer(numbers, "<u4")].tobytes().decode("utf-32-le")
+
+
+def occurrences(phrases: set[bytes], texts: list[bytes], words: int, window: int, block: int = BLOCK_PHRASES) -> dict[int, list[int]]:
+    """Starts (in order) of every phrase in every text, by one automaton per
+    ``block`` phrases.  Phrases and texts are 4-byte word numbers under
+    ``words``."""
+    out: dict[int, list[int]] = {}
+    every = sorted(phrases)
+    for a in range(0, len(every), block):
+        automaton, letter = _automaton(every[a : a + block], words)
+        for k, text in enumerate(texts):
+            found = [e - window + 1 for e, _ in automaton.iter(_letters(letter, text))]
+            if found:
+                out.setdefault(k, []).extend(found)
+    return {k: sorted(v) for k, v in out.items()}
 
 
 def _locate(shards: DataFrame, window: int, block: int) -> DataFrame:
     kind = shards.schema["doc_id"].dataType.simpleString()
+    size = 4 * window
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        code: dict[bytes, str] = {}
-
-        def letters(words: bytes) -> str:  # a word is one letter of the automaton's alphabet
-            return "".join([code.get(w) or code.setdefault(w, chr(len(code) + (1 if len(code) < 0xD000 else 0x1000))) for w in words.split()])
-
-        known: dict[int, set[str]] = {}
-        texts, counts = [], Counter()
-        for _, _, seed, kind_, run, words in rows:
-            text = letters(words)
+        number: dict[bytes, int] = {}
+        known: dict[int, set[bytes]] = {}
+        texts, owners, counts = [], [], Counter()
+        for row in rows:
+            _, _, seed, _, kind_, run, words = row
+            text = array("I", [number.setdefault(w, len(number)) for w in words.split()]).tobytes()
             if kind_ == 0:
                 known.setdefault(seed, set()).add(text)
                 continue
             texts.append(text)
-            if seed not in known:
-                counts.update([text[k : k + window] for k in range(run >> 8 & 255)])
+            owners.append(row)
+            if not row[3]:  # the windows of a salted seed were confirmed before
+                counts.update([text[4 * k : 4 * k + size] for k in range(run & _COUNT)])
         phrases = {p for p, n in counts.items() if n > 1}.union(*known.values())
-        owners = [r for r in rows if r[3] != 0]
+        del counts
         ids, hashes, spans = [], [], []
-        for k, at in occurrences(phrases, texts, window):
-            first = owners[k][4] >> 16
+        for k, at in occurrences(phrases, texts, len(number), window).items():
+            first = owners[k][5] >> COUNT_BITS
             merged: list[list[int]] = []
             for s in at:
                 if merged and s <= merged[-1][1]:
@@ -198,29 +276,33 @@ def _locate(shards: DataFrame, window: int, block: int) -> DataFrame:
         windows = 0
         for batch in batches:
             id_type[0] = batch.schema.field("doc_id").type
-            for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "seed", "kind", "run", "words"))):
-                if windows >= block and r[2] != held[-1][2]:
+            for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "seed", "salt", "kind", "run", "words"))):
+                if windows >= block and r[2:4] != held[-1][2:4]:
                     yield solve(held)
                     held, windows = [], 0
                 held.append(r)
-                windows += (r[4] >> 8 & 255) if r[3] else 1
+                windows += (r[5] & _COUNT) if r[4] else 1
         if held:
             yield solve(held)
 
-    return shards.select("doc_id", "th", "seed", "kind", "run", "words").mapInArrow(run, f"doc_id {kind}, th long, span long")
+    return shards.select("doc_id", "th", "seed", "salt", "kind", "run", "words").mapInArrow(run, f"doc_id {kind}, th long, span long")
 
 
 def dedup(docs: DataFrame, window: int = 35, seed: int = SEED_WORDS, hot_seed: int = HOT_SEED, block: int = BLOCK_WINDOWS,
           id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: ``doc_id``, ``n_words``, ``n_removed``, ``spans`` (merged
-    ``[start, end)`` word spans that are removed) and ``kept`` (the other
-    words joined by one space).
+    ``[start, end)`` word spans that are removed), ``kept`` (the other
+    words joined by one space) and ``text_hash`` (``xxhash64`` of the text,
+    which tells rows with one id apart).
 
     A word goes if a window of ``window`` words around it starts anywhere else
     too, in the same text or another row's; so every copy goes.  Null or empty
     text and texts shorter than a window lose nothing.  Repeated rows are
     copies of each other; empty tables give no rows; other columns are ignored.
+    ``window`` is at least ``seed`` and less than 65,536.
     """
+    if not seed <= window <= _COUNT:
+        raise ValueError(f"window must be between {seed} and {_COUNT}")
     n = partitions(small_batches(docs.sparkSession))
     src = _docs(docs, id_col, text_col)
     kind = src.schema["doc_id"].dataType.simpleString()
@@ -233,17 +315,24 @@ def dedup(docs: DataFrame, window: int = 35, seed: int = SEED_WORDS, hot_seed: i
                .agg(F.collect_set(F.struct("run", "seed", hot.alias("hot"))).alias("runs")).alias("f"))
     s = src.alias("s")
     mine = s.join(flagged, F.col("s.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("s.th") == F.col("f.th"))).select("s.doc_id", "s.th", "s.text", "f.runs")
-    regions = _cut(mine, window)
-    hot_windows = _windows(regions.filter("hot > 0"), window).groupBy("seed", "words").agg(F.sum("n").alias("n")).filter("n > 1")
-    salts = regions.filter("hot > 0").groupBy("seed").agg(F.max("hot").alias("hot"))
-    known = hot_windows.join(salts, "seed").select(
-        F.lit(None).cast(kind).alias("doc_id"), F.lit(0).cast("long").alias("th"), "seed", F.explode(F.sequence(F.lit(1).cast("long"), "hot")).alias("salt"),
-        F.lit(0).alias("kind"), F.lit(0).cast("long").alias("run"), "words")
-    dealt = regions.select("doc_id", "th", "seed", F.when(F.col("hot") > 0, F.pmod(F.xxhash64("th", "run", "doc_id"), F.col("hot")) + 1)
-                           .otherwise(F.lit(0)).alias("salt"), F.lit(1).alias("kind"), "run", "words")
-    shards = known.unionByName(dealt).repartition(n, "seed", "salt").sortWithinPartitions("seed", "salt", "kind")
+    # cut apart, so that no pass takes up the runs of the other kind
+    kinds = lambda test: mine.withColumn("runs", F.filter("runs", test)).filter(F.size("runs") > 0)
+    cold_regions = _cut(kinds(lambda r: r["hot"] == 0), window)
+    hot_regions = _cut(kinds(lambda r: r["hot"] > 0), window)
+    hot_windows = _windows(hot_regions, window).groupBy("seed", "words").agg(F.sum("n").alias("n")).filter("n > 1").drop("n")
+    # one row per hot seed that has a confirmed window: its salts, and how to deal
+    # (runs x windows a run against confirmed windows x salts)
+    runs = recurring.select("seed", hot.alias("salts"), "n")
+    dealing = hot_windows.groupBy("seed").agg(F.count(F.lit(1)).alias("d")).join(runs, "seed").select(
+        "seed", F.greatest("salts", F.ceil(F.col("d") / block)).alias("salts"), (F.col("d") * F.col("salts") > F.col("n")).alias("spread"))
+    known = _deal_known(hot_windows.join(dealing, "seed").select("seed", "words", "salts", "spread")).select(
+        F.lit(None).cast(kind).alias("doc_id"), F.lit(0).cast("long").alias("th"), "seed", "salt", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("run"), "words")
+    order = ["doc_id", "th", "seed", "salt", "kind", "run", "words"]
+    cold = cold_regions.select("doc_id", "th", "seed", F.lit(0).cast("long").alias("salt"), F.lit(1).alias("kind"), "run", "words")
+    dealt = _deal_runs(hot_regions.join(dealing, "seed"), window).withColumn("kind", F.lit(1)).select(order)
+    shards = known.unionByName(cold).unionByName(dealt).repartition(n, "seed", "salt").sortWithinPartitions("seed", "salt", "kind")
     spans = _locate(shards, window, block).groupBy("doc_id", "th").agg(F.collect_set("span").alias("spans")).alias("p")
-    whole = s.join(spans, F.col("s.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("s.th") == F.col("p.th")), "left").select("s.doc_id", "s.text", "p.spans")
+    whole = s.join(spans, F.col("s.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("s.th") == F.col("p.th")), "left").select("s.doc_id", "s.th", "s.text", "p.spans")
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in cut_rows(batches, "text"):
@@ -268,7 +357,7 @@ def dedup(docs: DataFrame, window: int = 35, seed: int = SEED_WORDS, hot_seed: i
                 kept.append(b" ".join(left).decode())
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), pa.array(total, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array(merged, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.string())],
-                names=["doc_id", "n_words", "n_removed", "spans", "kept"])
+                 pa.array(merged, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), pa.array(kept, pa.string()),
+                 batch.column("th")], names=["doc_id", "n_words", "n_removed", "spans", "kept", "text_hash"])
 
-    return whole.mapInArrow(keep, f"doc_id {kind}, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string")
+    return whole.mapInArrow(keep, f"doc_id {kind}, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string, text_hash long")

@@ -120,10 +120,55 @@ def fit(doc: np.ndarray, y: np.ndarray, empty: np.ndarray, sent_doc: np.ndarray,
     return theta[:-1], float(theta[-1])
 
 
+def _log_odds(clean: np.ndarray) -> np.ndarray:
+    """Log odds of the noisy-or, from the log probability that no sentence is toxic."""
+    with np.errstate(divide="ignore", over="ignore"):
+        return np.log(np.expm1(-clean))
+
+
+def best_cut(odds: np.ndarray, y: np.ndarray) -> float:
+    """The log odds at which catching positives and sparing negatives is best
+    (the largest difference of the two rates; midway between two documents,
+    and of equal ones the cut nearest to even odds)."""
+    order = np.argsort(-odds, kind="stable")
+    odds, y = odds[order], y[order]
+    gain = np.cumsum(np.where(y > 0, 1 / max(1, (y > 0).sum()), -1 / max(1, (y <= 0).sum())))
+    ends = np.flatnonzero(np.append(odds[1:] < odds[:-1], True))
+    ends = ends[np.isfinite(odds[ends])]
+    if not len(ends) or not (y > 0).any() or not (y <= 0).any():
+        return 0.0
+    below = np.append(odds[1:], odds[-1] - 1)
+    cuts = np.where(np.isfinite(below[ends]), (odds[ends] + below[ends]) / 2, odds[ends] - 1)
+    top = gain[ends] >= gain[ends].max() - 1e-12
+    return float(cuts[top][np.abs(cuts[top]).argmin()])
+
+
+def _calibrate(y: np.ndarray, empty: np.ndarray, sent_doc: np.ndarray, word_sent: np.ndarray, word: np.ndarray, n_words: int, folds: int = 3) -> float:
+    """:func:`best_cut` of scores that the documents get from models that have
+    not seen them."""
+    odds = np.zeros(len(y))
+    fold = np.arange(len(y)) % folds
+    for f in range(folds):
+        learn = np.flatnonzero(fold != f)
+        place = np.full(len(y), -1)
+        place[learn] = np.arange(len(learn))
+        sents = np.flatnonzero(place[sent_doc] >= 0)
+        sent_at = np.full(len(sent_doc), -1)
+        sent_at[sents] = np.arange(len(sents))
+        terms = sent_at[word_sent] >= 0
+        weights, bias = fit(np.arange(len(learn)), y[learn], empty[learn], place[sent_doc[sents]], sent_at[word_sent[terms]], word[terms], n_words)
+        z = bias + np.bincount(word_sent, weights=weights[word], minlength=len(sent_doc))
+        clean = np.bincount(sent_doc, weights=-np.logaddexp(0, z), minlength=len(y)) - empty * np.logaddexp(0, bias)
+        odds[fold == f] = _log_odds(clean[fold == f])
+    return best_cut(odds, y)
+
+
 def train(docs: DataFrame, labels: DataFrame, when: Column, label_col: str = "toxic", max_train: int = MAX_TRAIN,
           max_words: int = MAX_WORDS, id_col: str = "doc_id", text_col: str = "text") -> dict:
-    """The model: vocabulary hashes, weights, bias.  Without labels of both
-    kinds the model has no words and scores the share of toxic labels."""
+    """The model: vocabulary hashes, weights, bias, and ``cut``, the log odds
+    that score 0.5, calibrated on the same documents by models that have not
+    seen them.  Without labels of both kinds the model has no words and scores
+    the share of toxic labels."""
     sample = labelled(docs, labels, label_col, when, max_train, id_col, text_col)
     words = np.array(_evidence(sample, max_words), U64)
 
@@ -148,7 +193,7 @@ def train(docs: DataFrame, labels: DataFrame, when: Column, label_col: str = "to
 
     rows = sample.orderBy("id").mapInArrow(compact, "y double, empty long, sents binary, terms binary").collect()  # <= max_train rows
     if not rows:
-        return {"words": [], "weights": [], "bias": -4.0}
+        return {"words": [], "weights": [], "bias": -4.0, "cut": 0.0}
     y = np.array([r["y"] for r in rows]) > 0
     empty = np.array([r["empty"] for r in rows], float)
     sent_doc, word_sent, word, at = [], [], [], 0
@@ -160,15 +205,15 @@ def train(docs: DataFrame, labels: DataFrame, when: Column, label_col: str = "to
         word_sent.append(back + at)
         word.append(terms)
         at += n
-    weights, bias = fit(np.arange(len(rows)), y.astype(float), empty, np.concatenate(sent_doc), np.concatenate(word_sent).astype(np.int64),
-                        np.concatenate(word).astype(np.int64), len(words))
-    return {"words": words.tolist(), "weights": weights.tolist(), "bias": bias}
+    data = (y.astype(float), empty, np.concatenate(sent_doc), np.concatenate(word_sent).astype(np.int64), np.concatenate(word).astype(np.int64), len(words))
+    weights, bias = fit(np.arange(len(rows)), *data)
+    return {"words": words.tolist(), "weights": weights.tolist(), "bias": bias, "cut": _calibrate(*data) if len(words) else 0.0}
 
 
 def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str = "text", offending: float = 0.5) -> DataFrame:
-    """Per row: ``doc_id``, ``score`` (noisy-or of the sentences, 0 to 1) and
-    ``offending``: the sentences that score at least ``offending`` alone, as
-    ``index``, ``score`` and ``text``.
+    """Per row: ``doc_id``, ``score`` (noisy-or of the sentences, moved so that
+    the calibrated cut is 0.5; 0 to 1) and ``offending``: the sentences that
+    score at least ``offending`` alone, as ``index``, ``score`` and ``text``.
 
     Null or empty text and text without letters has no sentence and scores 0.
     Repeated rows each give a row; empty tables give no rows; other columns
@@ -180,7 +225,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
     kind = src.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, weights, bias = np.array(shared.value["words"], U64), np.array(shared.value["weights"], float), shared.value["bias"]
+        words, weights, bias, cut = np.array(shared.value["words"], U64), np.array(shared.value["weights"], float), shared.value["bias"], shared.value["cut"]
         for batch in cut_rows(batches, "text"):
             h, sentence, row, first, last = bags(batch.column("text"))
             ids = _ids(words, h)
@@ -188,7 +233,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
             z = bias + np.bincount(sentence[known], weights=weights[ids[known]], minlength=len(row))
             clean = np.bincount(row, weights=-np.logaddexp(0, z), minlength=len(batch))
             found: list[list[dict]] = [[] for _ in range(len(batch))]
-            p = _sigmoid(z)
+            p = _sigmoid(z - cut)
             heads = np.searchsorted(row, np.arange(len(batch)))
             texts = batch.column("text")
             for k in np.flatnonzero(p >= offending):
@@ -196,7 +241,7 @@ def score(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str =
                 found[row[k]].append({"index": int(k - heads[row[k]]), "score": float(p[k]),
                                       "text": raw[first[k] : last[k]].decode("utf-8", "replace")})
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array(-np.expm1(clean)),
+                [batch.column("doc_id"), pa.array(_sigmoid(_log_odds(clean) - cut)),
                  pa.array(found, pa.list_(pa.struct([("index", pa.int64()), ("score", pa.float64()), ("text", pa.string())])))],
                 names=["doc_id", "score", "offending"])
 

@@ -32,6 +32,9 @@ LARGEST = float(1 << 46)
 #: when rounding stops further progress, and filters at most.
 GUARD, DEGREE, APART, TIGHT, LOOSE, FILTERS = 16, 12, 1e8, 4e-15, 1e-12, 200
 
+#: Rows of a block.
+BLOCK_ROWS = 2000
+
 #: Eigenvalues below this part of the largest are zero but for rounding.
 ZERO = 1e-13
 
@@ -46,29 +49,45 @@ def vectors(rows: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddin
     return rows.filter(c.isNotNull() & ~F.coalesce(bad, F.lit(True))).select(F.col(id_col).alias("vec_id"), x.cast("array<long>").alias("x"))
 
 
-def _matrix(batch: pa.RecordBatch, name: str = "x") -> np.ndarray:
-    flat = batch.column(name).flatten().to_numpy(zero_copy_only=False)
-    return flat.reshape(batch.num_rows, -1)
+def _blocks(vecs: DataFrame, dims: int) -> DataFrame:
+    """``ids`` and ``x`` of many rows as one row, ``x`` as the bytes of a matrix
+    of longs: the passes read it as it lies."""
+    kind = vecs.schema["vec_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, BLOCK_ROWS):
+                part = batch.slice(a, BLOCK_ROWS)
+                ids = part.column("vec_id")
+                x = part.column("x").flatten().to_numpy(zero_copy_only=False).astype("<i8", copy=False)
+                whole = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
+                yield pa.RecordBatch.from_arrays([whole, pa.array([x.tobytes()], pa.binary())], names=["ids", "x"])
+
+    return vecs.filter(F.size("x") == dims).mapInArrow(run, f"ids array<{kind}>, x binary")
+
+
+def _matrix(x: pa.Scalar, dims: int) -> np.ndarray:
+    return np.frombuffer(x.as_buffer(), "<i8").reshape(-1, dims)
 
 
 def _cells(out: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.arange(out.size)), pa.array(out.ravel())], names=["cell", "v"])
 
 
-def _summed(rows: DataFrame, part: Callable[[pa.RecordBatch], np.ndarray], shape: tuple[int, int], kind: str = "double") -> np.ndarray:
-    """Sum over all rows of a matrix that ``part`` makes of each batch: one
-    partial sum per task, added up cell by cell by Spark."""
+def _summed(blocks: DataFrame, dims: int, part: Callable[[np.ndarray], np.ndarray], shape: tuple[int, int], kind: str = "double") -> np.ndarray:
+    """Sum of a matrix that ``part`` makes of each block: one partial sum per
+    task, added up cell by cell by Spark."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
-            if batch.num_rows:
-                own = part(batch)
+            for x in batch.column("x"):
+                own = part(_matrix(x, dims))
                 total = own if total is None else total + own
         if total is not None:
             yield _cells(total)
 
-    cells = rows.mapInArrow(run, f"cell long, v {kind}").groupBy("cell")
+    cells = blocks.select("x").mapInArrow(run, f"cell long, v {kind}").groupBy("cell")
     if kind == "long":
         got = cells.agg(F.sum(F.col("v").cast("decimal(38,0)")).alias("v")).collect()
         out = np.zeros(shape, object)
@@ -145,63 +164,64 @@ def whiten(rows: DataFrame, wanted: int = 32, id_col: str = "vec_id", vector_col
     and deviations beyond a long, raise an error.
     """
     spark = rows.sparkSession
-    made = checkpoint(vectors(rows, id_col, vector_col))
-    kind = made.schema["vec_id"].dataType.simpleString()
+    vecs = vectors(rows, id_col, vector_col)
+    kind = vecs.schema["vec_id"].dataType.simpleString()
     schema = f"vec_id {kind}, component int, n long, deviation long, whitened double, explained double, identity_error double"
-    sizes = made.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
+    sizes = vecs.groupBy(F.size("x").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
     if sizes is None or not sizes["d"]:
         return spark.createDataFrame([], schema)
     dims, n = sizes["d"], sizes["count"]
-    made = made.filter(F.size("x") == dims)
-    exact = _summed(made.select("x"), lambda b: _matrix(b).sum(axis=0, dtype=np.int64), (1, dims), "long")[0]
+    made = checkpoint(_blocks(vecs, dims))
+    exact = _summed(made, dims, lambda x: x.sum(axis=0, dtype=np.int64)[None, :], (1, dims), "long")[0]
     if max(map(abs, exact), default=0) >= 1 << 62:
         raise OverflowError("sums are beyond a long")
     total = exact.astype(np.int64)
 
-    def centred(batch: pa.RecordBatch) -> np.ndarray:
-        return _centred(_matrix(batch), n, total) / n
+    def centred(x: np.ndarray) -> np.ndarray:
+        return _centred(x, n, total) / n
 
-    def squares(batch: pa.RecordBatch) -> np.ndarray:
-        return np.square(centred(batch)).sum(axis=0)[None, :]
+    def squares(x: np.ndarray) -> np.ndarray:
+        return np.square(centred(x)).sum(axis=0)[None, :]
 
     def times(q: np.ndarray) -> np.ndarray:
         block = spark.sparkContext.broadcast(q)  # dims x block
 
-        def product(batch: pa.RecordBatch) -> np.ndarray:
-            own = centred(batch)
+        def product(x: np.ndarray) -> np.ndarray:
+            own = centred(x)
             return own.T @ (own @ block.value)
 
-        out = _summed(made.select("x"), product, q.shape) / n
+        out = _summed(made, dims, product, q.shape) / n
         block.unpersist()
         return out
 
-    trace = float(_summed(made.select("x"), squares, (1, dims)).sum() / n)
+    trace = float(_summed(made, dims, squares, (1, dims)).sum() / n)
     value, vector = components(times, dims, wanted)
     if not len(value):
         return spark.createDataFrame([], schema)
     project = spark.sparkContext.broadcast(vector / np.sqrt(value))
 
-    def gram(batch: pa.RecordBatch) -> np.ndarray:
-        own = centred(batch) @ project.value
+    def gram(x: np.ndarray) -> np.ndarray:
+        own = centred(x) @ project.value
         return own.T @ own
 
-    error = float(np.abs(_summed(made.select("x"), gram, (len(value), len(value))) / n - np.eye(len(value))).max())
+    error = float(np.abs(_summed(made, dims, gram, (len(value), len(value))) / n - np.eye(len(value))).max())
     explained = value / trace
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                apart = _centred(_matrix(part), n, total)
-                if np.square(apart.astype(np.float64)).sum(axis=1).max(initial=0) >= 2.0**63:
-                    raise OverflowError("a deviation is beyond a long")
-                out = apart / n @ project.value
-                m, k = out.shape
-                deviation = np.square(apart).sum(axis=1)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("vec_id").take(pa.array(np.repeat(np.arange(m), k))), pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), m)),
-                     pa.array(np.full(m * k, n, np.int64)), pa.array(np.repeat(deviation, k)), pa.array(out.ravel()),
-                     pa.array(np.tile(explained, m)), pa.array(np.full(m * k, error))],
-                    names=["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"])
+            for ids, block in zip(batch.column("ids"), batch.column("x")):
+                x = _matrix(block, dims)
+                for a in range(0, len(x), 500):
+                    apart = _centred(x[a : a + 500], n, total)
+                    if np.square(apart.astype(np.float64)).sum(axis=1).max(initial=0) >= 2.0**63:
+                        raise OverflowError("a deviation is beyond a long")
+                    out = apart / n @ project.value
+                    m, k = out.shape
+                    deviation = np.square(apart).sum(axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.values.slice(a, m).take(pa.array(np.repeat(np.arange(m), k))), pa.array(np.tile(np.arange(1, k + 1, dtype=np.int32), m)),
+                         pa.array(np.full(m * k, n, np.int64)), pa.array(np.repeat(deviation, k)), pa.array(out.ravel()),
+                         pa.array(np.tile(explained, m)), pa.array(np.full(m * k, error))],
+                        names=["vec_id", "component", "n", "deviation", "whitened", "explained", "identity_error"])
 
     return made.mapInArrow(run, schema)

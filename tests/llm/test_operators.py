@@ -399,10 +399,84 @@ def test_style_tree_hints_around_and_inside_the_article(spark):
     made += [(10 + i, f"//w{i}/", f"<body><div class='{w}'><h2 id=related-work>One</h2><p>Two</p></div><div class=site-footer>No</div>") for i, w in enumerate(wraps[:4])]
     made += [(20, "//n/", "<body><nav><article><p>No</p></article></nav><div hidden><main>No</main></div><main class=menu><p>Yes</p><div class=comments><article>Too</article></div></main>")]
     out = {r.page_id: r.text for r in style_tree.extract(spark.createDataFrame(made, "page_id long, url string, html string")).collect()}
-    want = {i: "Title\nTwo\nThree\nFour\nFive\nSix" for i in range(6)} | {10 + i: "One\nTwo" for i in range(4)} | {20: "Yes\nToo"}
+    want = {i: "Title\nTwo\nThree\nFour\nFive\nSix" for i in range(6)} | {10 + i: "One\nTwo" for i in range(4)} | {20: "Yes"}
     assert out == want
 
 
+def main_text(html):
+    page = style_tree.parse(html)
+    return "\n".join(t for e, t in page.blocks if not e.off and (e.main or not page.has_main()))
+
+
+def test_reader_comments_related_articles_and_adverts_go_wherever_they_stand():
+    more = ["<section id='comments'><article class='comment'><p>Reader</p></article></section>", "<div class='related'><article class='card'>Other</article></div>",
+            "<div id='comments'>Reader</div>", "<div class='comments-area'><p>Reader</p></div>", "<div id=disqus_thread>Reader</div>",
+            "<ol class='comment-list'><li class='comment even'><article id='div-comment-2' class='comment-body'><p>Reader</p></article></li></ol>",
+            "<div class='related-posts'><h3>Read also</h3><ul><li>Other</li></ul></div>", "<div class='ad-slot'><article>Buy</article></div>"]
+    for extra in more:
+        assert main_text(f"<body><article><h1>Title</h1><p>Main</p></article>{extra}") == "Title\nMain"
+        assert main_text(f"<body><main><h1>Title</h1><article><p>Main</p></article>{extra}</main>") == "Title\nMain"
+    for extra in more[:1] + more[2:7]:
+        assert main_text(f"<body><article><h1>Title</h1><p>Main</p>{extra}</article>") == "Title\nMain"
+
+
+def test_markup_of_odd_attributes_does_not_leak():
+    assert main_text("<p title=it's>Main text one</p>") == "Main text one"
+    assert main_text("<p title=it's>Main text one</p><p>It isn't</p>") == "Main text one\nIt isn't"
+    assert main_text("<p a='x\"y' b=\"x'>y\" = c>One</p><p/>Two<p class>a < b &amp;&lt; c</p>") == "One\nTwo\na < b &< c"
+    assert main_text("<p>One<p title='x>Two") == "One\nTwo" or main_text("<p>One<p title='x>Two") == "One"
+    assert main_text("<article><p>A <button>b</button>c <select>d</p><p>more</p></article>") == "A c d\nmore"
+    assert main_text("<p>x<!-- y") == "x" and main_text("<!doctype html><p>x</") == "x" and main_text("1 < 2 <3") == "1 < 2 <3"
+
+
+@pytest.mark.parametrize("html", ["<a " * 350_000, "<div>x" * 20_000, "<div>x" * 20_000 + "</i></p></q>" * 20_000, "<b>" * 20_000 + "</i>" * 20_000,
+                                  "<li><div>" * 20_000, "<button>" * 50_000, "<p a='" * 100_000, "</" * 300_000, f"<p class='{'c ' * 300_000}'><b>x</b>",
+                                  f"<div class={'c' * 300_000}>" + "<div>" * 1000])
+def test_parsing_takes_linear_time(html):
+    import time
+
+    began = time.perf_counter()
+    style_tree.parse(html)
+    assert time.perf_counter() - began < 1
+
+
+def test_style_tree_odd_rows(spark):
+    deep = "<div class=a>" * 3000 + "deep"
+    rows = [(1, "//x/", "<p>A</p>", "t", 1), (1, "//x/", "<p>A</p>", "t", 1), (2, None, deep, "t", 1), (None, "//x/", None, None, None), (3, "//x/", "<p>" + "long " * 300_000, "t", 1)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string, text string, host int")
+    out = sorted((str(r.page_id), r.text, r.n_chars) for r in style_tree.extract(df).collect())
+    assert out == sorted([("1", "A", 1)] * 2 + [("2", "deep", 4), ("None", "", 0), ("3", ("long " * 300_000).strip(), 1_499_999)])
+
+
+def test_importance_and_removal_equal_brute_force(spark, monkeypatch):
+    import math
+
+    rnd = random.Random(7)
+    pages = [(i, "//one/", "".join(f"<div class={c}>{rnd.choice(['Same', f'Text {i}', 'Two'])}</div>" for c in rnd.sample("abcd", rnd.randrange(1, 5)))) for i in range(25)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string")
+    got = {r.path: (r.pages, r.imp) for r in style_tree.importance(df).collect()}
+    assert len({h for _, _, h in pages}) > 10
+    layouts, texts = defaultdict(Counter), defaultdict(Counter)
+    for html in {h for _, _, h in pages}:
+        page = style_tree.parse(html)
+        for e in page.elements:
+            layouts[e.path][tuple(e.children)] += 1
+        for e, t in page.blocks:
+            texts[e.path][t] += 1
+    for path, seen in layouts.items():
+        m = sum(seen.values())
+        node = 1.0 if m < 2 else -sum(n / m * math.log(n / m) for n in seen.values()) / math.log(m)
+        below = [(p, t, n) for p, own in texts.items() if p == path or p.startswith(path + ">") for t, n in own.items()]
+        if not below:
+            continue
+        own = [1.0 if (mp := sum(layouts[p].values())) < 2 else 1 - math.log(n) / math.log(mp) for p, _, n in below]
+        content, fade = sum(own) / len(own), 0.9 ** len(seen)
+        assert got[path][0] == m and abs(got[path][1] - min(content, (1 - fade) * node + fade * content)) < 1e-9
+    full = {r.page_id: (r.text, r.n_removed) for r in style_tree.extract(df).collect()}
+    monkeypatch.setattr(style_tree, "BROADCAST_PATHS", -1)
+    assert full == {r.page_id: (r.text, r.n_removed) for r in style_tree.extract(df).collect()}
+
+
 @pytest.mark.parametrize("limit", [100_000, 0])
 def test_style_tree_copies_of_a_page(spark, monkeypatch, limit):
     monkeypatch.setattr(style_tree, "BROADCAST_COPIES", limit)
@@ -438,4 +512,4 @@ def test_pipeline(spark):
 
 
 def test_queries_are_registered():
-    assert [int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES] == [1, 2, 3, 4, 5, 6, 7, 8, 9, 10]
+    assert [int(re.match(r"op(\d+)_", k)[1]) for k in QUERIES] == list(range(1, 14))
