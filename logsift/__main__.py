@@ -26,11 +26,30 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--continuous", action="store_true", help="keep running (default: process what is there)")
     p.add_argument("--max-files-per-trigger", type=int)
     p.add_argument("--max-bytes-per-trigger", default=jobs.MAX_BYTES_PER_TRIGGER)
+    p.add_argument("--progress", help="table of a row per micro-batch")
+    p.add_argument("--rejects", help="folder for lines that match no format")
+
+    p = sub.add_parser("compact", help="finished days of the live events table in few files")
+    p.add_argument("events")
+    p.add_argument("archive")
+    p.add_argument("before", help="first day to leave out")
+
+    p = sub.add_parser("summary", help="end-of-run report")
+    p.add_argument("events")
+    p.add_argument("alerts")
+    p.add_argument("--out")
+
+    p = sub.add_parser("metrics", help="metrics series of a stored run")
+    p.add_argument("events")
+    p.add_argument("alerts")
+    p.add_argument("out")
+    p.add_argument("--interval", type=int, default=jobs.T.INTERVAL_SEC)
 
     p = sub.add_parser("alerts", help="alert rule over a stored events table")
     p.add_argument("events")
     p.add_argument("alerts")
     p.add_argument("--clock", choices=jobs.CLOCKS, default="timestamp")
+    p.add_argument("--rule", choices=list(jobs.RULES), default="event")
     p.add_argument("--start", help="first indexed_at")
     p.add_argument("--end", help="indexed_at limit, exclusive")
 
@@ -53,16 +72,26 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("metrics")
     p.add_argument("out")
     p.add_argument("--latency")
+    p.add_argument("--records")
 
     a = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"logsift-{a.job}").getOrCreate()
     if a.job == "ingest":
         qs = jobs.ingest(spark, a.logs, a.events, a.alerts, a.checkpoint, available_now=not a.continuous,
-                         max_files_per_trigger=a.max_files_per_trigger, max_bytes_per_trigger=a.max_bytes_per_trigger)
+                         max_files_per_trigger=a.max_files_per_trigger, max_bytes_per_trigger=a.max_bytes_per_trigger,
+                         progress_path=a.progress, rejects_path=a.rejects)
         for q in qs:
             q.awaitTermination()
     elif a.job == "alerts":
-        jobs.batch_alerts(spark, a.events, a.alerts, a.clock, a.start, a.end)
+        jobs.batch_alerts(spark, a.events, a.alerts, a.clock, a.start, a.end, a.rule)
+    elif a.job == "compact":
+        jobs.compact(spark, a.events, a.archive, a.before)
+    elif a.job == "summary":
+        for name, df in jobs.summary(spark, a.events, a.alerts, a.out).items():
+            print(name)
+            df.show(50, truncate=False)
+    elif a.job == "metrics":
+        jobs.metrics(spark, a.events, a.alerts, a.out, a.interval)
     elif a.job == "preprocess":
         print(json.dumps(jobs.preprocess(spark, a.logs, a.out, a.sample)))
     elif a.job == "latency":
@@ -70,7 +99,7 @@ def main(argv: list[str] | None = None) -> None:
     elif a.job == "export":
         jobs.export(spark, a.events, a.alerts, a.out, a.limit)
     elif a.job == "analyze":
-        for name, df in jobs.analyze_runs(spark, a.metrics, a.latency).items():
+        for name, df in jobs.analyze_runs(spark, a.metrics, a.latency, a.records).items():
             df.write.mode("overwrite").parquet(f"{a.out}/{name}")
 
 

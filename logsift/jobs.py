@@ -5,8 +5,11 @@ computes on the driver beyond the scalar results the operators return.
 
 * :func:`ingest` -- the live pipeline: text log files -> parse/enrich ->
   events table, and suspicious events -> stateful alerts -> alerts table.
+* :func:`compact` -- finished days of the live events table in few files.
 * :func:`batch_alerts` -- the alert rule over a stored events table, on a
   clock of choice.
+* :func:`summary`, :func:`metrics` -- end-of-run report and metrics series of
+  stored tables.
 * :func:`preprocess` -- flag suspicious lines, keep all of them plus an exact
   uniform sample of the normal ones, shuffle, write a clean log.
 * :func:`latency_report` -- latency statistics of an events table, optionally
@@ -21,17 +24,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, LongType, StructField, StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from logsift.operators import alerts as A
 from logsift.operators import prep as P
 from logsift.operators import reports as R
 from logsift.operators import runs as U
+from logsift.operators import timeseries as T
 from logsift.schemas import EVENTS
 from logsift.session import prepare
 from logsift.sources import io
-from logsift.sources.logs import scan_log_lines
+from logsift.sources.logs import parse_events, parse_rejects, scan_log_lines
 from logsift.streaming import stream as S
+from logsift.streaming.progress import ProgressLog
 
 
 #: Input of one micro-batch of the live pipeline, unless files are limited instead.
@@ -50,44 +55,114 @@ def ingest(
     max_files_per_trigger: int | None = None,
     max_bytes_per_trigger: str = MAX_BYTES_PER_TRIGGER,
     lateness: str = "10 minutes",
-) -> tuple[StreamingQuery, StreamingQuery]:
-    """The live pipeline on a folder of text log files.
+    progress_path: str | None = None,
+    rejects_path: str | None = None,
+) -> tuple[StreamingQuery, ...]:
+    """The live pipeline on a folder of log files, which may grow.
 
     Two chained streaming queries: lines -> parse/enrich -> events table
-    (parquet under ``batch=<id>/date=<day>``, ``indexed_at`` stamped per
-    micro-batch, unique ids stable under retries, idempotent per batch); then the events table, read back as a stream, -> stateful alerts
-    on ``indexed_at`` -> alerts table (exactly once through its checkpoint).
-    With ``available_now`` the input present now is processed and both
-    queries stop (the second starts when the first ends).  A micro-batch takes
+    (days of ``indexed_at`` as partitions; each event has its own arrival and
+    index time, and an id made of file and byte); then the events table, read
+    as a stream through its manifest, -> stateful alerts on ``indexed_at`` ->
+    alerts table.  A batch that fails and is run again leaves nothing behind in
+    either table.  With ``available_now`` the input present now is processed
+    and both queries stop (the second starts when the first ends), and a last
+    line without a line end is taken as it is.  A micro-batch takes
     ``max_bytes_per_trigger`` of input, or ``max_files_per_trigger`` files if
-    that is given (the file source takes one limit).
+    that is given.  ``progress_path``: table of a row per micro-batch of each
+    query.  ``rejects_path``: text files of the lines that match no format, by
+    a third query over the same files (the last one returned).
     """
     prepare(spark)
-    lines = S.stream_log_source(spark, logs_path, fmt="text", max_files_per_trigger=max_files_per_trigger,
-                                max_bytes_per_trigger=None if max_files_per_trigger else max_bytes_per_trigger)
-    q_events = S.start_indexer(lines, events_path, f"{checkpoint}/events", available_now=available_now)
+    log = ProgressLog(spark, progress_path) if progress_path else None
+
+    def lines(state: str) -> DataFrame:
+        return S.stream_log_source(spark, logs_path, fmt="tail", max_files_per_trigger=max_files_per_trigger,
+                                   max_bytes_per_trigger=None if max_files_per_trigger else max_bytes_per_trigger,
+                                   state=f"{checkpoint}/{state}", unfinished=available_now)
+
+    events = S.stream_index(parse_events(lines("tail")), clock="ingested_at")
+    q_events = S.start_events_sink(events, events_path, f"{checkpoint}/events")
     if available_now:
-        q_events.awaitTermination()
-    schema = StructType(EVENTS.fields + [StructField("batch", LongType()), StructField("date", DateType())])
-    stored = spark.readStream.schema(schema).option("basePath", events_path).parquet(f"{events_path}/batch=*")
+        S.finish(q_events)
+    schema = StructType(EVENTS.fields + [StructField("date", DateType())])
+    stored = spark.readStream.schema(schema).parquet(events_path)
     alerts = S.stream_alerts(stored, time_col="indexed_at", lateness=lateness)
     q_alerts = S.start_parquet_sink(alerts, alerts_path, f"{checkpoint}/alerts", available_now=available_now)
-    return q_events, q_alerts
+    queries = [q_events, q_alerts]
+    if rejects_path:
+        rejects = parse_rejects(lines("tail-rejects")).select(F.col("line").alias("value"))
+        queries.append(rejects.writeStream.format("text").option("path", rejects_path).option("checkpointLocation", f"{checkpoint}/rejects").start())
+        if available_now:
+            S.finish(queries[-1])
+    if log and available_now:
+        q_alerts.awaitTermination()
+        for q in queries:
+            log.wait(q)
+        log.stop()
+    return tuple(queries)
+
+
+def compact(spark: SparkSession, events_path: str, archive_path: str, before: str) -> None:
+    """Copy the days before ``before`` of a live events table, which many
+    micro-batches wrote as many small files, into files of the advisory
+    partition size under ``archive_path``.
+
+    Days are replaced as a whole, so the job can be run again; a large day is
+    split over as many tasks as it has files' worth of rows.  Read the rest of
+    the live table with ``io.read_events(..., start=before)``.
+    """
+    prepare(spark)
+    days = io.read_events(spark, events_path, end=before).filter(F.col("indexed_at") < F.lit(before).cast("date"))
+    (days.withColumn("date", F.to_date("indexed_at")).hint("rebalance", "date")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("date").parquet(archive_path))
+
+
+#: The alert rules: checked at every suspicious event, or at every full flush
+#: of a batch of events, as the batching indexer does.
+RULES = {"event": A.alerts_event_time, "flush": A.alerts_flush_aligned}
 
 
 def batch_alerts(spark: SparkSession, events_path: str, alerts_path: str, clock: str = "timestamp",
-                 start: str | None = None, end: str | None = None) -> None:
+                 start: str | None = None, end: str | None = None, rule: str = "event") -> None:
     """Alerts of a stored events table, written to ``alerts_path`` (replaced).
 
     ``clock`` is the event column that the window and the cooldown run on:
     ``timestamp`` (log time), ``ingested_at`` or ``indexed_at``.  ``start`` and
-    ``end`` restrict ``indexed_at`` and prune the table's partitions.
+    ``end`` restrict ``indexed_at`` and prune the table's partitions.  ``rule``
+    is one of :data:`RULES`.
     """
     if clock not in CLOCKS:
         raise ValueError(f"clock must be one of {', '.join(CLOCKS)}")
+    if rule not in RULES:
+        raise ValueError(f"rule must be one of {', '.join(RULES)}")
     prepare(spark)
     events = io.read_events(spark, events_path, start, end)
-    io.write_alerts(A.alerts_event_time(events, time_col=clock), alerts_path, mode="overwrite")
+    io.write_alerts(RULES[rule](events, time_col=clock), alerts_path, mode="overwrite")
+
+
+def summary(spark: SparkSession, events_path: str, alerts_path: str, out_dir: str | None = None) -> dict[str, DataFrame]:
+    """The end-of-run report: ``run_summary`` (one row), ``top_status`` (10),
+    ``top_ips`` (50) and ``alert_breakdown`` (the 10 addresses with most
+    alerts); each written as CSV below ``out_dir`` if given."""
+    prepare(spark)
+    events, alerts = io.read_events(spark, events_path), io.read_alerts(spark, alerts_path)
+    out = {
+        "run_summary": R.run_summary(events, alerts),
+        "top_status": R.top_counts(events, "status", 10),
+        "top_ips": R.top_counts(events, "ip", 50),
+        "alert_breakdown": alerts.groupBy("ip").agg(F.count(F.lit(1)).alias("alert_count"), F.max("count").alias("max_errors"))
+        .orderBy(F.desc("alert_count"), "ip").limit(10),
+    }
+    for name, df in out.items() if out_dir else ():
+        io.export_csv(df, f"{out_dir}/{name}")
+    return out
+
+
+def metrics(spark: SparkSession, events_path: str, alerts_path: str, out_path: str, interval_sec: int = T.INTERVAL_SEC) -> None:
+    """The metrics series of a stored run (a row per interval), as CSV."""
+    prepare(spark)
+    io.export_csv(T.metrics_table(io.read_events(spark, events_path), io.read_alerts(spark, alerts_path), interval_sec), out_path)
 
 
 def preprocess(spark: SparkSession, logs_path: str, out_path: str, sample: int = 0, seed: str = P.SEED) -> dict:
@@ -120,9 +195,12 @@ def export(spark: SparkSession, events_path: str, alerts_path: str, out_dir: str
     io.export_csv(R.export_summary(events), f"{out_dir}/summary")
 
 
-def analyze_runs(spark: SparkSession, metrics_path: str, latency_path: str | None = None) -> dict[str, DataFrame]:
+def analyze_runs(spark: SparkSession, metrics_path: str, latency_path: str | None = None, records_path: str | None = None) -> dict[str, DataFrame]:
     """Run-comparison tables from a folder of per-run metric CSVs (run id in
-    the path) and, optionally, per-run latency JSON files."""
+    the path) and, optionally, per-run latency JSON files and run records:
+    reports and comparisons, the series behind the plots (``series_*``), and
+    with the optional inputs latency tiers, the peak summary and the success
+    counts."""
     samples = io.scan_metrics(spark, metrics_path).withColumn(
         "sample_id", F.unix_micros("timestamp")  # tie-break within a run: sample time
     )
@@ -134,8 +212,14 @@ def analyze_runs(spark: SparkSession, metrics_path: str, latency_path: str | Non
         "throughput_by_batch": steady.groupBy("batch").agg(F.avg("avg_throughput").alias("avg_throughput")),
         "throughput_by_rate": steady.groupBy("rate").agg(F.avg("avg_throughput").alias("avg_throughput")),
         "speedup_efficiency": U.speedup_efficiency(steady),
+        "series_throughput": samples.select("exp_id", "runtime_sec", "throughput_eps"),
+        "series_queues": U.unpivot_series(samples, ["ingestion_queue_size", "parsed_queue_size"], "queue"),
+        "series_resources": U.unpivot_series(samples, ["cpu_percent", "memory_mb"], "resource"),
     }
     if latency_path:
         lat = io.scan_latency_json(spark, latency_path)
         out["latency_tier"] = lat.withColumn("tier", U.latency_tier(F.col("p95")))
+        out["peak_summary"] = U.peak_summary(steady, samples, lat)
+    if records_path:
+        out["run_success_counts"] = U.success_counts(io.scan_run_records(spark, records_path))
     return out

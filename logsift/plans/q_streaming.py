@@ -4,8 +4,6 @@ end of the input (``availableNow``) and returns what its sink holds."""
 
 from __future__ import annotations
 
-import time
-
 from pyspark.sql import functions as F
 
 from logsift.plans.catalog import query
@@ -14,11 +12,14 @@ from logsift.session import prepare, scratch_path
 from logsift.sources import io
 from logsift.sources.fixtures import log_lines
 from logsift.streaming import stream as S
+from logsift.streaming.progress import ProgressLog, read_progress
 
 REPLAY_CHUNKS = 4
 EVENT_COLS = ["event_id", "ip", "timestamp", "method", "url", "status", "bytes", "referer", "user_agent",
               "browser", "os", "ip_class", "suspicious", "ingested_at"]
 
+_CHUNK = f"""coalesce(least(greatest(line_id // ((SELECT max(event_id) FROM events) // {REPLAY_CHUNKS} + 1), 0), {REPLAY_CHUNKS - 1}), 0)"""
+
 
 def files_per_chunk(spark) -> int:
     return spark.sparkContext.defaultParallelism
@@ -38,7 +39,6 @@ def replay_files(spark, sf, chunks: int = REPLAY_CHUNKS) -> str:
     chunk = F.coalesce(F.least(F.greatest(F.floor(F.col("line_id") / size), F.lit(0)), F.lit(chunks - 1)), F.lit(0))
     for k in range(chunks):
         lines.filter(chunk == k).repartition(k_files).write.parquet(f"{base}/{k:04d}")
-        time.sleep(1.1)  # distinct modification times: the source orders files by them
     return f"{base}/*"
 
 
@@ -61,7 +61,9 @@ def _parsed_stream(spark, sf):
 def stream_log_source(spark, sf):
     raw = scratch_path(spark, "raw-stream")
     io.write_lines(log_lines(prepare(spark), sf), raw)
-    q, out = run_to_end(S.stream_log_source(spark, raw, fmt="text", max_files_per_trigger=2), "source", spark)
+    source = S.stream_log_source(spark, raw, fmt="tail", max_files_per_trigger=2, state=scratch_path(spark, "source-state"), unfinished=True)
+    out = scratch_path(spark, "source-out")
+    S.finish(S.start_parquet_sink(source, out, scratch_path(spark, "source-ckpt"), available_now=False))
     return spark.read.parquet(out).select("line")
 
 
@@ -86,10 +88,20 @@ def stream_alerts(spark, sf):
     return spark.read.parquet(out)
 
 
-@query("stream_progress_metrics", "2.6")
+@query("stream_progress_metrics", "2.6", with_ctes(f"""
+SELECT l.batch_id, l.num_input_rows, coalesce(e.indexed_rows, 0) AS indexed_rows, true AS timed
+FROM (SELECT {_CHUNK} AS batch_id, count(*) AS num_input_rows FROM log_lines GROUP BY 1) l
+LEFT JOIN (SELECT {_CHUNK} AS batch_id, count(*) AS indexed_rows FROM (SELECT event_id AS line_id FROM log_events) GROUP BY 1) e USING (batch_id)
+""", "log_events"))
 def stream_progress_metrics(spark, sf):
-    q, _ = run_to_end(S.stream_index(_parsed_stream(spark, sf)), "progress", spark)
-    rows = S.progress_rows(q)
-    schema = ("batch_id long, num_input_rows long, input_rows_per_second double, "
-              "processed_rows_per_second double, trigger_ms long, state_rows long")
-    return spark.createDataFrame(rows, schema)
+    """The progress table of an indexing run; rows in and rows indexed of every
+    batch are held against the input."""
+    path = scratch_path(spark, "progress-table")
+    log = ProgressLog(spark, path)
+    indexed = S.stream_index(_parsed_stream(spark, sf)).observe("events", F.count(F.lit(1)).alias("indexed_rows"))
+    q, _ = run_to_end(indexed, "progress", spark)
+    log.wait(q)
+    log.stop()
+    return read_progress(spark, path).filter(F.col("query_id") == str(q.id)).select(
+        "batch_id", "num_input_rows", F.col("observed")["events"]["indexed_rows"].cast("bigint").alias("indexed_rows"),
+        (F.col("trigger_ms") > 0).alias("timed"))
