@@ -35,21 +35,14 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(want) if df.rdd.getNumPartitions() < want else df
 
 
-def side_by_side(*frames: DataFrame) -> DataFrame:
+def side_by_side(first: DataFrame, *others: DataFrame) -> DataFrame:
     """The columns of several one-row aggregates as one row.
 
-    Each frame is a global aggregate (exactly one row), computed by Spark and
-    collected as a scalar row; the result keeps every column's type.  This
-    avoids planning a join of single-row sides, which Spark can only do as a
-    nested-loop (cross) join.
+    Every other frame becomes one scalar subquery (a struct of its columns),
+    which Spark computes once and puts into the first frame's row: no join of
+    single-row sides, and nothing passes through the driver program.
     """
-    from pyspark.sql.types import StructType
-
-    fields, values = [], []
-    for f in frames:
-        rows = f.collect()
-        if len(rows) != 1:
-            raise ValueError("side_by_side expects one-row aggregates")
-        fields += f.schema.fields
-        values += list(rows[0])
-    return frames[0].sparkSession.createDataFrame([tuple(values)], StructType(fields))
+    out = first
+    for i, f in enumerate(others):
+        out = out.withColumn(f"_s{i}", f.select(F.struct(*f.columns).alias("s")).scalar())
+    return out.select(*first.columns, *[F.col(f"_s{i}")[c].alias(c) for i, f in enumerate(others) for c in f.columns])

@@ -3,18 +3,17 @@ normal ones exactly, shuffle, write.
 
 Randomness is a hash of (seed, key), so a run is reproducible and the same
 in any engine: "random sample of N" = the N smallest hashes, "shuffle" =
-order by hash.  Both are computed with a range-partitioned global rank, so
+order by hash.  Hashes are even, so ranges of them are known beforehand, and
 neither the sample nor the shuffled file passes through one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from logsift.functions.enrich import suspicious_line
-from logsift.functions.rows import keep_where
-from logsift.operators.sequence import number_rows, smallest_rows
+from logsift.operators.sequence import smallest_rows
 
 SEED = "42"
 
@@ -43,7 +42,7 @@ def line_class_stats(flagged: DataFrame) -> DataFrame:
     )
 
 
-TOPK_ROWS = 100_000  # up to this n, a top-k (per-partition heaps, one small merge) is cheapest
+_PREFIX_TOP = 1 << 60  # 15 hex digits
 
 
 def _hash_prefix(h: Column) -> Column:
@@ -51,28 +50,20 @@ def _hash_prefix(h: Column) -> Column:
     return F.conv(F.substring(h, 1, 15), 16, 10).cast("bigint")
 
 
-def sample_normal_keep_suspicious(
-    flagged: DataFrame, n: int, key: str = "line_id", seed: str = SEED, topk_rows: int = TOPK_ROWS,
-    accuracy: int = 10_000,
-) -> DataFrame:
+def sample_normal_keep_suspicious(flagged: DataFrame, n: int, key: str = "line_id", seed: str = SEED) -> DataFrame:
     """All suspicious lines plus exactly ``n`` normal lines drawn uniformly
     without replacement -- only when ``0 < n < #normal``; otherwise all.
 
-    The sample is the ``n`` smallest ``md5(seed || key)``.  Up to
-    ``topk_rows`` it is a top-k; above, an exact bracketed selection
-    (:func:`logsift.operators.sequence.smallest_rows`) so that a large
-    sample never passes through one task and the normals are never sorted
-    as a whole."""
-    normal = keep_where(flagged, ~F.col("suspicious"))
-    susp = keep_where(flagged, F.col("suspicious"))
+    The sample is the ``n`` smallest ``md5(seed || key)``, selected by hash
+    ranges (:func:`logsift.operators.sequence.smallest_rows`): one pass over
+    the lines' hashes and one that writes the kept lines, at any ``n``; the
+    lines are neither sorted nor gathered.  ``key`` must be unique.
+    """
     if n <= 0:
-        return susp.unionByName(normal)
-    hashed = normal.withColumn("_h", rand_key(key, seed))
-    if n <= topk_rows:
-        picked = hashed.orderBy("_h", key).limit(n)
-    else:
-        picked = smallest_rows(hashed, _hash_prefix(F.col("_h")), ["_h", key], n, accuracy)
-    return susp.unionByName(picked.drop("_h"))
+        return flagged
+    hashed = flagged.withColumn("_h", rand_key(key, seed))
+    picked = smallest_rows(hashed, _hash_prefix(F.col("_h")), _PREFIX_TOP, ["_h", key], n, also=F.col("suspicious"))
+    return picked.drop("_h")
 
 
 def random_order(lines: DataFrame, key: str = "line_id", seed: str = SEED) -> DataFrame:
@@ -82,7 +73,25 @@ def random_order(lines: DataFrame, key: str = "line_id", seed: str = SEED) -> Da
     return lines.orderBy(rand_key(key, f"{seed}-order"), key)
 
 
-def shuffle_lines(lines: DataFrame, key: str = "line_id", seed: str = SEED) -> DataFrame:
-    """Lines in a reproducible random order, with their 1-based ``position``."""
-    ranked = number_rows(lines.withColumn("_h", rand_key(key, seed)), order=["_h", key], name="position")
-    return ranked.drop("_h")
+def shuffle_lines(lines: DataFrame, key: str = "line_id", seed: str = SEED, buckets: int | None = None) -> DataFrame:
+    """Lines in a reproducible random order, with their 1-based ``position``.
+
+    The hashes are even, so ranges of them (buckets) are known beforehand: one
+    pass counts each bucket's lines, which gives every bucket its first
+    position; the lines are dealt by bucket, once, and numbered inside.
+    ``lines`` must give the same rows each time it is read.
+    """
+    spark = lines.sparkSession
+    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    h = rand_key(key, seed)
+    bucket = F.floor(_hash_prefix(h) / F.lit(-(-_PREFIX_TOP // buckets))).cast("int")
+    counts = lines.groupBy(bucket.alias("_b")).agg(F.count(F.lit(1)).alias("n")).orderBy("_b").collect()  # <= buckets rows
+    starts, at = [], 0
+    for r in counts:
+        starts.append((r["_b"], at))
+        at += r["n"]
+    first = spark.createDataFrame(starts or [(0, 0)], "_at int, _first bigint")
+    w = Window.partitionBy("_b").orderBy("_h", key)
+    dealt = lines.withColumns({"_h": h, "_b": bucket}).repartitionByRange(buckets, "_b").withColumn("_rn", F.row_number().over(w))
+    placed = dealt.join(F.broadcast(first), F.col("_b") == F.col("_at"))  # one row per bucket
+    return placed.withColumn("position", F.col("_first") + F.col("_rn")).drop("_h", "_b", "_rn", "_at", "_first")

@@ -152,17 +152,60 @@ def latency_stats(events: DataFrame) -> DataFrame:
     return one.select("count", *[_r(F.col(c)).alias(c) for c in ["mean", "median", "std", "min", "max", *PERCENTILES]])
 
 
-def latency_stats_approx(events: DataFrame, accuracy: int = 10000) -> DataFrame:
-    """Same statistics with ``percentile_approx`` (one pass, bounded memory)."""
-    lat = known_latency(events)
-    probs = [0.5, *PERCENTILES.values()]
-    q = F.percentile_approx("latency_ms", probs, accuracy)
-    agg = lat.agg(
-        F.count(F.lit(1)).alias("count"), F.avg("latency_ms").alias("mean"), F.stddev_pop("latency_ms").alias("std"),
-        F.min("latency_ms").alias("min"), F.max("latency_ms").alias("max"), q.alias("_q"),
-    )
-    names = ["median", *PERCENTILES]
-    return agg.select("count", "mean", "std", "min", "max", *[F.col("_q")[i].alias(n) for i, n in enumerate(names)])
+#: Size of the quantile sketches (the k of the KLL sketch).
+SKETCH_K = 800
+
+
+def rank_error(k: int = SKETCH_K) -> float:
+    """Rank error of a KLL sketch of size ``k``, as a share of the rows, that a
+    quantile exceeds with probability of about one in a hundred: the normalised
+    error that the sketch's authors give, 2.296 / k ** 0.9021; doubled here."""
+    return 2 * 2.296 / k**0.9021
+
+
+def latency_sketches(events: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """One row per day of ``indexed_at``: counts, sums and a mergeable quantile
+    sketch of the latency, to be stored beside the events.  A report over any
+    days merges their rows and reads no event."""
+    x = F.col("latency_ms")
+    return known_latency(events).groupBy(F.to_date("indexed_at").alias("date")).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(x).alias("sum"), F.sum(x * x).alias("squares"), F.min(x).alias("min"), F.max(x).alias("max"),
+        F.kll_sketch_agg_double(x, k).alias("sketch"))
+
+
+def sketch_stats(sketches: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """The latency statistics of the merged daily rows: count, mean, std, min
+    and max exact, the quantiles within :func:`rank_error` of their ranks."""
+    n = F.sum("n")
+    one = sketches.agg(n.alias("count"), (F.sum("sum") / n).alias("mean"),
+                       F.sqrt(F.greatest(F.sum("squares") / n - F.pow(F.sum("sum") / n, 2), F.lit(0.0))).alias("std"),
+                       F.min("min").alias("min"), F.max("max").alias("max"), F.kll_merge_agg_double("sketch", k).alias("_sketch"))
+    quantile = lambda p: F.when(F.col("count") > 0, F.kll_sketch_get_quantile_double("_sketch", F.lit(p)))
+    return one.select(F.coalesce("count", F.lit(0)).alias("count"), "mean", quantile(0.5).alias("median"), "std", "min", "max",
+                      *[quantile(p).alias(c) for c, p in PERCENTILES.items()])
+
+
+def latency_stats_approx(events: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """The statistics of :func:`latency_stats` by daily sketches: one pass,
+    partial sketches of bounded size in every task, no sort."""
+    return sketch_stats(latency_sketches(events, k), k)
+
+
+def check_approx(events: DataFrame, stats: DataFrame, k: int = SKETCH_K) -> DataFrame:
+    """Per quantile of ``stats``: whether its rank among the events' latencies
+    is within :func:`rank_error` of the asked one (counted exactly)."""
+    probs = {"median": 0.5, **PERCENTILES}
+    one = _checkpoint(stats)
+    x = F.col("latency_ms")
+    value = {c: one.select(c).scalar() for c in probs}
+    ranks = known_latency(events).agg(*[F.count_if(x < v).alias(f"b_{c}") for c, v in value.items()], *[F.count_if(x <= v).alias(f"u_{c}") for c, v in value.items()])
+    rows = F.array(*[F.struct(F.lit(c).alias("name"), F.lit(float(p)).alias("p"), F.col(f"b_{c}").alias("below"), F.col(f"u_{c}").alias("upto")) for c, p in probs.items()])
+    e = rank_error(k)
+    return side_by_side(ranks, one.select("count", *[_r(F.col(c)).alias(c) for c in ("mean", "min", "max")])).select(
+        "count", "mean", "min", "max", F.explode(rows).alias("q")).select(
+        "q.name", "q.p", "count",
+        ((F.col("q.below") <= F.ceil((F.col("q.p") + e) * F.col("count"))) & (F.col("q.upto") >= F.floor((F.col("q.p") - e) * F.col("count")))).alias("within_bound"),
+        "mean", "min", "max")
 
 
 def latency_avg_min_max(events: DataFrame) -> DataFrame:
@@ -174,6 +217,12 @@ def latency_avg_min_max(events: DataFrame) -> DataFrame:
     )
 
 
+def report_columns(events: DataFrame) -> DataFrame:
+    """The columns that alerts and summaries read, materialised: the events (a
+    parse, perhaps) are evaluated once however many reports follow."""
+    return _checkpoint(events.select("event_id", "ip", "suspicious", "ingested_at", "indexed_at"))
+
+
 def run_summary(events: DataFrame, alerts: DataFrame) -> DataFrame:
     """Totals, suspicious share, alerts, runtime (first arrival to last index)
     and throughput.  Empty input gives NULL ratios instead of an error."""

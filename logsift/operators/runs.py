@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logsift.functions.rows import side_by_side
 from logsift.operators.sequence import number_rows
 
 # --- fixed values ------------------------------------------------------------
@@ -154,3 +155,19 @@ def unpivot_series(samples: DataFrame, columns: list[str], name: str, run: str =
     return samples.select(run, "runtime_sec", *[F.col(c).cast("double").alias(c) for c in columns]).unpivot(
         [run, "runtime_sec"], columns, name, "value"
     )
+
+
+def success_counts(runs: DataFrame) -> DataFrame:
+    """How many runs there were, succeeded and failed."""
+    return runs.agg(F.count(F.lit(1)).alias("total_runs"), F.count_if("success").alias("successful"), F.count_if(~F.col("success")).alias("failed"))
+
+
+def peak_summary(steady: DataFrame, samples: DataFrame, latency: DataFrame) -> DataFrame:
+    """One row over all runs: their number, the peak throughput and its run,
+    and the means of CPU, memory and latency."""
+    r = lambda c: F.round(c, 6)
+    best = steady.agg(F.count(F.lit(1)).alias("experiment_count"), r(F.max("avg_throughput")).alias("peak_throughput"),
+                      F.min_by("exp_id", F.struct(-F.col("avg_throughput"), F.col("exp_id"))).alias("best_config"))
+    load = samples.agg(r(F.avg("cpu_percent")).alias("avg_cpu"), r(F.avg("memory_mb")).alias("avg_memory_mb"))
+    late = latency.agg(r(F.avg("mean")).alias("avg_latency_ms"), r(F.avg("p95")).alias("p95_latency_ms"))
+    return side_by_side(best, load, late)

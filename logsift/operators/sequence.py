@@ -5,9 +5,10 @@ A window with no ``PARTITION BY`` (or with a partition key that has only a
 few values, e.g. one run) puts all of its rows in one task.  Instead:
 
 1. ``repartitionByRange`` on (group, order) spreads the rows over many
-   balanced partitions, each holding a contiguous slice of the order;
-2. a window over (partition id, group) numbers and sums rows locally; the
-   result is checkpointed so every later use sees the same partitioning;
+   balanced partitions, each holding a contiguous slice of the order, sorted;
+2. each task numbers and sums its rows in that order as Arrow batches pass by
+   (a window would shuffle them again); the result is checkpointed so every
+   later use sees the same partitioning;
 3. per-(partition, group) totals -- at most partitions + groups rows -- are
    turned into offsets with a tiny window and joined back (AQE broadcasts
    them at run time because they are small).
@@ -18,10 +19,17 @@ deterministic.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructType
+
+from logsift.functions.rows import keep_where
 
 
 #: Offset rows that may be broadcast (about 10 MB).
@@ -42,6 +50,47 @@ def _partitions(df: DataFrame, partitions: int | None) -> int:
     return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
 
 
+def _starts(batch: pa.RecordBatch, group: list[str], last: tuple | None) -> np.ndarray:
+    """Whether each row of a sorted batch begins a group."""
+    new = np.zeros(batch.num_rows, bool)
+    new[0] = last is None or last != tuple(batch.column(g)[0].as_py() for g in group)
+    for g in group:
+        codes = batch.column(g).dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+        new[1:] |= codes[1:] != codes[:-1]
+    return new
+
+
+def _numbered(rows: DataFrame, group: list[str], values: list[str]) -> DataFrame:
+    """Adds ``_pid``, ``_lrn`` and turns each of ``values`` (long) into its
+    running sum, per partition and group, for partitions sorted by group."""
+    fields = [f for f in rows.schema.fields if f.name not in values]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pid, last, count, sums = TaskContext.get().partitionId(), None, 0, dict.fromkeys(values, 0)
+        for batch in batches:
+            n = batch.num_rows
+            if not n:
+                continue
+            new = _starts(batch, group, last)
+            head = np.maximum.accumulate(np.where(new, np.arange(n), -1))  # -1: the group of the batch before
+            number = np.arange(n) - np.maximum(head, 0) + 1 + np.where(head < 0, count, 0)
+            out = [batch.column(f.name) for f in fields] + [pa.array(np.full(n, pid, np.int32)), pa.array(number)]
+            for v in values:
+                x = pc.fill_null(batch.column(v), 0).to_numpy(zero_copy_only=False)
+                total = np.cumsum(x)
+                before = total - x
+                run_sum = total - np.where(head < 0, -sums[v], before[np.maximum(head, 0)])
+                out.append(pa.array(run_sum))
+                sums[v] = int(run_sum[-1])
+            count, last = int(number[-1]), tuple(batch.column(g)[n - 1].as_py() for g in group)
+            yield pa.RecordBatch.from_arrays(out, names=[f.name for f in fields] + ["_pid", "_lrn", *values])
+
+    schema = StructType(list(fields)).add("_pid", IntegerType()).add("_lrn", LongType())
+    for v in values:
+        schema = schema.add(v, LongType())
+    return rows.mapInArrow(run, schema)
+
+
 def number_rows(
     df: DataFrame,
     order: Sequence[str],
@@ -51,19 +100,16 @@ def number_rows(
     partitions: int | None = None,
 ) -> DataFrame:
     """Add ``name`` (1-based row number within ``group`` by ``order``) and,
-    for each ``sums`` entry, a running sum (inclusive of the current row)."""
+    for each ``sums`` entry, a running sum of longs (inclusive of the current
+    row; a null adds nothing)."""
     sums = sums or {}
     group = list(group)
     order = list(order)
     n = _partitions(df, partitions)
-    ranged = df.repartitionByRange(n, *[F.col(c) for c in group + order]).withColumn(
-        "_pid", F.spark_partition_id()
-    )
-    w = Window.partitionBy("_pid", *group).orderBy(*order)
-    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumn("_lrn", F.row_number().over(w))
-    for key, value in sums.items():
-        local = local.withColumn(f"_ls_{key}", F.sum(value).over(upto))
+    keys = [F.col(c) for c in group + order]
+    ranged = (df.withColumns({f"_ls_{k}": v.cast("bigint") for k, v in sums.items()} | {f"_v_{k}": v.cast("bigint") for k, v in sums.items()})
+              .repartitionByRange(n, *keys).sortWithinPartitions(*keys))
+    local = _numbered(ranged, group, [f"_ls_{k}" for k in sums])
     # The partition id must be the same for the totals and for the rows they
     # are joined back to; two independent range exchanges may sample
     # different bounds, so materialise once (reliable checkpoint, also the
@@ -71,7 +117,7 @@ def number_rows(
     local = _checkpoint(local)
 
     totals = local.groupBy("_pid", *group).agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(v).alias(f"_t_{k}") for k, v in sums.items()]
+        F.count(F.lit(1)).alias("_n"), *[F.sum(f"_v_{k}").alias(f"_t_{k}") for k in sums]
     )
     before = Window.partitionBy(*group).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
@@ -88,47 +134,41 @@ def number_rows(
         same &= F.col(c).eqNullSafe(F.col(f"_g{i}"))  # a null group is a group
     out = local.join(F.broadcast(offsets) if small else offsets, same)
     out = out.select(*group, *[c for c in local.columns if c not in group], "_off", *[f"_o_{k}" for k in sums]).withColumn(name, F.col("_off") + F.col("_lrn"))
-    for key in sums:
-        out = out.withColumn(key, F.col(f"_o_{key}") + F.col(f"_ls_{key}"))
-    drop = ["_pid", "_lrn", "_off"] + [f"_ls_{k}" for k in sums] + [f"_o_{k}" for k in sums]
+    out = out.withColumns({k: F.col(f"_o_{k}") + F.col(f"_ls_{k}") for k in sums})
+    drop = ["_pid", "_lrn", "_off"] + [f"_{x}_{k}" for k in sums for x in ("ls", "o", "v")]
     return out.drop(*drop)
 
 
-def smallest_rows(
-    df: DataFrame,
-    num: Column,
-    order: Sequence[str],
-    n: int,
-    accuracy: int = 10_000,
-) -> DataFrame:
-    """The first ``n`` rows of ``df`` in ``order`` (unique), exactly, without
-    sorting all of ``df`` and without a single-task merge.
-
-    ``num`` is a numeric column that never decreases along ``order`` (e.g. a
-    hash prefix).  ``percentile_approx`` brackets the ``n``-th value; a count
-    proves the bracket holds it; the result is every row strictly below the
-    bracket plus the ranked head of the bracket rows (about 6 / accuracy of
-    the input).  A failed check falls back to ranking everything.
+#: Buckets of :func:`smallest_rows`.
+HASH_BUCKETS = 1 << 16
+
+
+def smallest_rows(rows: DataFrame, num: Column, top: int, order: Sequence[str], n: int, also: Column | None = None) -> DataFrame:
+    """The first ``n`` rows of ``rows`` in ``order`` (unique), exactly, without
+    sorting all of them; and all rows that satisfy ``also``, which are not
+    counted.
+
+    ``num`` is an evenly spread number in ``[0, top)`` that never decreases
+    along ``order`` (e.g. a hash prefix).  One pass counts the rows of each of
+    ``HASH_BUCKETS`` ranges of it; the bucket that holds the ``n``-th row is
+    ranked by range partitioning and gives the last row's place; one more pass
+    keeps what lies up to there.  The same way at every size.
     """
-    x = df.withColumn("_x", num)
-    total = x.count()
-    if n >= total:
-        return df
+    x = rows.withColumns({"_x": num, "_also": F.coalesce(also, F.lit(False)) if also is not None else F.lit(False)})
+    bucket = F.floor(F.col("_x") / F.lit(-(-top // HASH_BUCKETS))).cast("int")
+    keys = _checkpoint(keep_where(x.withColumn("_bucket", bucket), ~F.col("_also")).select("_bucket", *order))  # narrow
+    counts = keys.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n")).orderBy("_bucket").collect()  # <= HASH_BUCKETS rows
+    left, last = n, None
+    for r in counts:
+        last = r["_bucket"]
+        if left <= r["n"]:
+            break
+        left -= r["n"]
+    else:
+        return rows  # all of them
     if n <= 0:
-        return df.limit(0)
-    eps = 3.0 / accuracy
-    p = n / total
-    lo, hi = x.agg(F.percentile_approx("_x", [max(0.0, p - eps), min(1.0, p + eps)], accuracy)).collect()[0][0]
-    c = x.agg(
-        F.count_if(F.col("_x") < F.lit(lo)).alias("below"),
-        F.count_if(F.col("_x").between(F.lit(lo), F.lit(hi))).alias("inside"),
-    ).collect()[0]
-    if not c["below"] <= n <= c["below"] + c["inside"]:
-        return number_rows(df, order=order, name="_rn").filter(F.col("_rn") <= n).drop("_rn")
-    below = x.filter(F.col("_x") < F.lit(lo)).drop("_x")
-    head = (
-        number_rows(x.filter(F.col("_x").between(F.lit(lo), F.lit(hi))), order=order, name="_rn")
-        .filter(F.col("_rn") <= n - c["below"])
-        .drop("_rn", "_x")
-    )
-    return below.unionByName(head)
+        return keep_where(x, F.col("_also")).drop("_x", "_also")
+    ranked = number_rows(keys.filter(F.col("_bucket") == last).select(*order), order=order, name="_rn")
+    edge = ranked.filter(F.col("_rn") == left).first()
+    upto = F.struct(*[F.col(c) for c in order]) <= F.struct(*[F.lit(edge[c]).cast(keys.schema[c].dataType).alias(c) for c in order])
+    return keep_where(x, F.col("_also") | (bucket < last) | ((bucket == last) & upto)).drop("_x", "_also")

@@ -1,17 +1,13 @@
 """Independent SQL (DuckDB dialect) for the correctness oracle.
 
 Named CTEs mirror the Spark derivations step by step.  ``with_ctes(body,
-names)`` prepends the CTEs a query needs, in dependency order.  The SQL is
-written from the rules, not generated from the Spark plan, so a mistake on
-one side shows up as a mismatch.
+names)`` prepends the CTEs a query needs, in dependency order.  The SQL has its
+own text of every rule; only the values that make up the input lines are
+shared, so a mistake on one side shows up as a mismatch.
 """
 
 from __future__ import annotations
 
-from logsift.functions.enrich import (
-    BROWSER_RULES, LINE_ATTACK_PATTERNS, LINE_STATUS_PATTERN, OS_RULES, URL_ATTACK_PATTERNS,
-)
-from logsift.functions.parse import ACCESS_PATTERN, CLIENT_IP_PATTERN, ERROR_PATTERN
 from logsift.sources.fixtures import (
     MSG_INJECTION, MSG_NORMAL, URL_COMMAND, URL_SCRIPT, URL_TRAVERSAL, USER_AGENTS,
 )
@@ -21,18 +17,26 @@ def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
-def _contains_any(col: str, needles: list[str]) -> str:
-    return "(" + " OR ".join(f"contains({col}, {_q(n)})" for n in needles) + ")"
-
-
-def _first_hit(col: str, rules) -> str:
-    low = f"lower({col})"
-    parts = [f"WHEN {_contains_any(low, needles)} THEN {_q(label)}" for label, needles in rules]
-    return "CASE " + " ".join(parts) + " ELSE 'Other' END"
-
-
-ERR = _q(ERROR_PATTERN)
-ACC = _q(ACCESS_PATTERN)
+# --- fixed values: the rules once more, as SQL text of their own -------------
+ERR = r"""'^\[([\w\s:/\+\-]+)\] \[(\w+)\](?:\s\[([^\]]+)\])?\s(.+)$'"""
+ACC = r"""'^(\S+) \S+ \S+ \[([\w:/]+\s[+\-]\d{4})\] "(\S+) (\S+) \S+" (\d{3}) (\S+)(?: "([^"]*)" "([^"]*)")?'"""
+CLIENT = r"'client\s([\d\.]+)'"
+BROWSER = """CASE WHEN contains(lower(user_agent), 'firefox') THEN 'Firefox' WHEN contains(lower(user_agent), 'chrome') THEN 'Chrome'
+  WHEN contains(lower(user_agent), 'safari') THEN 'Safari'
+  WHEN contains(lower(user_agent), 'msie') OR contains(lower(user_agent), 'trident') THEN 'Internet Explorer' ELSE 'Other' END"""
+OS = """CASE WHEN contains(lower(user_agent), 'windows') THEN 'Windows'
+  WHEN contains(lower(user_agent), 'mac') OR contains(lower(user_agent), 'darwin') THEN 'macOS'
+  WHEN contains(lower(user_agent), 'linux') THEN 'Linux' WHEN contains(lower(user_agent), 'android') THEN 'Android'
+  WHEN contains(lower(user_agent), 'ios') OR contains(lower(user_agent), 'iphone') OR contains(lower(user_agent), 'ipad') THEN 'iOS'
+  ELSE 'Other' END"""
+ATTACK_URL = """(contains(lower(url), '../') OR contains(lower(url), 'script>') OR contains(lower(url), 'union select')
+  OR contains(lower(url), '/etc/passwd') OR contains(lower(url), 'cmd='))"""
+ATTACK_LINE = r"""(regexp_matches(line, '" [4-5]\d{2} ') OR contains(lower(line), '../') OR contains(lower(line), 'union select')
+  OR contains(lower(line), '/etc/passwd') OR contains(lower(line), 'cmd=') OR contains(lower(line), '<script')
+  OR contains(lower(line), 'exec(') OR contains(lower(line), 'eval(') OR contains(lower(line), 'phpinfo')
+  OR contains(lower(line), 'shell') OR contains(lower(line), 'wget') OR contains(lower(line), 'curl')
+  OR contains(lower(line), '../../') OR contains(lower(line), 'base64'))"""
+# ---------------------------------------------------------------------------
 _UA = ", ".join(_q(u) for u in USER_AGENTS)
 _WEEKDAY = _q(r"(?i)^(mon|tue|wed|thu|fri|sat|sun)\s+")
 _STRIP = "' ' || chr(9) || chr(10) || chr(13) || chr(11) || chr(12)"
@@ -101,7 +105,7 @@ FROM kinds
 
 cte("parsed_all", ["groups"], f"""
 SELECT line_id, line, ingested_at, indexed_at, kind,
-  CASE kind WHEN 'E' THEN regexp_extract(e3, {_q(CLIENT_IP_PATTERN)}, 1) WHEN 'A' THEN a1 END AS ip,
+  CASE kind WHEN 'E' THEN regexp_extract(e3, {CLIENT}, 1) WHEN 'A' THEN a1 END AS ip,
   CASE kind
     WHEN 'E' THEN coalesce(CASE WHEN regexp_matches(e1, {_WEEKDAY}) THEN
          try_strptime(regexp_replace(regexp_replace(e1, {_WEEKDAY}, ''), '\\s+', ' ', 'g'), '%b %d %H:%M:%S %Y') END,
@@ -119,18 +123,18 @@ FROM groups
 
 cte("log_events", ["parsed_all"], f"""
 SELECT line_id AS event_id, ip, timestamp, method, url, status, bytes, referer, user_agent,
-  {_first_hit('user_agent', BROWSER_RULES)} AS browser,
-  {_first_hit('user_agent', OS_RULES)} AS os,
+  {BROWSER} AS browser,
+  {OS} AS os,
   CASE WHEN starts_with(ip, '10.') OR starts_with(ip, '192.168.') OR starts_with(ip, '172.') THEN 'private'
        WHEN starts_with(ip, '127.') THEN 'localhost' ELSE 'public' END AS ip_class,
-  (status >= 400 OR {_contains_any('lower(url)', URL_ATTACK_PATTERNS)}) AS suspicious,
+  (status >= 400 OR {ATTACK_URL}) AS suspicious,
   ingested_at, indexed_at
 FROM parsed_all WHERE kind <> 'X'
 """)
 
 cte("line_flags", ["clean_lines"], f"""
 SELECT line_id, line, ingested_at,
-  (regexp_matches(line, {_q(LINE_STATUS_PATTERN)}) OR {_contains_any('lower(line)', LINE_ATTACK_PATTERNS)}) AS suspicious
+  {ATTACK_LINE} AS suspicious
 FROM clean_lines
 """)
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from logsift.operators import alerts as A
+from logsift.operators import reports as R
 from logsift.plans.catalog import query
 from logsift.plans.oracle import with_ctes
 from logsift.plans.q_parse import events
@@ -19,6 +20,13 @@ def event_alerts(spark, sf):
     return A.alerts_event_time(events(spark, sf), time_col=CLOCK)
 
 
+def events_and_alerts(spark, sf):
+    """The narrow events that the reports read, materialised (one parse), and
+    their alerts."""
+    ev = R.report_columns(events(spark, sf))
+    return ev, A.alerts_event_time(ev, time_col=CLOCK)
+
+
 def _counts(spark, sf):
     return A.sliding_count(events(spark, sf), time_col=CLOCK).select(
         "event_id", "ip", F.timestamp_micros("t_us").alias("t"), "count"

@@ -12,7 +12,7 @@ from logsift.operators import reports as R
 from logsift.operators import timeseries as T
 from logsift.plans.catalog import query
 from logsift.plans.oracle import with_ctes
-from logsift.plans.q_alerts import event_alerts
+from logsift.plans.q_alerts import event_alerts, events_and_alerts
 from logsift.plans.q_parse import events
 from logsift.plans.q_reports import SAMPLE_NORMAL, _MD5, flagged_lines
 from logsift.plans.q_runs import lat_by_run
@@ -120,27 +120,13 @@ def sink_latency_json(spark, sf):
     return spark.read.schema(LATENCY).json(path)
 
 
-def metrics_table(ev, alerts):
-    """The 9-column metrics rows a live run writes, rebuilt from the tables:
-    host CPU/memory are not in the tables and stay NULL."""
-    m = T.metrics_timeseries(ev).select("k", "timestamp", "runtime_sec", "events_processed", "throughput_eps")
-    b = T.backlog_timeseries(ev).select("k", F.col("queue_size").alias("ingestion_queue_size"))
-    a = T.alerts_cumulative(ev, alerts).select("k", "alerts_count")
-    j = m.join(b, "k").join(a, "k")
-    return j.select(
-        "timestamp", "runtime_sec", "events_processed", "ingestion_queue_size",
-        F.lit(None).cast("bigint").alias("parsed_queue_size"), F.lit(None).cast("double").alias("cpu_percent"),
-        F.lit(None).cast("double").alias("memory_mb"), "throughput_eps", "alerts_count",
-    )
-
-
 @query("metrics_sink", "2.1", with_ctes(
     """SELECT e.timestamp, e.runtime_sec, e.events_processed, b.queue_size AS ingestion_queue_size,
       CAST(NULL AS BIGINT) AS parsed_queue_size, CAST(NULL AS DOUBLE) AS cpu_percent, CAST(NULL AS DOUBLE) AS memory_mb,
       round(e.events_processed / e.runtime_sec, 6) AS throughput_eps, a.alerts_count
     FROM ts_events e JOIN ts_backlog b USING (k) JOIN ts_alerts a USING (k)""", "ts_events", "ts_backlog", "ts_alerts"))
 def metrics_sink(spark, sf):
-    ev = events(spark, sf)
+    ev, alerts = events_and_alerts(spark, sf)
     path = scratch_path(spark, "metrics-csv")
-    io.export_csv(metrics_table(ev, event_alerts(spark, sf)), path)
+    io.export_csv(T.metrics_table(ev, alerts), path)
     return io.read_csv(spark, path, METRICS)

@@ -13,7 +13,7 @@ from logsift.functions import enrich as E
 from logsift.functions.parse import KIND_ACCESS, KIND_ERROR, KIND_REJECT
 from logsift.functions.rows import keep_where
 from logsift.plans.catalog import query
-from logsift.plans.oracle import with_ctes
+from logsift.plans.oracle import ATTACK_URL, with_ctes
 from logsift.session import prepare
 from logsift.sources.fixtures import log_lines
 from logsift.sources.logs import clean_lines, index_events, parse_all, parse_events
@@ -91,11 +91,14 @@ def level_to_status(spark, sf):
     )
 
 
-@query("truncate_message", "2.2",
-       with_ctes("SELECT line_id, url AS message, length(url) AS message_chars FROM parsed_all WHERE kind = 'E'",
-                 "parsed_all"))
+@query("truncate_message", "2.2", with_ctes(
+    """SELECT line_id, substring(whole, 1, 100) AS message, length(substring(whole, 1, 100)) AS message_chars
+    FROM (SELECT line_id, e4 || ' ' || line || line AS whole FROM groups WHERE kind = 'E')""", "groups"))
 def truncate_message(spark, sf):
-    return keep_where(parsed(spark, sf), F.col("kind") == KIND_ERROR).select(
+    """Every message is lengthened by its line, twice, so most are cut."""
+    lines = clean_lines(log_lines(prepare(spark), sf))
+    long = parse_all(lines.withColumn("line", F.concat("line", F.lit(" "), "line", "line")))
+    return keep_where(long, F.col("kind") == KIND_ERROR).select(
         "line_id", F.col("url").alias("message"), F.length("url").alias("message_chars")
     )
 
@@ -123,12 +126,7 @@ def flag_suspicious(spark, sf):
     return events(spark, sf).select("event_id", "status", "url", "suspicious")
 
 
-def _attack_sql() -> str:
-    pats = " OR ".join(f"contains(lower(url), '{p}')" for p in E.URL_ATTACK_PATTERNS)
-    return with_ctes(f"SELECT event_id, url, ({pats}) AS attack FROM log_events", "log_events")
-
-
-@query("flag_attack_url", "2.3", _attack_sql())
+@query("flag_attack_url", "2.3", with_ctes(f"SELECT event_id, url, {ATTACK_URL} AS attack FROM log_events", "log_events"))
 def flag_attack_url(spark, sf):
     return events(spark, sf).select("event_id", "url", E.attack_url(F.col("url")).alias("attack"))
 

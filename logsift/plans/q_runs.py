@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from logsift.operators import reports as R
 from logsift.operators import runs as U
-from logsift.functions.rows import side_by_side
 from logsift.plans.catalog import query
 from logsift.plans.oracle import cte, with_ctes
 from logsift.sources.fixtures import metric_samples, run_latency, run_records
@@ -89,10 +88,7 @@ def throughput_by_rate(spark, sf):
     "SELECT count(*) AS total_runs, count(*) FILTER (WHERE success) AS successful, "
     "count(*) FILTER (WHERE NOT success) AS failed FROM runs", "runs"))
 def run_success_counts(spark, sf):
-    return run_records(spark, sf).agg(
-        F.count(F.lit(1)).alias("total_runs"), F.count_if("success").alias("successful"),
-        F.count_if(~F.col("success")).alias("failed"),
-    )
+    return U.success_counts(run_records(spark, sf))
 
 
 @query("latency_by_run", "2.7", with_ctes("SELECT * FROM lat_by_run", "lat_by_run"))
@@ -102,9 +98,13 @@ def latency_by_run(spark, sf):
 
 @query("latency_tier", "2.7", with_ctes(
     "SELECT exp_id, p95, CASE WHEN p95 < 50 THEN 'Excellent' WHEN p95 < 100 THEN 'Good' "
-    "WHEN p95 > 200 THEN 'Investigate' ELSE 'Fair' END AS tier FROM lat_by_run", "lat_by_run"))
+    "WHEN p95 > 200 THEN 'Investigate' ELSE 'Fair' END AS tier "
+    "FROM (SELECT exp_id, round(p95 * factor, 4) AS p95 FROM lat_by_run, (VALUES (0.5::DOUBLE), (1.0), (2.0), (4.0)) f(factor))", "lat_by_run"))
 def latency_tier(spark, sf):
-    return lat_by_run(spark, sf).select("exp_id", "p95", U.latency_tier(F.col("p95")).alias("tier"))
+    """Also for runs half, twice and four times as slow, so all tiers occur."""
+    slower = F.explode(F.array(*[F.lit(x) for x in (0.5, 1.0, 2.0, 4.0)]))
+    runs = lat_by_run(spark, sf).select("exp_id", "p95", slower.alias("factor")).select("exp_id", F.round(F.col("p95") * F.col("factor"), 4).alias("p95"))
+    return runs.withColumn("tier", U.latency_tier(F.col("p95")))
 
 
 @query("speedup_efficiency", "2.7", with_ctes(
@@ -127,14 +127,7 @@ def speedup_efficiency(spark, sf):
       (SELECT round(avg(mean), 6) FROM lat_by_run) AS avg_latency_ms,
       (SELECT round(avg(p95), 6) FROM lat_by_run) AS p95_latency_ms""", "steady", "samples", "lat_by_run"))
 def peak_summary(spark, sf):
-    st = steady(spark, sf)
-    a = st.agg(F.count(F.lit(1)).alias("experiment_count"), _r(F.max("avg_throughput")).alias("peak_throughput"),
-               F.min_by("exp_id", F.struct(-F.col("avg_throughput"), F.col("exp_id"))).alias("best_config"))
-    b = metric_samples(spark, sf).agg(_r(F.avg("cpu_percent")).alias("avg_cpu"),
-                                      _r(F.avg("memory_mb")).alias("avg_memory_mb"))
-    c = lat_by_run(spark, sf).agg(_r(F.avg("mean")).alias("avg_latency_ms"),
-                                  _r(F.avg("p95")).alias("p95_latency_ms"))
-    return side_by_side(a, b, c)
+    return U.peak_summary(steady(spark, sf), metric_samples(spark, sf), lat_by_run(spark, sf))
 
 
 @query("series_throughput", "2.7", with_ctes("SELECT exp_id, runtime_sec, throughput_eps FROM samples", "samples"))
