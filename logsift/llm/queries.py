@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from logsift.llm import (bpe, decontaminate, jaccard_join, langid, licences, packing, quality_model, quality_rules, spelling, style_tree,
                          substring_dedup, toxicity, whitening)
 from logsift.llm.common import fold, table
+from logsift.llm.oracle import ORACLE_SQL  # noqa: F401  (the queries' SQL, for the entry module)
 
 Builder = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Builder] = {}
@@ -110,6 +111,3 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
-
-
-ORACLE_SQL: dict[str, str] = {}
