@@ -20,7 +20,6 @@ its windows.
 
 from __future__ import annotations
 
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -200,61 +199,69 @@ def _deal_runs(regions: DataFrame, window: int) -> DataFrame:
         run, f"doc_id {kind}, th long, seed long, salt long, run long, words binary")
 
 
-def _automaton(phrases: list[bytes], words: int) -> tuple[ahocorasick.Automaton, np.ndarray]:
-    """An automaton of phrases, given as 4-byte word numbers under ``words``:
-    each word in one is a letter, all others are letter 0, which is in none."""
-    used = np.unique(np.frombuffer(b"".join(phrases), "<u4"))
+def _automaton(phrases: list[bytes], words: int, kind: str) -> tuple[ahocorasick.Automaton, np.ndarray]:
+    """An automaton of phrases, given as word numbers under ``words``: each word
+    in one is a letter, all others are letter 0, which is in none."""
+    used = np.unique(np.frombuffer(b"".join(phrases), kind))
     letter = np.zeros(words, "<u4")
     letter[used] = np.arange(1, len(used) + 1)
     letter[letter >= 0xD800] += 0x800  # no surrogates
     automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
     for p in phrases:
-        automaton.add_word(_letters(letter, p))
+        automaton.add_word(_letters(letter, p, kind))
     automaton.make_automaton()
     return automaton, letter
 
 
-def _letters(letter: np.ndarray, numbers: bytes) -> str:
-    return letter[np.frombuffer(numbers, "<u4")].tobytes().decode("utf-32-le")
+def _letters(letter: np.ndarray, numbers: bytes, kind: str) -> str:
+    return letter[np.frombuffer(numbers, kind)].tobytes().decode("utf-32-le")
 
 
-def occurrences(phrases: set[bytes], texts: list[bytes], words: int, window: int, block: int = BLOCK_PHRASES) -> dict[int, list[int]]:
+def occurrences(phrases: set[bytes], texts: list[bytes], words: int, window: int, kind: str = "<u4", block: int = BLOCK_PHRASES) -> dict[int, list[int]]:
     """Starts (in order) of every phrase in every text, by one automaton per
-    ``block`` phrases.  Phrases and texts are 4-byte word numbers under
-    ``words``."""
+    ``block`` phrases.  Phrases and texts are word numbers under ``words``, as
+    bytes of the numpy type ``kind``."""
     out: dict[int, list[int]] = {}
     every = sorted(phrases)
     for a in range(0, len(every), block):
-        automaton, letter = _automaton(every[a : a + block], words)
+        automaton, letter = _automaton(every[a : a + block], words, kind)
         for k, text in enumerate(texts):
-            found = [e - window + 1 for e, _ in automaton.iter(_letters(letter, text))]
+            found = [e - window + 1 for e, _ in automaton.iter(_letters(letter, text, kind))]
             if found:
                 out.setdefault(k, []).extend(found)
-    return {k: sorted(v) for k, v in out.items()}
+    return out if len(every) <= block else {k: sorted(v) for k, v in out.items()}
 
 
 def _locate(shards: DataFrame, window: int, block: int) -> DataFrame:
     kind = shards.schema["doc_id"].dataType.simpleString()
-    size = 4 * window
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
         number: dict[bytes, int] = {}
         known: dict[int, set[bytes]] = {}
         texts, owners, counts = [], [], Counter()
+        flat: list[int] = []
+        ends = []
+        of = number.setdefault
         for row in rows:
-            _, _, seed, _, kind_, run, words = row
-            text = array("I", [number.setdefault(w, len(number)) for w in words.split()]).tobytes()
-            if kind_ == 0:
-                known.setdefault(seed, set()).add(text)
+            flat += [of(w, len(number)) for w in row[6].split()]
+            ends.append(len(flat))
+        kind, unit = ("<u2", 2) if len(number) < 1 << 16 else ("<u4", 4)
+        data, at, size = np.array(flat, kind).tobytes(), 0, unit * window
+        del flat
+        for row, end in zip(rows, ends):
+            text = data[unit * at : unit * end]
+            at = end
+            if row[4] == 0:
+                known.setdefault(row[2], set()).add(text)
                 continue
             texts.append(text)
             owners.append(row)
             if not row[3]:  # the windows of a salted seed were confirmed before
-                counts.update([text[4 * k : 4 * k + size] for k in range(run & _COUNT)])
+                counts.update([text[k : k + size] for k in range(0, unit * (row[5] & _COUNT), unit)])
         phrases = {p for p, n in counts.items() if n > 1}.union(*known.values())
         del counts
         ids, hashes, spans = [], [], []
-        for k, at in occurrences(phrases, texts, len(number), window).items():
+        for k, at in occurrences(phrases, texts, len(number), window, kind).items():
             first = owners[k][5] >> COUNT_BITS
             merged: list[list[int]] = []
             for s in at:
@@ -309,7 +316,8 @@ def dedup(docs: DataFrame, window: int = 35, seed: int = SEED_WORDS, hot_seed: i
 
     # written, so that both sides of the join below are plain exchanges and the
     # adaptive skew join splits the runs of a hot seed
-    recurring = checkpoint(_runs(src, window, seed).groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"))
+    recurring = checkpoint(_runs(src, window, seed).groupBy("seed").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.col("run").bitwiseAND(F.lit(_COUNT))).alias("windows")).filter("n > 1"))
     hot = F.when(F.col("n") > hot_seed, F.ceil(F.col("n") / hot_seed)).otherwise(F.lit(0)).cast("long")
     flagged = (_runs(src, window, seed).join(recurring, "seed").groupBy("doc_id", "th")
                .agg(F.collect_set(F.struct("run", "seed", hot.alias("hot"))).alias("runs")).alias("f"))
@@ -320,11 +328,11 @@ def dedup(docs: DataFrame, window: int = 35, seed: int = SEED_WORDS, hot_seed: i
     cold_regions = _cut(kinds(lambda r: r["hot"] == 0), window)
     hot_regions = _cut(kinds(lambda r: r["hot"] > 0), window)
     hot_windows = _windows(hot_regions, window).groupBy("seed", "words").agg(F.sum("n").alias("n")).filter("n > 1").drop("n")
-    # one row per hot seed that has a confirmed window: its salts, and how to deal
-    # (runs x windows a run against confirmed windows x salts)
-    runs = recurring.select("seed", hot.alias("salts"), "n")
+    # one row per hot seed that has a confirmed window: its salts, and which way of
+    # dealing makes fewer rows: confirmed windows to all salts, or runs to theirs
+    runs = recurring.select("seed", hot.alias("salts"), "n", "windows")
     dealing = hot_windows.groupBy("seed").agg(F.count(F.lit(1)).alias("d")).join(runs, "seed").select(
-        "seed", F.greatest("salts", F.ceil(F.col("d") / block)).alias("salts"), (F.col("d") * F.col("salts") > F.col("n")).alias("spread"))
+        "seed", F.greatest("salts", F.ceil(F.col("d") / block)).alias("salts"), (F.col("d") * F.col("salts") > F.least("windows", F.col("n") * F.col("salts"))).alias("spread"))
     known = _deal_known(hot_windows.join(dealing, "seed").select("seed", "words", "salts", "spread")).select(
         F.lit(None).cast(kind).alias("doc_id"), F.lit(0).cast("long").alias("th"), "seed", "salt", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("run"), "words")
     order = ["doc_id", "th", "seed", "salt", "kind", "run", "words"]
