@@ -20,6 +20,7 @@ its windows.
 
 from __future__ import annotations
 
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 
@@ -232,21 +233,27 @@ def occurrences(phrases: set[bytes], texts: list[bytes], words: int, window: int
     return out if len(every) <= block else {k: sorted(v) for k, v in out.items()}
 
 
+class _Numbers(dict):
+    """Numbers of words in the order they come."""
+
+    def __missing__(self, word: bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 def _locate(shards: DataFrame, window: int, block: int) -> DataFrame:
     kind = shards.schema["doc_id"].dataType.simpleString()
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        number: dict[bytes, int] = {}
+        number = _Numbers()
         known: dict[int, set[bytes]] = {}
         texts, owners, counts = [], [], Counter()
-        flat: list[int] = []
-        ends = []
-        of = number.setdefault
+        flat, ends = array("I"), []
         for row in rows:
-            flat += [of(w, len(number)) for w in row[6].split()]
+            flat.extend(map(number.__getitem__, row[6].split()))
             ends.append(len(flat))
         kind, unit = ("<u2", 2) if len(number) < 1 << 16 else ("<u4", 4)
-        data, at, size = np.array(flat, kind).tobytes(), 0, unit * window
+        data, at, size = np.frombuffer(flat, "<u4").astype(kind).tobytes(), 0, unit * window
         del flat
         for row, end in zip(rows, ends):
             text = data[unit * at : unit * end]
