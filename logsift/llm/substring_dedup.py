@@ -177,26 +177,36 @@ def _deal_known(known: DataFrame) -> DataFrame:
 
 
 def _deal_runs(regions: DataFrame, window: int) -> DataFrame:
-    """Runs of hot seeds to their salts."""
+    """All runs to their salts: 0 for seeds that are not hot.  Repeated rows of
+    a hot seed give the same spans, so one of a batch is enough; a salt depends
+    on nothing but the row, so a task that runs again deals alike."""
     kind = regions.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "th", "seed", "salt", "run", "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, salt = [], []
-            columns = (batch.column(c).to_pylist() for c in ("th", "run", "words", "salts", "spread"))
-            for k, (th, packed, words, salts, spread) in enumerate(zip(*columns)):
+            seen: set[tuple[int, int]] = set()
+            columns = (batch.column(c).to_pylist() for c in ("pick", "run", "words", "salts", "spread"))
+            for k, (pick, packed, words, salts, spread) in enumerate(zip(*columns)):
+                if not salts:
+                    row.append(k)
+                    salt.append(0)
+                    continue
+                if (pick, packed) in seen:
+                    continue
+                seen.add((pick, packed))
                 if spread:
                     w = words.split()
                     own = {_salt(b" ".join(w[j : j + window]), salts) for j in range(packed & _COUNT)}
                 else:
-                    own = {1 + xxhash.xxh3_64_intdigest(b"%d %d" % (th, k)) % salts}  # any salt will do, also for a repeated row
+                    own = {1 + pick % salts}
                 row += [k] * len(own)
                 salt += own
             part = batch.select(["doc_id", "th", "seed", "run", "words"]).take(pa.array(row, pa.int64()))
             yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(salt, pa.int64()), *part.columns[3:]], names=names)
 
-    return regions.select("doc_id", "th", "seed", "run", "words", "salts", "spread").mapInArrow(
+    return regions.select("doc_id", "th", "seed", "run", "words", "salts", "spread", F.xxhash64("doc_id", "th", "run").alias("pick")).mapInArrow(
         run, f"doc_id {kind}, th long, seed long, salt long, run long, words binary")
 
 
@@ -343,9 +353,10 @@ def dedup(docs: DataFrame, window: int = 35, seed: int = SEED_WORDS, hot_seed: i
     known = _deal_known(hot_windows.join(dealing, "seed").select("seed", "words", "salts", "spread")).select(
         F.lit(None).cast(kind).alias("doc_id"), F.lit(0).cast("long").alias("th"), "seed", "salt", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("run"), "words")
     order = ["doc_id", "th", "seed", "salt", "kind", "run", "words"]
-    cold = cold_regions.select("doc_id", "th", "seed", F.lit(0).cast("long").alias("salt"), F.lit(1).alias("kind"), "run", "words")
-    dealt = _deal_runs(hot_regions.join(dealing, "seed"), window).withColumn("kind", F.lit(1)).select(order)
-    shards = known.unionByName(cold).unionByName(dealt).repartition(n, "seed", "salt").sortWithinPartitions("seed", "salt", "kind")
+    names = ["doc_id", "th", "seed", "run", "words", "salts", "spread"]
+    cold = cold_regions.withColumns({"salts": F.lit(0).cast("long"), "spread": F.lit(False)}).select(names)
+    dealt = _deal_runs(cold.unionByName(hot_regions.join(dealing, "seed").select(names)), window).withColumn("kind", F.lit(1)).select(order)
+    shards = known.unionByName(dealt).repartition(n, "seed", "salt").sortWithinPartitions("seed", "salt", "kind")
     spans = _locate(shards, window, block).groupBy("doc_id", "th").agg(F.collect_set("span").alias("spans")).alias("p")
     whole = s.join(spans, F.col("s.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("s.th") == F.col("p.th")), "left").select("s.doc_id", "s.th", "s.text", "p.spans")
 
