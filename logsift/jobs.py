@@ -21,6 +21,8 @@ computes on the driver beyond the scalar results the operators return.
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -120,7 +122,7 @@ def compact(spark: SparkSession, events_path: str, archive_path: str, before: st
 
 #: The alert rules: checked at every suspicious event, or at every full flush
 #: of a batch of events, as the batching indexer does.
-RULES = {"event": A.alerts_event_time, "flush": A.alerts_flush_aligned}
+RULES = {"event": partial(A.alerts_event_time, stored=True), "flush": A.alerts_flush_aligned}
 
 
 def batch_alerts(spark: SparkSession, events_path: str, alerts_path: str, clock: str = "timestamp",

@@ -72,11 +72,12 @@ def fit_slice_sec(points: DataFrame, key: str, slice_sec: int, min_sec: int, max
     return max(min_sec, slice_sec * max_rows // densest)
 
 
-def suspicious_points(events: DataFrame, time_col: str = "indexed_at", key: str = "ip") -> DataFrame:
-    """Narrow projection of suspicious events: (event_id, key, t_us)."""
-    return keep_where(events, F.col("suspicious")).select(
-        "event_id", key, F.unix_micros(F.col(time_col)).alias("t_us")
-    )
+def suspicious_points(events: DataFrame, time_col: str = "indexed_at", key: str = "ip", stored: bool = False) -> DataFrame:
+    """Narrow projection of suspicious events: (event_id, key, t_us).  With
+    ``stored`` the flag is a column of a table and the filter reaches its scan;
+    otherwise it is computed, and evaluated once."""
+    kept = events.filter("suspicious") if stored else keep_where(events, F.col("suspicious"))
+    return kept.select("event_id", key, F.unix_micros(F.col(time_col)).alias("t_us"))
 
 
 def sliding_count(
@@ -85,6 +86,7 @@ def sliding_count(
     window_sec: int = WINDOW_SEC,
     cap: int = CAP,
     key: str = "ip",
+    stored: bool = False,
 ) -> DataFrame:
     """Per suspicious event: ``count`` = suspicious events of the same key in
     ``[t - window, t]`` (inclusive, ties included), at most ``cap``.
@@ -97,7 +99,7 @@ def sliding_count(
     Output: (event_id, key, t_us, count).
     """
     # narrow suspicious points, materialised once: read twice below
-    pts = _checkpoint(suspicious_points(events, time_col, key))
+    pts = _checkpoint(suspicious_points(events, time_col, key, stored))
     per = pts.groupBy(key, "t_us").agg(F.count(F.lit(1)).alias("n"))
     step = F.explode(F.array(
         F.struct(F.col("t_us"), F.col("n").alias("d"), F.lit(True).alias("own")),
@@ -345,11 +347,13 @@ def alerts_event_time(
     cap: int = CAP,
     cooldown_sec: int = COOLDOWN_SEC,
     slice_sec: int = SLICE_SEC,
+    stored: bool = False,
 ) -> DataFrame:
     """Alerts evaluated at every suspicious event (the live rule without
     batching artefacts); ``time_col`` is the clock (``indexed_at`` for the
-    reference's processing-time behaviour, ``timestamp`` for log time)."""
-    counts = sliding_count(events, time_col, window_sec, cap)
+    reference's processing-time behaviour, ``timestamp`` for log time);
+    ``stored`` as in :func:`suspicious_points`."""
+    counts = sliding_count(events, time_col, window_sec, cap, stored=stored)
     cands = alert_candidates(counts, threshold).select("ip", "t_us", "count")
     return alert_records(cooldown(cands, cooldown_sec, slice_sec), window_sec)
 

@@ -24,7 +24,7 @@ def events_and_alerts(spark, sf):
     """The narrow events that the reports read, materialised (one parse), and
     their alerts."""
     ev = R.report_columns(events(spark, sf))
-    return ev, A.alerts_event_time(ev, time_col=CLOCK)
+    return ev, A.alerts_event_time(ev, time_col=CLOCK, stored=True)
 
 
 def _counts(spark, sf):

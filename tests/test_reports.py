@@ -116,3 +116,15 @@ def test_rejects_are_kept_by_the_live_job(spark):
     for q in jobs.ingest(spark, logs, ev, al, scratch_path(spark, "rej-ck"), rejects_path=rej):
         q.awaitTermination()
     assert sorted(r.value for r in spark.read.text(rej).collect()) == ["garbage one", "garbage two"] and io.read_events(spark, ev).count() == 1
+
+
+def test_filter_on_stored_events_reaches_the_scan(spark):
+    from logsift.operators.alerts import suspicious_points
+
+    prepare(spark)
+    path = scratch_path(spark, "pushed-ev")
+    io.write_events(index_events(parse_events(log_lines(spark, SMALL))), path)
+    stored = io.read_events(spark, path)
+    scans = [suspicious_points(stored, stored=x)._jdf.queryExecution().executedPlan().toString() for x in (True, False)]
+    assert "EqualTo(suspicious,true)" in scans[0] and "EqualTo(suspicious,true)" not in scans[1]
+    assert suspicious_points(stored, stored=True).count() == suspicious_points(stored).count() > 0
