@@ -177,36 +177,22 @@ def _deal_known(known: DataFrame) -> DataFrame:
 
 
 def _deal_runs(regions: DataFrame, window: int) -> DataFrame:
-    """All runs to their salts: 0 for seeds that are not hot.  Repeated rows of
-    a hot seed give the same spans, so one of a batch is enough; a salt depends
-    on nothing but the row, so a task that runs again deals alike."""
+    """Runs of hot seeds to the salts of their windows."""
     kind = regions.schema["doc_id"].dataType.simpleString()
     names = ["doc_id", "th", "seed", "salt", "run", "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             row, salt = [], []
-            seen: set[tuple[int, int]] = set()
-            columns = (batch.column(c).to_pylist() for c in ("pick", "run", "words", "salts", "spread"))
-            for k, (pick, packed, words, salts, spread) in enumerate(zip(*columns)):
-                if not salts:
-                    row.append(k)
-                    salt.append(0)
-                    continue
-                if (pick, packed) in seen:
-                    continue
-                seen.add((pick, packed))
-                if spread:
-                    w = words.split()
-                    own = {_salt(b" ".join(w[j : j + window]), salts) for j in range(packed & _COUNT)}
-                else:
-                    own = {1 + pick % salts}
+            for k, (packed, words, salts) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("run", "words", "salts")))):
+                w = words.split()
+                own = {_salt(b" ".join(w[j : j + window]), salts) for j in range(packed & _COUNT)}
                 row += [k] * len(own)
                 salt += own
             part = batch.select(["doc_id", "th", "seed", "run", "words"]).take(pa.array(row, pa.int64()))
             yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(salt, pa.int64()), *part.columns[3:]], names=names)
 
-    return regions.select("doc_id", "th", "seed", "run", "words", "salts", "spread", F.xxhash64("doc_id", "th", "run").alias("pick")).mapInArrow(
+    return regions.select("doc_id", "th", "seed", "run", "words", "salts").mapInArrow(
         run, f"doc_id {kind}, th long, seed long, salt long, run long, words binary")
 
 
@@ -228,16 +214,19 @@ def _letters(letter: np.ndarray, numbers: bytes, kind: str) -> str:
     return letter[np.frombuffer(numbers, kind)].tobytes().decode("utf-32-le")
 
 
-def occurrences(phrases: set[bytes], texts: list[bytes], words: int, window: int, kind: str = "<u4", block: int = BLOCK_PHRASES) -> dict[int, list[int]]:
+def occurrences(phrases: set[bytes], numbers: bytes, texts: list[tuple[int, int]], words: int, window: int, kind: str = "<u4",
+                block: int = BLOCK_PHRASES) -> dict[int, list[int]]:
     """Starts (in order) of every phrase in every text, by one automaton per
-    ``block`` phrases.  Phrases and texts are word numbers under ``words``, as
-    bytes of the numpy type ``kind``."""
+    ``block`` phrases.  A text is a ``(start, end)`` in ``numbers``, and these
+    and the phrases are word numbers under ``words`` as bytes of the numpy type
+    ``kind``."""
     out: dict[int, list[int]] = {}
     every = sorted(phrases)
-    for a in range(0, len(every), block):
-        automaton, letter = _automaton(every[a : a + block], words, kind)
-        for k, text in enumerate(texts):
-            found = [e - window + 1 for e, _ in automaton.iter(_letters(letter, text, kind))]
+    for first in range(0, len(every), block):
+        automaton, letter = _automaton(every[first : first + block], words, kind)
+        whole = _letters(letter, numbers, kind)
+        for k, (a, b) in enumerate(texts):
+            found = [e - a - window + 1 for e, _ in automaton.iter(whole, a, b)]
             if found:
                 out.setdefault(k, []).extend(found)
     return out if len(every) <= block else {k: sorted(v) for k, v in out.items()}
@@ -266,19 +255,19 @@ def _locate(shards: DataFrame, window: int, block: int) -> DataFrame:
         data, at, size = np.frombuffer(flat, "<u4").astype(kind).tobytes(), 0, unit * window
         del flat
         for row, end in zip(rows, ends):
-            text = data[unit * at : unit * end]
-            at = end
+            start, at = at, end
             if row[4] == 0:
-                known.setdefault(row[2], set()).add(text)
+                known.setdefault(row[2], set()).add(data[unit * start : unit * end])
                 continue
-            texts.append(text)
+            texts.append((start, end))
             owners.append(row)
             if not row[3]:  # the windows of a salted seed were confirmed before
-                counts.update([text[k : k + size] for k in range(0, unit * (row[5] & _COUNT), unit)])
+                start *= unit
+                counts.update([data[k : k + size] for k in range(start, start + unit * (row[5] & _COUNT), unit)])
         phrases = {p for p, n in counts.items() if n > 1}.union(*known.values())
         del counts
         ids, hashes, spans = [], [], []
-        for k, at in occurrences(phrases, texts, len(number), window, kind).items():
+        for k, at in occurrences(phrases, data, texts, len(number), window, kind).items():
             first = owners[k][5] >> COUNT_BITS
             merged: list[list[int]] = []
             for s in at:
@@ -300,7 +289,8 @@ def _locate(shards: DataFrame, window: int, block: int) -> DataFrame:
         windows = 0
         for batch in batches:
             id_type[0] = batch.schema.field("doc_id").type
-            for r in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "th", "seed", "salt", "kind", "run", "words"))):
+            longs = (batch.column(c).to_numpy().tolist() for c in ("th", "seed", "salt", "kind", "run"))
+            for r in zip(batch.column("doc_id").to_pylist(), *longs, batch.column("words").to_pylist()):
                 if windows >= block and r[2:4] != held[-1][2:4]:
                     yield solve(held)
                     held, windows = [], 0
@@ -353,10 +343,11 @@ def dedup(docs: DataFrame, window: int = 35, seed: int = SEED_WORDS, hot_seed: i
     known = _deal_known(hot_windows.join(dealing, "seed").select("seed", "words", "salts", "spread")).select(
         F.lit(None).cast(kind).alias("doc_id"), F.lit(0).cast("long").alias("th"), "seed", "salt", F.lit(0).alias("kind"), F.lit(0).cast("long").alias("run"), "words")
     order = ["doc_id", "th", "seed", "salt", "kind", "run", "words"]
-    names = ["doc_id", "th", "seed", "run", "words", "salts", "spread"]
-    cold = cold_regions.withColumns({"salts": F.lit(0).cast("long"), "spread": F.lit(False)}).select(names)
-    dealt = _deal_runs(cold.unionByName(hot_regions.join(dealing, "seed").select(names)), window).withColumn("kind", F.lit(1)).select(order)
-    shards = known.unionByName(dealt).repartition(n, "seed", "salt").sortWithinPartitions("seed", "salt", "kind")
+    hot_runs = hot_regions.drop("hot").join(dealing, "seed")
+    one = F.when(F.col("salts").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("doc_id", "th", "run"), "salts") + 1)  # depends on nothing but the row
+    whole = cold_regions.drop("hot").withColumn("salts", F.lit(None).cast("long")).unionByName(hot_runs.filter("not spread").drop("spread")).withColumn("salt", one.cast("long"))
+    dealt = whole.drop("salts").unionByName(_deal_runs(hot_runs.filter("spread"), window)).withColumn("kind", F.lit(1))
+    shards = known.unionByName(dealt.select(order)).repartition(n, "seed", "salt").sortWithinPartitions("seed", "salt", "kind")
     spans = _locate(shards, window, block).groupBy("doc_id", "th").agg(F.collect_set("span").alias("spans")).alias("p")
     whole = s.join(spans, F.col("s.doc_id").eqNullSafe(F.col("p.doc_id")) & (F.col("s.th") == F.col("p.th")), "left").select("s.doc_id", "s.th", "s.text", "p.spans")
 
