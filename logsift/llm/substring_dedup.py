@@ -226,7 +226,7 @@ def occurrences(phrases: set[bytes], numbers: bytes, texts: list[tuple[int, int]
         automaton, letter = _automaton(every[first : first + block], words, kind)
         whole = _letters(letter, numbers, kind)
         for k, (a, b) in enumerate(texts):
-            found = [e - a - window + 1 for e, _ in automaton.iter(whole, a, b)]
+            found = [e - window + 1 for e, _ in automaton.iter(whole[a:b])]  # the automaton copies the text it is given
             if found:
                 out.setdefault(k, []).extend(found)
     return out if len(every) <= block else {k: sorted(v) for k, v in out.items()}
