@@ -104,3 +104,12 @@ def test_late_check_does_not_count_later_events():
 
     seq = np.array([100, 100, 100, 100, 50], dtype=np.int64)
     assert S._ring_counts(seq, np.array([4]), np.array([50]), 60, 100).tolist() == [1]
+
+
+def test_alerts_run_the_parser_once_a_line(spark, tmp_path, capsys):
+    """Both patterns stand in the plan once; a filter on the flag would hold
+    them again for every use of a captured group."""
+    lines = S.stream_log_source(spark, str(tmp_path), fmt="parquet")
+    S.stream_alerts(S.stream_parse_enrich(lines)).explain(True)
+    plan = capsys.readouterr().out.split("== Optimized Logical Plan ==")[1].split("== Physical Plan ==")[0]
+    assert plan.count("RLIKE(") == 2
