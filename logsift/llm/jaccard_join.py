@@ -28,7 +28,8 @@ from pyspark.sql import functions as F
 from logsift.llm.common import checkpoint, partitions, small_batches
 from logsift.llm.words import NON_SPACE, U64, cut_rows, gram_hashes, mix, text_bytes, word_hashes, word_spans
 
-#: Bits of the shared map of shingles that occur twice or more (16 MB).
+#: Bits of the shared map of shingles that occur twice or more: 16 for each
+#: shingle, and so many (16 MB) at most.
 FILTER_BITS = 27
 #: A shingle of more documents is heavy; so many heavy ones are shared at most.
 HEAVY = 100
@@ -81,6 +82,11 @@ def _nodes(src: DataFrame, k: int) -> DataFrame:
     return src.mapInArrow(run, f"doc_id {kind}, n_shingles long, node long")
 
 
+def _map_bits(total: int, most: int) -> int:
+    """Bits, as a power of 2, of the map for ``total`` shingles."""
+    return min(most, total.bit_length() + 4)
+
+
 def _frequencies(src: DataFrame, k: int, bits: int, heavy: int, buckets: int, flush: int = 1_500_000) -> DataFrame:
     """Count every shingle of every document.  Tasks add up their shingles and
     send the sorted hashes as byte planes of their differences, with the
@@ -238,8 +244,8 @@ def partners(size: np.ndarray, pos: np.ndarray, label: np.ndarray, percent: int)
 
 
 def _verify(pairs: DataFrame, src: DataFrame, rep: DataFrame, k: int, percent: int, bits: int = 25) -> DataFrame:
-    """The links among candidate pairs ``(a, b)``: both texts are joined on and
-    searched.  A bit map of fixed size spares the shuffle most other texts."""
+    """The links among candidate pairs ``(a, b)``, written to the shared folder:
+    both texts are joined on and searched.  A bit map of fixed size spares the shuffle most other texts."""
     spark = src.sparkSession
     involved = pairs.select("a").union(pairs.select(F.col("b"))).distinct().withColumnRenamed("a", "node")
     wanted = rep.join(involved, "node")
@@ -296,7 +302,9 @@ def _verify(pairs: DataFrame, src: DataFrame, rep: DataFrame, k: int, percent: i
                 right.append(b[hits])
             yield _pairs_schema(left, right)
 
-    return both.mapInArrow(search, "a long, b long")
+    links = checkpoint(both.mapInArrow(search, "a long, b long"))
+    shared.destroy()  # the links are written
+    return links
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -307,7 +315,8 @@ def components(edges: DataFrame) -> DataFrame:
     labels = checkpoint(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
     while True:
         near = both.join(labels, both["b"] == labels["node"]).groupBy("a").agg(F.min("label").alias("near"))
-        new = labels.join(near, labels["node"] == near["a"]).select("node", F.least("label", "near").alias("new"), "label")
+        # written, as it is both sides of the next join: the driver would hold the plan of all above twice
+        new = checkpoint(labels.join(near, labels["node"] == near["a"]).select("node", F.least("label", "near").alias("new"), "label"))
         up = new.select(F.col("node").alias("up"), F.col("new").alias("above"))
         new = new.join(up, new["new"] == up["up"], "left").select("node", F.least("new", F.coalesce("above", "new")).alias("new"), "label")
         new = checkpoint(new)
@@ -333,18 +342,19 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     src = _source(docs, id_col, text_col)
     n = partitions(spark)
     buckets = max(256, 1 << (2 * n - 1).bit_length())
-    bits = max(bits, buckets.bit_length() + 5)
     nodes = checkpoint(_nodes(src, k))  # narrow
+    bits = max(_map_bits(nodes.agg(F.sum("n_shingles")).first()[0] or 0, bits), buckets.bit_length() + 5)
     rep = nodes.filter("n_shingles > 0").groupBy("node").agg(F.min("doc_id").alias("rep"))
 
     counted = checkpoint(_frequencies(src, k, bits, heavy, buckets))
     marks = bytearray(1 << (bits - 3))
     step = len(marks) // buckets
-    for r in counted.select("bucket", "marks").toLocalIterator():  # 2 ** bits / 8 bytes in all
+    for r in counted.select("bucket", "marks").coalesce(4).toLocalIterator():  # 2 ** bits / 8 bytes in all, a job for each quarter
         marks[r["bucket"] * step : (r["bucket"] + 1) * step] = r["marks"]
     top = counted.select(F.explode(F.arrays_zip("tokens", "counts")).alias("x")).select("x.*").orderBy(F.desc("counts"), "tokens").limit(max_heavy).collect()
     tokens = np.array(sorted((r["tokens"], r["counts"]) for r in top), np.int64).reshape(-1, 2)
-    shared = spark.sparkContext.broadcast((bytes(marks), tokens[:, 0].astype(U64), np.ascontiguousarray(tokens[:, 1])))
+    shared = spark.sparkContext.broadcast((marks, tokens[:, 0].astype(U64), np.ascontiguousarray(tokens[:, 1])))
+    del marks
 
     def shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["token", "node", "n", "once", "pos"]
@@ -363,6 +373,7 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     # copies that is the text they were made from, which links with most
     order = lambda df: df.repartition(n, "token").sortWithinPartitions("token", "once", "n", "node")
     lists = checkpoint(order(_postings(src, k, percent, shared, bits)).mapInArrow(shared_lists, "token long, node long, n long, once long, pos long"))
+    shared.destroy()  # the lists are written
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
@@ -377,7 +388,7 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
 
     met = order(lists).mapInArrow(heads, "a long, b long").groupBy("a", "b").agg(F.count(F.lit(1)).alias("met"))
     first = checkpoint(met.groupBy("b").agg(F.max_by("a", F.struct("met", "a")).alias("a")).select("a", "b"))
-    links = checkpoint(_verify(first, src, rep, k, percent))
+    links = _verify(first, src, rep, k, percent)
     labels = components(links)
 
     def across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -399,7 +410,7 @@ def join(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
     rest = order(named).mapInArrow(across, "a long, b long").distinct()
     tested = first.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
     rest = checkpoint(rest.join(tested, ["a", "b"], "left_anti"))
-    more = checkpoint(_verify(rest, src, rep, k, percent))
+    more = _verify(rest, src, rep, k, percent)
     labels = components(links.union(more)) if more.limit(1).count() else labels
 
     full = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))

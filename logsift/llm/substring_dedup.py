@@ -326,8 +326,9 @@ def dedup(docs: DataFrame, window: int = 35, seed: int = SEED_WORDS, hot_seed: i
     recurring = checkpoint(_runs(src, window, seed).groupBy("seed").agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col("run").bitwiseAND(F.lit(_COUNT))).alias("windows")).filter("n > 1"))
     hot = F.when(F.col("n") > hot_seed, F.ceil(F.col("n") / hot_seed)).otherwise(F.lit(0)).cast("long")
-    flagged = (_runs(src, window, seed).join(recurring, "seed").groupBy("doc_id", "th")
-               .agg(F.collect_set(F.struct("run", "seed", hot.alias("hot"))).alias("runs")).alias("f"))
+    # written, as seven branches of the plan below begin with it
+    flagged = checkpoint(_runs(src, window, seed).join(recurring, "seed").groupBy("doc_id", "th")
+                         .agg(F.collect_set(F.struct("run", "seed", hot.alias("hot"))).alias("runs"))).alias("f")
     s = src.alias("s")
     mine = s.join(flagged, F.col("s.doc_id").eqNullSafe(F.col("f.doc_id")) & (F.col("s.th") == F.col("f.th"))).select("s.doc_id", "s.th", "s.text", "f.runs")
     # cut apart, so that no pass takes up the runs of the other kind

@@ -2,6 +2,7 @@
 binomial tails."""
 
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -321,3 +322,23 @@ def test_shingle_counts_of_a_shingle_in_every_document(spark):
     out = jaccard_join._frequencies(src, 5, 20, 100, 16, flush=300).collect()
     heavy = [c for r in out for c in r.counts]
     assert heavy == [700]
+
+
+def test_jaccard_join_shares_no_more_than_its_shingles_need(spark, monkeypatch):
+    """The map of shingles follows their number, and what was shared is given
+    back when its rows are written."""
+    from pyspark import SparkContext
+
+    shared, put = [], SparkContext.broadcast
+
+    def broadcast(self, value):
+        shared.append((value, put(self, value)))
+        return shared[-1][1]
+
+    monkeypatch.setattr(SparkContext, "broadcast", broadcast)
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (2, " ".join([*words[:-1], "x"])), (3, "something else"), (4, None)]
+    out = jaccard_join.join(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {r.doc_id: r.component_id for r in out.collect()} == {1: 1, 2: 1, 3: 3, 4: 4}
+    assert len(shared[0][0][0]) <= 4096
+    assert not [b for _, b in shared if os.path.exists(b._path)]
